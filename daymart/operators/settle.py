@@ -1,0 +1,50 @@
+"""Written intermediate tables.
+
+``settle`` cuts lineage by writing a frame to the folder all executors share
+and reading it back. Nothing depends on a block that only one executor holds,
+so a lost executor costs a re-read, and the copy is columnar, so a later scan
+still prunes columns.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+CHECKPOINT_SETTING = "spark.checkpoint.dir"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    context = spark.sparkContext
+    shared = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
+    if not shared:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
+        # One process, one machine: a temporary folder is the shared folder.
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="daymart-"))
+        shared = context.getCheckpointDir()
+    return f"{shared.rstrip('/')}/daymart-{context.applicationId}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder; never one handed out before."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once and return the stored copy."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's settled tables.
+
+    Call it when the results built on them have been written.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)

@@ -1,7 +1,7 @@
 """Column expressions. All run inside the JVM; none is a Python UDF."""
 
 from daymart.functions.bands import PRECIPITATION_BANDS, TEMPERATURE_BANDS, Bands, cut
-from daymart.functions.convert import flag_to_boolean, is_digits, is_present, strict_cast
+from daymart.functions.convert import flag_to_boolean, is_digits, is_present, missing_texts, strict_cast
 from daymart.functions.days import (
     day_parts,
     lenient_day,
@@ -22,6 +22,7 @@ __all__ = [
     "is_digits",
     "is_present",
     "lenient_day",
+    "missing_texts",
     "month_start",
     "strict_cast",
     "strict_timestamp",

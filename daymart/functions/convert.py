@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from daymart.schemas import NULL_TEXTS
 
 
-def is_present(text: Column) -> Column:
-    """False for null and for the texts that stand for a missing value."""
-    return text.isNotNull() & ~text.isin(NULL_TEXTS)
+def missing_texts() -> list[Column]:
+    """The texts that stand for a missing value, as literals to share."""
+    return [F.lit(text) for text in NULL_TEXTS]
+
+
+def is_present(text: Column, missing: list[Column]) -> Column:
+    """False for null and for the texts in ``missing``."""
+    return text.isNotNull() & ~text.isin(missing)
 
 
 def is_digits(text: Column) -> Column:
@@ -24,8 +29,18 @@ def or_raise(parsed: Column, text: Column, kind: str) -> Column:
     return F.when(text.isNotNull(), F.coalesce(parsed, F.raise_error(message)))
 
 
+def _casts_raise() -> bool:
+    return SparkSession.active().conf.get("spark.sql.ansi.enabled") == "true"
+
+
 def strict_cast(text: Column, type_name: str) -> Column:
-    """Cast that fails on bad text whatever the session's ANSI setting is."""
+    """Cast that fails on bad text whatever the session's ANSI setting is.
+
+    An ANSI cast does so by itself, in less generated code: with a check of
+    their own, the casts of one wide row outgrow the JIT compiler's limit.
+    """
+    if _casts_raise():
+        return text.cast(type_name)
     return or_raise(text.try_cast(type_name), text, type_name)
 
 

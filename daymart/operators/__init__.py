@@ -1,10 +1,10 @@
 """DataFrame operators: DataFrames in, DataFrames out."""
 
 from daymart.operators.clean import clean_events, validate_events
-from daymart.operators.integrate import integrate, keyed_replace, unzip_daily, within_days
+from daymart.operators.series import integrate, keyed_replace, unzip_daily, within_days
 from daymart.operators.keys import dense_keys, expand_rows, rank_tuples
 from daymart.operators.lookup import broadcast_if_small, lookup_key, stored_bytes
-from daymart.operators.settle import clear_scratch, settle
+from daymart.operators.scratch import clear_scratch, settle
 
 __all__ = [
     "broadcast_if_small",

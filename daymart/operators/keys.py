@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from daymart.operators.settle import settle
+from daymart.operators.scratch import settle
 
 COUNT = "_rows"
 _PART, _PLACE, _START = "_part", "_place", "_start"

@@ -43,13 +43,14 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     return F.broadcast(df) if stored_bytes(df) <= max_bytes else df
 
 
-def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    return reduce(and_, (left[c].eqNullSafe(right[c]) for c in columns))
+def _keys_of(mapping: DataFrame, on: list[str], values: list[str]) -> DataFrame:
+    """``mapping`` with its key columns renamed, so both sides can be named freely."""
+    return mapping.select(*(F.col(c).alias(f"_of_{c}") for c in on), *values)
 
 
-def _attach(rows: DataFrame, mapping: DataFrame, on: list[str], values: list[str], how: str) -> DataFrame:
-    joined = rows.join(mapping, _same(rows, mapping, on), how)
-    return joined.select(*(rows[c] for c in rows.columns), *(mapping[c] for c in values))
+def _join(rows: DataFrame, keyed: DataFrame, on: list[str], how: str) -> DataFrame:
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in on))
+    return rows.join(keyed, same, how).drop(*(f"_of_{c}" for c in on))
 
 
 def lookup_key(
@@ -68,14 +69,15 @@ def lookup_key(
     how many rows have each tuple; ``rows`` is read twice when the mapping is
     too large to broadcast, so it should be stored as well.
     """
+    keyed = _keys_of(mapping, on, [*values, count_column])
     if stored_bytes(mapping) <= max_bytes:
-        return _attach(rows, F.broadcast(mapping), on, values, "left")
+        return _join(rows, F.broadcast(keyed), on, "left").drop(count_column)
 
     total = mapping.agg(F.sum(count_column).alias("total")).first()["total"]
     is_hot = F.col(count_column) * F.lit(hot_keys) > F.lit(total)
-    hot = F.broadcast(mapping.filter(is_hot))
-    cold = mapping.filter(~is_hot)
-
-    in_hot = _attach(rows, hot, on, values, "inner")
-    others = rows.join(hot, _same(rows, hot, on), "left_anti")
-    return in_hot.unionByName(_attach(others, cold.hint("merge"), on, values, "left"))
+    hot = F.broadcast(keyed.filter(is_hot))
+    in_hot = _join(rows, hot, on, "inner")
+    others = _join(rows, hot, on, "left_anti")
+    # Merge join: the cold side may be as large as the rows themselves.
+    in_cold = _join(others, keyed.filter(~is_hot).hint("merge"), on, "left")
+    return in_hot.unionByName(in_cold).drop(count_column)

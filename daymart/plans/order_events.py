@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymart.operators.integrate import integrate
-from daymart.operators.settle import settle
+from daymart.operators.series import integrate
+from daymart.operators.scratch import settle
 from daymart.schemas import (
     ALLOWED_REGIONS,
     CASE_NUMBER,

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from daymart.functions.days import lenient_day, timestamp_text
 from daymart.functions.geo import to_wgs84
 from daymart.operators.clean import clean_events, validate_events
-from daymart.operators.integrate import integrate, keyed_replace, unzip_daily, within_days
+from daymart.operators.series import integrate, keyed_replace, unzip_daily, within_days
 from daymart.operators.keys import COUNT, dense_keys, rank_tuples
-from daymart.operators.settle import scratch_path, settle
+from daymart.operators.scratch import scratch_path, settle
 from daymart.plans import reports, star
 from daymart.plans.order_events import (
     daily_series,

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymart.operators.integrate import keyed_replace
-from daymart.operators.settle import settle
+from daymart.operators.series import keyed_replace
+from daymart.operators.scratch import settle
 from daymart.schemas import SERIES
 from daymart.sources.readers import CSV_FORMAT
 

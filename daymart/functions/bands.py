@@ -23,9 +23,9 @@ class Bands:
             raise ValueError("band edges must rise")
 
     def table(self, spark: SparkSession, index: str, label: str) -> DataFrame:
-        """One row per band, empty ones included."""
+        """One row per band, empty ones included, in order in one partition."""
         names = F.array(*map(F.lit, self.labels))
-        return spark.range(len(self.labels)).select(
+        return spark.range(0, len(self.labels), 1, 1).select(
             F.col("id").cast("int").alias(index),
             F.get(names, F.col("id").cast("int")).alias(label),
         )

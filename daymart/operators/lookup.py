@@ -78,6 +78,5 @@ def lookup_key(
     hot = F.broadcast(keyed.filter(is_hot))
     in_hot = _join(rows, hot, on, "inner")
     others = _join(rows, hot, on, "left_anti")
-    # Merge join: the cold side may be as large as the rows themselves.
-    in_cold = _join(others, keyed.filter(~is_hot).hint("merge"), on, "left")
+    in_cold = _join(others, keyed.filter(~is_hot), on, "left")
     return in_hot.unionByName(in_cold).drop(count_column)

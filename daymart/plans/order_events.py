@@ -121,9 +121,9 @@ def integrated_orders(spark: SparkSession, sf_dir: str, located: bool = True) ->
     return integrate(order_events(spark, sf_dir, located), stored_series(spark, sf_dir))
 
 
-def stored_integrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_integrated(spark: SparkSession, sf_dir: str, located: bool = True) -> DataFrame:
     """The integrated table, stored: the models scan it several times."""
-    return settle(integrated_orders(spark, sf_dir), "integrated")
+    return settle(integrated_orders(spark, sf_dir, located), "integrated")
 
 
 def on_the_map(integrated: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from daymart.functions.geo import to_wgs84
 from daymart.operators.clean import clean_events, validate_events
 from daymart.operators.series import integrate, keyed_replace, unzip_daily, within_days
 from daymart.operators.keys import COUNT, dense_keys, rank_tuples
-from daymart.operators.scratch import scratch_path, settle
+from daymart.operators.scratch import scratch_path
 from daymart.plans import reports, star
 from daymart.plans.order_events import (
     daily_series,
@@ -78,7 +78,7 @@ def monthly_trend_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def monthly_trend_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events 20 days after their series day, so that the two months differ."""
-    integrated = integrated_orders(spark, sf_dir, located=False)
+    integrated = stored_integrated(spark, sf_dir, located=False)
     shifted = integrated.withColumn(EVENT_TIME, F.date_add(EVENT_TIME, 20))
     return _double_rain(reports.monthly_trend_joined(shifted))
 
@@ -283,7 +283,7 @@ def dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _light_staging(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Day and type columns of both staging models, from one stored table."""
-    integrated = settle(integrated_orders(spark, sf_dir, located=False), "integrated")
+    integrated = stored_integrated(spark, sf_dir, located=False)
     columns = {old: new for old, new in STAGED_EVENT_COLUMNS.items() if new not in LOCATION_KEYS}
     return star.stage_events(integrated, columns), star.stage_series(integrated)
 

@@ -22,6 +22,7 @@ from daymart.functions.convert import flag_to_boolean
 from daymart.functions.days import day_parts
 from daymart.operators.keys import COUNT, dense_keys, expand_rows, rank_tuples
 from daymart.operators.lookup import BROADCAST_BYTES, HOT_KEYS, lookup_key
+from daymart.operators.scratch import settle
 from daymart.schemas import (
     LOCATION_KEYS,
     MEASURES,
@@ -68,14 +69,14 @@ def dim_time(dates: DataFrame) -> DataFrame:
 
 
 def location_mapping(events: DataFrame) -> DataFrame:
-    """Key, natural key and event count of each location."""
-    return dense_keys(rank_tuples(events, LOCATION_KEYS), LOCATION_KEYS, "location_key")
+    """Key, natural key and event count of each location; stored."""
+    return settle(dense_keys(rank_tuples(events, LOCATION_KEYS), LOCATION_KEYS, "location_key"), "locations")
 
 
 def type_mapping(events: DataFrame) -> DataFrame:
-    """Key, natural key and event count of each event type."""
+    """Key, natural key and event count of each event type; stored."""
     typed = events.withColumn(FLAG, flag_to_boolean(F.col(FLAG)))
-    return dense_keys(rank_tuples(typed, TYPE_KEYS), TYPE_KEYS, "accident_type_key")
+    return settle(dense_keys(rank_tuples(typed, TYPE_KEYS), TYPE_KEYS, "accident_type_key"), "types")
 
 
 def dim_location(events: DataFrame, mode: str = "conformed") -> DataFrame:

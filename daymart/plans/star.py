@@ -93,15 +93,18 @@ def dim_accident_type(events: DataFrame, mode: str = "conformed") -> DataFrame:
 
 
 def dim_weather(series: DataFrame, mode: str = "conformed") -> DataFrame:
-    """Series values per day; ``conformed`` fails when a day has two sets of values."""
-    columns = list(STAGED_SERIES_COLUMNS.values())
-    ranked = rank_tuples(series, columns)
+    """Series values per day; reading ``conformed`` fails when a day has two sets of values."""
+    day, *values = STAGED_SERIES_COLUMNS.values()
     if not _conformed(mode):
-        return expand_rows(ranked, columns, "weather_key")
-    twice = ranked.groupBy("weather_date").count().filter("count > 1").first()
-    if twice is not None:
-        raise ValueError(f"the series has {twice['count']} different rows for {twice['weather_date']}")
-    return dense_keys(ranked, columns, "weather_key").drop(COUNT)
+        return expand_rows(rank_tuples(series, [day, *values]), [day, *values], "weather_key")
+    # Equal rows collapse in a hash aggregate first; what is left is about one
+    # row per day.
+    record = F.struct(*values)
+    per_day = series.select(day, *values).distinct().groupBy(day).agg(F.min(record).alias("low"), F.max(record).alias("high"))
+    problem = F.concat(F.lit("the series has different rows for "), F.coalesce(F.col(day).cast("string"), F.lit("no day")))
+    only = F.when(F.col("low").eqNullSafe(F.col("high")), F.col("low")).otherwise(F.raise_error(problem))
+    numbered = per_day.select(_day_number(day).alias("weather_key"), day, only.alias("only"))
+    return numbered.select("weather_key", day, *(F.col(f"only.{name}") for name in values))
 
 
 def _conformed(mode: str) -> bool:
@@ -111,11 +114,21 @@ def _conformed(mode: str) -> bool:
 
 
 def _day_keys(events: DataFrame, series: DataFrame) -> DataFrame:
-    """Date key and series key of each day; bounded by the calendar."""
-    dates = dim_date(events, series).select("full_date", "date_key")
-    series_days = series.select("weather_date").distinct()
-    numbered = series_days.select("weather_date", _day_number("weather_date").alias("weather_key"))
-    return dates.join(F.broadcast(numbered), F.col("full_date") == F.col("weather_date"), "left").drop("weather_date")
+    """Date key and series key of each day, the latter null on days without a series row.
+
+    One pass over the days of both tables and one window, bounded by the
+    calendar, give the numbers ``row_number`` would give each table's days.
+    """
+    event_days = events.select(F.col("accident_date").cast("date").alias("full_date"), F.lit(0).alias("in_series"))
+    series_days = series.select(F.col("weather_date").cast("date").alias("full_date"), F.lit(1).alias("in_series"))
+    days = event_days.union(series_days).groupBy("full_date").agg(F.max("in_series").alias("in_series"))
+    in_order = W.orderBy(F.col("full_date").asc_nulls_last())
+    so_far = F.sum("in_series").over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow))
+    return days.select(
+        "full_date",
+        F.row_number().over(in_order).cast("bigint").alias("date_key"),
+        F.when(F.col("in_series") == 1, so_far).alias("weather_key"),
+    )
 
 
 def _all_present(columns: list[str]) -> Column:

@@ -8,14 +8,10 @@ from pyspark.sql import functions as F
 from daymart.schemas import NULL_TEXTS
 
 
-def missing_texts() -> list[Column]:
-    """The texts that stand for a missing value, as literals to share."""
-    return [F.lit(text) for text in NULL_TEXTS]
-
-
-def is_present(text: Column, missing: list[Column]) -> Column:
-    """False for null and for the texts in ``missing``."""
-    return text.isNotNull() & ~text.isin(missing)
+def is_present(name: str) -> str:
+    """SQL condition: column ``name`` is neither null nor a text for a missing value."""
+    missing = ", ".join(f"'{text}'" for text in NULL_TEXTS)
+    return f"(`{name}` IS NOT NULL AND `{name}` NOT IN ({missing}))"
 
 
 def is_digits(text: Column) -> Column:

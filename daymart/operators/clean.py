@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymart.functions.convert import is_digits, is_present, missing_texts, strict_cast
+from daymart.functions.convert import is_digits, is_present, strict_cast
 from daymart.functions.days import strict_timestamp
 from daymart.schemas import (
     ALLOWED_REGIONS,
@@ -31,8 +28,7 @@ def clean_events(raw: DataFrame, time_format: str) -> DataFrame:
     # One condition per column: a single one over all thirty (``dropna``) makes
     # the optimizer derive it anew for every subset of columns renamed later.
     kept = raw.select(*KEPT_COLUMNS)
-    missing = missing_texts()
-    whole = kept.filter(reduce(and_, (is_present(F.col(name), missing) for name in KEPT_COLUMNS)))
+    whole = kept.filter(" AND ".join(map(is_present, KEPT_COLUMNS)))
     numbered = whole.filter(is_digits(F.col(CASE_NUMBER)))
 
     def typed(field: T.StructField):

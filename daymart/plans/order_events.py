@@ -71,8 +71,10 @@ def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_events(spark: SparkSession, sf_dir: str, located: bool = True) -> DataFrame:
     """One event per order; without a place when no report asks for it.
 
-    Both joins have one row per key on one side, so a customer with very many
-    orders makes a long run of one side only, which adaptive execution splits.
+    Orders meet their items first and take the wide place columns last, so
+    only numbers shuffle. One side of either join has one row per key: a
+    customer with very many orders makes a long run of the other side only,
+    which adaptive execution splits.
     """
     status = F.col("o_orderstatus")
     orders = table(spark, sf_dir, "orders").select(
@@ -83,10 +85,11 @@ def order_events(spark: SparkSession, sf_dir: str, located: bool = True) -> Data
         F.when(status == "F", 1.0).when(status == "O", 0.0).alias(DRUNK_DRIVER),
         "o_custkey",
     )
-    if located:
-        orders = orders.join(_places(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
     items = _items_per_order(spark, sf_dir)
-    return orders.join(items, F.col(CASE_NUMBER) == F.col("l_orderkey")).drop("l_orderkey", "o_custkey")
+    events = orders.join(items, F.col(CASE_NUMBER) == F.col("l_orderkey")).drop("l_orderkey")
+    if located:
+        events = events.join(_places(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
+    return events.drop("o_custkey")
 
 
 def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:

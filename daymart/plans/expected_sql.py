@@ -87,15 +87,13 @@ types AS (
   FROM (SELECT DISTINCT accident_type, accident_detail, {BOOLEAN_FLAG} FROM sa)),
 weather AS (SELECT row_number() OVER (ORDER BY weather_date) AS weather_key, weather_date FROM days),
 facts AS (
-  SELECT b.accident_id, d.date_key, l.location_key, t.accident_type_key, w.weather_key,
-    b.num_people_involved, b.num_deaths, b.num_vehicles_involved, b.num_injuries
-  FROM base b
-  LEFT JOIN dates d ON b.accident_date = d.full_date
-  LEFT JOIN locations l ON b.region = l.region AND b.municipality = l.municipality
-    AND b.settlement = l.settlement AND b.x_coordinate = l.x_coordinate AND b.y_coordinate = l.y_coordinate
-  LEFT JOIN types t ON b.accident_type = t.accident_type AND b.accident_detail = t.accident_detail
-    AND b.drunk_driver_involved = CAST(t.drunk_driver_involved AS DOUBLE)
-  LEFT JOIN weather w ON b.weather_date = w.weather_date)
+  SELECT accident_id, date_key, location_key, accident_type_key, weather_key,
+    num_people_involved, num_deaths, num_vehicles_involved, num_injuries
+  FROM (SELECT * EXCLUDE (drunk_driver_involved), {BOOLEAN_FLAG} FROM base)
+  LEFT JOIN dates ON full_date = accident_date
+  LEFT JOIN locations USING ({LOCATION})
+  LEFT JOIN types USING (accident_type, accident_detail, drunk_driver_involved)
+  LEFT JOIN weather USING (weather_date))
 """
 
 

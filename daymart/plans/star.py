@@ -54,13 +54,18 @@ def _day_number(day: str) -> Column:
     return F.row_number().over(W.orderBy(F.col(day).asc_nulls_last())).cast("bigint")
 
 
+def _days(events: DataFrame, series: DataFrame) -> DataFrame:
+    """Every event day and series day once, and whether the series has it (1 or 0)."""
+    event_days = events.select(F.col("accident_date").cast("date").alias("full_date"), F.lit(0).alias("in_series"))
+    series_days = series.select(F.col("weather_date").cast("date").alias("full_date"), F.lit(1).alias("in_series"))
+    return event_days.union(series_days).groupBy("full_date").agg(F.max("in_series").alias("in_series"))
+
+
 def dim_date(events: DataFrame, series: DataFrame) -> DataFrame:
     """Every event day and series day once, numbered in order."""
-    event_days = events.select(F.col("accident_date").cast("date").alias("full_date"))
-    series_days = series.select(F.col("weather_date").cast("date").alias("full_date"))
-    days = event_days.distinct().union(series_days.distinct()).distinct()
     parts = [part.alias(name) for name, part in day_parts(F.col("full_date")).items()]
-    return days.select(_day_number("full_date").alias("date_key"), "full_date", *parts).orderBy("full_date")
+    numbered = _days(events, series).select(_day_number("full_date").alias("date_key"), "full_date", *parts)
+    return numbered.orderBy(F.col("full_date").asc_nulls_last())
 
 
 def dim_time(dates: DataFrame) -> DataFrame:
@@ -116,15 +121,12 @@ def _conformed(mode: str) -> bool:
 def _day_keys(events: DataFrame, series: DataFrame) -> DataFrame:
     """Date key and series key of each day, the latter null on days without a series row.
 
-    One pass over the days of both tables and one window, bounded by the
-    calendar, give the numbers ``row_number`` would give each table's days.
+    One window, bounded by the calendar, gives the numbers ``row_number``
+    would give each table's days.
     """
-    event_days = events.select(F.col("accident_date").cast("date").alias("full_date"), F.lit(0).alias("in_series"))
-    series_days = series.select(F.col("weather_date").cast("date").alias("full_date"), F.lit(1).alias("in_series"))
-    days = event_days.union(series_days).groupBy("full_date").agg(F.max("in_series").alias("in_series"))
     in_order = W.orderBy(F.col("full_date").asc_nulls_last())
     so_far = F.sum("in_series").over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow))
-    return days.select(
+    return _days(events, series).select(
         "full_date",
         F.row_number().over(in_order).cast("bigint").alias("date_key"),
         F.when(F.col("in_series") == 1, so_far).alias("weather_key"),

@@ -62,6 +62,7 @@ def lookup_key(
     count_column: str,
     max_bytes: int = BROADCAST_BYTES,
     hot_keys: int = HOT_KEYS,
+    hot_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Left join of ``rows`` to ``mapping``, which holds each ``on`` tuple once.
 
@@ -75,7 +76,11 @@ def lookup_key(
 
     total = mapping.agg(F.sum(count_column).alias("total")).first()["total"]
     is_hot = F.col(count_column) * F.lit(hot_keys) > F.lit(total)
-    hot = F.broadcast(keyed.filter(is_hot))
+    hot = keyed.filter(is_hot)
+    if stored_bytes(hot) > hot_bytes:
+        # Few keys, but very wide ones. Adaptive execution splits their rows.
+        return _join(rows, keyed, on, "left").drop(count_column)
+    hot = F.broadcast(hot)
     in_hot = _join(rows, hot, on, "inner")
     others = _join(rows, hot, on, "left_anti")
     in_cold = _join(others, keyed.filter(~is_hot), on, "left")

@@ -138,8 +138,8 @@ def test_keys_of_an_empty_table(spark):
     assert expand_rows(ranked, ["a", "b"], "key").count() == 0
 
 
-@pytest.mark.parametrize("hot_keys", [2, 10_000])
-def test_lookup_without_broadcast_gives_the_same_rows(spark, hot_keys):
+@pytest.mark.parametrize("hot_keys, hot_bytes", [(2, 1 << 26), (10_000, 1 << 26), (10_000, 0)])
+def test_lookup_without_broadcast_gives_the_same_rows(spark, hot_keys, hot_bytes):
     frame = settle(tuples(spark).withColumn("id", F.monotonically_increasing_id()), "rows")
     mapping = dense_keys(rank_tuples(frame, ["a", "b"]), ["a", "b"], "key")
     extra = spark.createDataFrame([("new", 1.0, -1)], "a string, b double, id bigint")
@@ -151,7 +151,7 @@ def test_lookup_without_broadcast_gives_the_same_rows(spark, hot_keys):
 
     broadcast = found()
     assert len(broadcast) == rows.count()
-    assert found(max_bytes=0, hot_keys=hot_keys) == broadcast
+    assert found(max_bytes=0, hot_keys=hot_keys, hot_bytes=hot_bytes) == broadcast
 
 
 def test_stored_bytes_counts_text(spark):

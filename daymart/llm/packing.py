@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from daymart.llm.tokens import ID_TYPE, Encoder, encode_texts
+from daymart.llm.tokens import ID_TYPE, encode_texts, encoder
 from daymart.operators.scratch import settle
 
 MAX_TOKENS = 2048
@@ -42,12 +42,12 @@ def pieces(docs: DataFrame, *, tokenizer: str, spaced: bool, end_id: int, longes
         raise ValueError("the longest piece must be a power of two")
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer, spaced)
+        words = encoder(tokenizer, spaced)
         end = np.array([end_id], dtype=ID_TYPE).tobytes()
         for frame in frames:
             rows = []
             held = 0
-            texts = encode_texts(encoder, frame["text"].tolist())
+            texts = encode_texts(words, frame["text"].tolist())
             for doc_id, ids in zip(frame["doc_id"], texts):
                 ids += end
                 n, start = len(ids) // 4, 0

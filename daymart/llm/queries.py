@@ -9,11 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from daymart.llm.ann import nearest
 from daymart.llm.licenses import scan_documents
 from daymart.llm.mixing import mix
 from daymart.llm.packing import pack
+from daymart.llm.quality_rules import fit_rules, judge
 from daymart.llm.sharding import shard_documents
+from daymart.llm.simhash import simhash_components
+from daymart.llm.toxicity import flag_documents
 from daymart.llm.warc import archived_pages
 from daymart.llm.wavelet import token_documents
 
@@ -22,6 +27,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flag_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op2_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(_table(spark, sf_dir, "documents"))
+
+
 def op3_token_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return token_documents(docs, tokenizer="word_bpe_49k.json", spaced=False, end_id=2)
@@ -32,6 +45,13 @@ def op4_warc_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    rows = judge(docs, fit_rules(docs, _table(spark, sf_dir, "labels")))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return rows.select("doc_id", *counts, "base_failed", "kept", F.col("rule"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
@@ -41,6 +61,10 @@ def op7_pack_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(docs, tokenizer="byte_bpe_50k.json", spaced=True, end_id=1)
 
 
+def op8_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_shard_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"))
 
@@ -52,10 +76,14 @@ def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_toxicity_crf,
+        op2_simhash_gray,
         op3_token_wavelet,
         op4_warc_splits,
+        op5_decision_list,
         op6_mix_sources,
         op7_pack_binary,
+        op8_posting_lists,
         op9_shard_ring,
         op10_license_index,
     )

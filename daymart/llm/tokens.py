@@ -8,69 +8,141 @@ is only a saving: it is emptied when it grows past ``KEPT_WORDS``.
 
 from __future__ import annotations
 
+import json
 import re
+import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
-from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-KEPT_WORDS = 600_000
+KEPT_WORDS = 400_000
 ID_TYPE = "<u4"
 #: Characters of text handled at once, so long texts do not meet in one list.
-_BLOCK_CHARS = 4_000_000
+_BLOCK_CHARS = 1_000_000
 _WORDS_AT_ONCE = 500
 _LONG_WORD = 200
+#: A word of letters of Latin-1, after a line break or not, and closing marks.
+#: Letters that libraries may case in different ways are left out.
+_LETTERS = re.compile(r"(\n?)([A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00e0-\u00f6\u00f8-\u00fe]{1,200})([.,;:!?]*)")
 _TWO_SPACES = re.compile(r"\s\s")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters by which byte-level vocabularies write bytes.
+
+    Printable bytes stand for themselves, the others for the letters from 256 on.
+    """
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + k) for k, b in enumerate(others)}}
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers.
 
     ``spaced`` says that a word's ids depend on the space before it (byte-level
-    vocabularies); otherwise white space is dropped by the vocabulary.
+    vocabularies); otherwise white space is dropped by the vocabulary and
+    letters are lower-cased.
     """
 
     def __init__(self, name: str, spaced: bool):
-        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        path = public_tokenizers.path(name)
+        self.tokenizer = Tokenizer.from_file(path)
         self.spaced = spaced
+        self.known: dict[str, bytes] = {}
+        self.met_again: set[str] = set()
+        self.first: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
         # A special token of the vocabulary is cut out before anything else
         # happens to a text, so it can stand between words in one call.
         mark = "<|endoftext|>"
         self.mark = mark, self.tokenizer.token_to_id(mark)
-        self.known: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
+        # The same model for words that are known to be one piece each.
+        with open(path, encoding="utf-8") as file:
+            lean = json.load(file)
+        split = {"type": "Split", "pattern": {"String": "\n"}, "behavior": "Removed", "invert": False}
+        lean |= {"normalizer": None, "pre_tokenizer": split, "added_tokens": []}
+        self.lean = Tokenizer.from_str(json.dumps(lean))
+        self.letters = _byte_letters()
 
     def _encode(self, words: list[str]) -> list[bytes]:
         """Ids of each word. Many go in one call, with a special token between them."""
         mark, mark_id = self.mark
         odd = {i for i, w in enumerate(words) if "<|" in w or len(w) > _LONG_WORD}
         plain = [w for i, w in enumerate(words) if i not in odd] if odd else words
-        blocks = [plain[i : i + _WORDS_AT_ONCE] for i in range(0, len(plain), _WORDS_AT_ONCE)]
-        joined = [mark.join(block) + mark for block in blocks]
         out: list[bytes] = []
-        for encoded in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
-            ids = np.array(encoded.ids, dtype=ID_TYPE)
-            ends = np.flatnonzero(ids == mark_id)
+        for a in range(0, len(plain), _WORDS_AT_ONCE):
+            joined = mark.join(plain[a : a + _WORDS_AT_ONCE]) + mark
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=ID_TYPE)
             data, width = ids.tobytes(), ids.itemsize
-            stops = (ends * width).tolist()
+            stops = (np.flatnonzero(ids == mark_id) * width).tolist()
             out += [data[a:b] for a, b in zip([0, *(x + width for x in stops)], stops)]
         if odd:
-            alone = self.tokenizer.encode_batch_fast([words[i] for i in sorted(odd)], add_special_tokens=False)
-            single = {i: np.array(e.ids, dtype=ID_TYPE).tobytes() for i, e in zip(sorted(odd), alone)}
+            alone = {i: self._alone(words[i]) for i in odd}
             rest = iter(out)
-            out = [single[i] if i in odd else next(rest) for i in range(len(words))]
+            out = [alone[i] if i in odd else next(rest) for i in range(len(words))]
         return out
 
-    def _learn(self, known: dict[str, bytes], words: set[str], prefix: str) -> None:
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-            new = list(words)
-        texts = [w if w[:1] == "\n" else prefix + w for w in new]
-        known.update(zip(new, self._encode(texts)))
+    def _alone(self, text: str) -> bytes:
+        encoded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.array(encoded.ids, dtype=ID_TYPE).tobytes()
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of words that are one piece each, written in byte letters."""
+        out: list[bytes] = []
+        for a in range(0, len(pieces), 4 * _WORDS_AT_ONCE):
+            encoded = self.lean.encode_batch_fast(pieces[a : a + 4 * _WORDS_AT_ONCE], add_special_tokens=False)
+            out += [_packed(e.ids) for e in encoded]
+        return out
+
+    def _new_words(self, words: list[str], prefix: str) -> list[bytes]:
+        """Ids of words as they stand in a text, after ``prefix``.
+
+        A word is often letters and closing marks: these are pieces of their own.
+        """
+        pieces: list[str] = []
+        parts: list[tuple[bool, str] | None] = []
+        space = self.letters[32] if prefix else ""
+        for word in words:
+            found = _LETTERS.fullmatch(word)
+            if found is None:
+                parts.append(None)
+                continue
+            line, body, tail = found.groups()
+            if not self.spaced:
+                body = body.lower()
+            if not body.isascii():
+                body = body.encode().decode("latin-1").translate(self.letters)
+            pieces.append(body if line else space + body)
+            parts.append((bool(line), tail))
+        for tail in {p[1] for p in parts if p is not None} - self.tails.keys():
+            self.tails[tail] = self._alone(tail)
+        line_ids = self._alone("\n") if self.spaced else b""
+        letters = iter(self._encode_pieces(pieces))
+        others = iter(self._encode([prefix + w if w[:1] != "\n" else w for w, p in zip(words, parts) if p is None]))
+        out = []
+        for part in parts:
+            if part is None:
+                out.append(next(others))
+            else:
+                line, tail = part
+                ids = next(letters)
+                out.append(line_ids + ids + self.tails[tail] if line else ids + self.tails[tail])
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > KEPT_WORDS:
+            # Words that came back are worth keeping; most never do.
+            kept = self.met_again if len(self.met_again) < KEPT_WORDS // 2 else set()
+            self.known = {w: self.known[w] for w in kept | words if w in self.known}
+            self.met_again = set()
+        self.met_again |= words.difference(new)
+        self.known.update(zip(new, self._new_words(new, " " if self.spaced else "")))
 
     def _words(self, text: str) -> list[str]:
         if self.spaced:
@@ -80,22 +152,37 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         # Runs of white space are split by their length, so such texts of a
         # spaced vocabulary are encoded whole.
-        whole = [i for i, t in enumerate(texts) if self.spaced and _TWO_SPACES.search(t)]
-        out: dict[int, bytes] = dict(zip(whole, self._encode([texts[i] for i in whole])))
-        split = {i: self._words(t) for i, t in enumerate(texts) if i not in out}
+        out: dict[int, bytes] = {}
+        split: dict[int, list[str]] = {}
+        for i, text in enumerate(texts):
+            if self.spaced and _TWO_SPACES.search(text):
+                out[i] = self._alone(text)
+            else:
+                split[i] = self._words(text)
+        firsts: dict[int, bytes] = {}
         if self.spaced:
             # A text's first word has no space before it.
-            firsts = {i: words[0] for i, words in split.items()}
-            self._learn(self.first, set(firsts.values()), "")
-            first = self.first
+            words = list({words[0] for words in split.values()})
+            first = dict(zip(words, self._encode(words)))
+            firsts = {i: first[words[0]] for i, words in split.items()}
             split = {i: words[1:] for i, words in split.items()}
-        self._learn(self.known, set().union(*split.values()), " " if self.spaced else "")
+        self._learn(set().union(*split.values()))
         get = self.known.__getitem__
         for i, words in split.items():
-            out[i] = (first[firsts[i]] if self.spaced else b"") + b"".join(map(get, words))
+            out[i] = firsts.get(i, b"") + b"".join(map(get, words))
         return [out[i] for i in range(len(texts))]
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+@lru_cache(maxsize=4)
+def encoder(name: str, spaced: bool) -> Encoder:
+    """The encoder of this worker; it outlives a task, and so do the words it met."""
+    return Encoder(name, spaced)
+
+
 def encode_texts(encoder: Encoder, texts: list[str | None]) -> Iterator[bytes]:
     """Ids of each text in order; null is the empty text."""
     block: list[str] = []
@@ -119,7 +206,3 @@ def small_batches(frames: Iterator[pd.DataFrame], column: str, chars: int = _BLO
             if b > a:
                 yield frame.iloc[a:b]
 
-
-def narrow(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns, whatever else the table has."""
-    return df.select(*(f"`{c}`" for c in columns))

@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from daymart.llm.files import file_system, finished_file, listed
-from daymart.llm.tokens import ID_TYPE, Encoder, encode_texts
+from daymart.llm.tokens import ID_TYPE, encode_texts, encoder
 from daymart.operators.scratch import scratch_path, settle
 
 MAGIC = b"WAVEMTX1"
@@ -219,7 +219,7 @@ def write_shards(
     numbered = dealt.select("doc_id", "text", F.spark_partition_id().alias("shard"))
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer, spaced)
+        words = encoder(tokenizer, spaced)
         end = np.array([end_id], dtype=ID_TYPE).tobytes()
         doc_ids: list = []
         encoded: list[bytes] = []
@@ -227,9 +227,9 @@ def write_shards(
         for frame in frames:
             shard = int(frame["shard"].iloc[0]) if len(frame) else shard
             doc_ids += [None if pd.isna(d) else int(d) for d in frame["doc_id"]]
-            encoded += [ids + end for ids in encode_texts(encoder, frame["text"].tolist())]
+            encoded += [ids + end for ids in encode_texts(words, frame["text"].tolist())]
         if doc_ids:
-            vocabulary = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
+            vocabulary = max(words.tokenizer.get_vocab_size(), end_id + 1)
             name = f"{folder}/shard-{shard:08d}{SUFFIX}"
             with finished_file(name) as stream:
                 stream.write(shard_bytes(doc_ids, encoded, vocabulary))

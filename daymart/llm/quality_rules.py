@@ -114,7 +114,10 @@ def measure(docs: DataFrame, *others: str) -> DataFrame:
     # A word belongs to the last window that begins before or at it.
     reach = F.transform("_found", lambda s, k: F.least(F.lit(WINDOW), F.coalesce(F.get("_found", k + 1) - s, F.lit(WINDOW))))
     covered = F.coalesce(F.aggregate(reach, F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long")
-    return places.select(*numbers, covered.alias("n_repeat_words"))
+    # A filter on a count stays above this step; pushed down it would have the
+    # arrays worked out again within each other.
+    counts = F.inline(F.array(F.struct(*numbers[len(kept) :], covered.alias("n_repeat_words"))))
+    return places.select(*numbers[: len(kept)], counts)
 
 
 def _rate(part: str, whole: str) -> Column:
@@ -193,6 +196,12 @@ def _thresholds(rows: DataFrame) -> dict[str, list[float]]:
     return {n: sorted({*(found[f"{n}:all"] or []), *(found[f"{n}:bad"] or [])}) for n in FEATURES}
 
 
+def _bin(name: str, thresholds: list[float]) -> Column:
+    """How many thresholds of a statistic lie below its value."""
+    below = F.filter(F.array(*map(F.lit, thresholds)), lambda t: t < F.col(name))
+    return F.size(below).alias(f"bin_{name}")
+
+
 def _histograms(rows: DataFrame) -> tuple[dict, dict]:
     """Rows by statistic, bin and class; for growing and for pruning."""
     pairs = F.explode(F.array(*(F.struct(F.lit(n).alias("name"), F.col(f"bin_{n}").alias("bin")) for n in FEATURES)))
@@ -251,9 +260,7 @@ def learn_rules(measured: DataFrame) -> list[Rule]:
     thresholds = _thresholds(rows)
     if not all(thresholds.values()):
         return []
-    bins = [
-        F.size(F.filter(F.array(*map(F.lit, thresholds[n])), lambda t, n=n: t < F.col(n))).alias(f"bin_{n}") for n in FEATURES
-    ]
+    bins = [_bin(n, thresholds[n]) for n in FEATURES]
     prune = (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("prune")
     binned = settle(rows.select("bad", prune, *bins).coalesce(8), "binned")
     rules: list[Rule] = []

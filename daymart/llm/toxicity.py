@@ -48,7 +48,7 @@ SPAN_MARGINAL = 0.5
 #: A feature is kept, and its words are T, from these shares of toxic documents.
 KEPT_SHARE, STRONG_SHARE = 0.35, 0.6
 _CONTEXT = 4
-_STEPS, _RATE, _L2 = 200, 0.1, 1e-3
+_STEPS, _RATE, _L2 = 120, 0.15, 1e-3
 _KNOWN_WORDS = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -332,7 +332,7 @@ def _stretches(places: list[int], found: list, n: int, tags: list[int]) -> Itera
     k = 0
     while k < len(places):
         last = k
-        while last + 1 < len(places) and places[last + 1] - places[last] <= 2 * _CONTEXT and places[last + 1] - places[k] < 48:
+        while last + 1 < len(places) and places[last + 1] - places[last] <= 2 * _CONTEXT and places[last + 1] - places[k] < 16:
             last += 1
         start, stop = max(0, places[k] - _CONTEXT), min(n, places[last] + _CONTEXT + 1)
         own: list = [()] * (stop - start)

@@ -32,8 +32,7 @@ from daymart.operators.scratch import scratch_path
 
 MAGIC = b"\x1f\x8b\x08"
 SUFFIX = ".warc.gz"
-#: Html in one file, and compressed bytes in one range.
-FILE_BYTES = 24 << 20
+#: Compressed bytes of one range.
 RANGE_BYTES = 2 << 20
 DATE = "2024-01-01T00:00:00Z"
 _VERSION = b"WARC/1."
@@ -164,7 +163,7 @@ def records_of_range(stream, start: int, end: int) -> Iterator[bytes]:
         at = window.find(stop, end) if stop < end else None
 
 
-def write_warc(pages: DataFrame, folder: str, *, min_bytes: int = 0, file_bytes: int = FILE_BYTES) -> None:
+def write_warc(pages: DataFrame, folder: str, *, min_bytes: int = 0) -> None:
     """Write a record for each row of ``pages`` (page_id, url, html)."""
     html = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"), F.sha1(F.encode(html, "UTF-8")).alias("digest"))
@@ -174,9 +173,10 @@ def write_warc(pages: DataFrame, folder: str, *, min_bytes: int = 0, file_bytes:
     long_enough = F.octet_length("html") >= min_bytes
     later = long_enough & (~F.col("page_id").eqNullSafe(F.col("first")))
     refers_to = F.when(later, F.col("first")).alias("refers_to")
-    total = rows.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     joined = rows.join(first, "digest", "left").select("page_id", "url", "html", refers_to)
-    dealt = joined.repartition(-(-total // file_bytes) + 1).withColumn("part", F.spark_partition_id())
+    # The join deals the rows already; a task writes as it reads, so a part of
+    # any size is one file.
+    dealt = joined.withColumn("part", F.spark_partition_id())
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         stream, held, n = None, None, 0

@@ -56,7 +56,7 @@ _SHINGLES_AT_ONCE = 1 << 17
 _LEAF, _FAN = 32, 8
 _PAIRS_AT_ONCE = 1 << 20
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_MIX = 0x9E3779B97F4A7C15
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -82,7 +82,7 @@ def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
     """Further hashes of a shingle, from its first one."""
     if k == 0:
         return hashes
-    x = hashes + _MIX * np.uint64(k)
+    x = hashes + np.uint64(_MIX * k & (1 << 64) - 1)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import json
 import re
-import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,11 +18,11 @@ import pandas as pd
 import public_tokenizers
 from tokenizers import Tokenizer
 
-KEPT_WORDS = 400_000
+KEPT_WORDS = 600_000
 ID_TYPE = "<u4"
 #: Characters of text handled at once, so long texts do not meet in one list.
 _BLOCK_CHARS = 1_000_000
-_WORDS_AT_ONCE = 500
+_WORDS_AT_ONCE = 1000
 _LONG_WORD = 200
 #: A word of letters of Latin-1, after a line break or not, and closing marks.
 #: Letters that libraries may case in different ways are left out.
@@ -68,6 +67,7 @@ class Encoder:
         lean |= {"normalizer": None, "pre_tokenizer": split, "added_tokens": []}
         self.lean = Tokenizer.from_str(json.dumps(lean))
         self.letters = _byte_letters()
+        self.stop = ",", self.lean.encode(",", add_special_tokens=False).ids[0]
 
     def _encode(self, words: list[str]) -> list[bytes]:
         """Ids of each word. Many go in one call, with a special token between them."""
@@ -78,9 +78,7 @@ class Encoder:
         for a in range(0, len(plain), _WORDS_AT_ONCE):
             joined = mark.join(plain[a : a + _WORDS_AT_ONCE]) + mark
             ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=ID_TYPE)
-            data, width = ids.tobytes(), ids.itemsize
-            stops = (np.flatnonzero(ids == mark_id) * width).tolist()
-            out += [data[a:b] for a, b in zip([0, *(x + width for x in stops)], stops)]
+            out += _between(ids, mark_id)
         if odd:
             alone = {i: self._alone(words[i]) for i in odd}
             rest = iter(out)
@@ -92,11 +90,16 @@ class Encoder:
         return np.array(encoded.ids, dtype=ID_TYPE).tobytes()
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of words that are one piece each, written in byte letters."""
+        """Ids of words that are one piece each, written in byte letters.
+
+        A piece that no word of letters holds stands behind each of them.
+        """
+        stop, stop_id = self.stop
         out: list[bytes] = []
-        for a in range(0, len(pieces), 4 * _WORDS_AT_ONCE):
-            encoded = self.lean.encode_batch_fast(pieces[a : a + 4 * _WORDS_AT_ONCE], add_special_tokens=False)
-            out += [_packed(e.ids) for e in encoded]
+        for a in range(0, len(pieces), _WORDS_AT_ONCE):
+            joined = f"\n{stop}\n".join(pieces[a : a + _WORDS_AT_ONCE]) + f"\n{stop}"
+            ids = np.array(self.lean.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=ID_TYPE)
+            out += _between(ids, stop_id)
         return out
 
     def _new_words(self, words: list[str], prefix: str) -> list[bytes]:
@@ -104,36 +107,45 @@ class Encoder:
 
         A word is often letters and closing marks: these are pieces of their own.
         """
-        pieces: list[str] = []
-        parts: list[tuple[bool, str] | None] = []
-        space = self.letters[32] if prefix else ""
+        pieces: dict[str, bytes] = {}
+        parts: list[tuple[str, str, str] | None] = []
+        known, letters, spaced = self.known, self.letters, self.spaced
+        space = letters[32] if prefix else ""
+        match = _LETTERS.fullmatch
         for word in words:
-            found = _LETTERS.fullmatch(word)
+            found = match(word)
             if found is None:
                 parts.append(None)
                 continue
             line, body, tail = found.groups()
-            if not self.spaced:
+            if not spaced:
                 body = body.lower()
-            if not body.isascii():
-                body = body.encode().decode("latin-1").translate(self.letters)
-            pieces.append(body if line else space + body)
-            parts.append((bool(line), tail))
-        for tail in {p[1] for p in parts if p is not None} - self.tails.keys():
-            self.tails[tail] = self._alone(tail)
-        line_ids = self._alone("\n") if self.spaced else b""
-        letters = iter(self._encode_pieces(pieces))
+            piece = body if line else space + body
+            if piece not in pieces:
+                ids = known.get(body) if not line else None
+                pieces[piece] = b"" if ids is None else ids
+            parts.append((line, piece, tail))
+        new = [p for p, ids in pieces.items() if not ids]
+        written = [p if p.isascii() else self._in_letters(p, space) for p in new]
+        pieces.update(zip(new, self._encode_pieces(written)))
+        tails = self.tails
+        for tail in {p[2] for p in parts if p is not None} - tails.keys():
+            tails[tail] = self._alone(tail)
+        line_ids = self._alone("\n") if spaced else b""
         others = iter(self._encode([prefix + w if w[:1] != "\n" else w for w, p in zip(words, parts) if p is None]))
         out = []
         for part in parts:
             if part is None:
                 out.append(next(others))
             else:
-                line, tail = part
-                ids = next(letters)
-                out.append(line_ids + ids + self.tails[tail] if line else ids + self.tails[tail])
+                line, piece, tail = part
+                out.append(line_ids + pieces[piece] + tails[tail] if line else pieces[piece] + tails[tail])
         return out
 
+    def _in_letters(self, piece: str, space: str) -> str:
+        body = piece[1:] if space and piece[0] == space else piece
+        return piece[: len(piece) - len(body)] + body.encode().decode("latin-1").translate(self.letters)
+
     def _learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > KEPT_WORDS:
@@ -173,8 +185,11 @@ class Encoder:
         return [out[i] for i in range(len(texts))]
 
 
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+def _between(ids: np.ndarray, stop_id: int) -> list[bytes]:
+    """The ids before each ``stop_id``."""
+    data, width = ids.tobytes(), ids.itemsize
+    stops = (np.flatnonzero(ids == stop_id) * width).tolist()
+    return [data[a:b] for a, b in zip([0, *(x + width for x in stops)], stops)]
 
 
 @lru_cache(maxsize=4)

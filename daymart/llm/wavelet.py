@@ -81,18 +81,22 @@ class BitPlane:
         raise IndexError(k)
 
 
+def _narrow(bits: int) -> type:
+    return np.uint16 if bits <= 16 else np.uint32
+
+
 class WaveletMatrix:
     def __init__(self, planes: list[BitPlane], n: int):
         self.planes, self.n = planes, n
 
     @staticmethod
     def encode(ids: np.ndarray, bits: int) -> list[bytes]:
-        planes, current = [], ids
+        planes, current = [], ids.astype(_narrow(bits))
         for b in range(bits - 1, -1, -1):
-            bit = (current >> np.uint32(b)) & np.uint32(1)
-            planes.append(np.packbits(bit.astype(np.uint8), bitorder="little").tobytes())
-            ones = bit.astype(bool)
-            current = np.concatenate([current[~ones], current[ones]])
+            ones = (current & current.dtype.type(1 << b)) != 0
+            planes.append(np.packbits(ones, bitorder="little").tobytes())
+            if b:
+                current = np.concatenate([current[~ones], current[ones]])
         return planes
 
     def _check(self, i: int) -> None:
@@ -151,12 +155,12 @@ class WaveletMatrix:
 
     def ids(self) -> np.ndarray:
         """All ids, rebuilt from the lowest plane up."""
-        values = np.zeros(self.n, dtype=np.uint32)
+        values = np.zeros(self.n, dtype=_narrow(len(self.planes)))
         for level, plane in zip(range(len(self.planes)), reversed(self.planes)):
             bits = np.unpackbits(plane.words.view(np.uint8), count=self.n, bitorder="little").astype(bool)
-            above = np.empty(self.n, dtype=np.uint32)
+            above = np.empty_like(values)
             above[~bits] = values[: plane.zeros]
-            above[bits] = values[plane.zeros :] | np.uint32(1 << level)
+            above[bits] = values[plane.zeros :] | values.dtype.type(1 << level)
             values = above
         return values
 
@@ -241,7 +245,9 @@ def write_shards(
 
 def read_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Each document of the shards: shard, place, doc_id, local start, ids."""
-    files = listed(spark, folder, f"*{SUFFIX}").repartition(F.col("path"))
+    files = listed(spark, folder, f"*{SUFFIX}")
+    # A row is a name here and a whole shard in its task: one task a shard.
+    files = files.repartition(max(1, files.count()), F.col("path"))
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -118,7 +118,8 @@ def document_frequencies(docs: DataFrame, vocabulary: set[bytes]) -> tuple[dict[
             for text in frame["text"]:
                 for word in vocabulary.intersection(words_of(text)):
                     seen[word.decode()] += 1
-        yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
+        if seen:
+            yield pd.DataFrame({"word": pd.Series(list(seen), dtype=object), "n": list(seen.values())})
 
     rows = docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     found = {r["word"].encode(): r["n"] for r in rows.collect()}

@@ -121,17 +121,17 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     Documents without words are in no source's size and are left out of a mix.
     """
     columns = docs.columns
-    names = tuple(c for c in columns if c != "doc_id")
-    rows = mix(docs, keep=names, **options).filter(F.col("taken") > 0)
+    # The row is kept as one value, so its columns may have any names.
+    row = F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row")
+    rows = mix(docs.select("doc_id", "text", "source", row), keep=("_row",), **options).filter(F.col("taken") > 0)
     repeats = F.sequence(F.lit(0).cast("long"), F.expr("(taken - 1) div size"))
-    each = rows.select("*", F.explode(repeats).alias("_repeat"))
-    words = F.least(F.col("size"), F.col("taken") - F.col("_repeat") * F.col("size"))
-    cut = each.withColumn("_words", words)
-    whole = F.col("_words") == F.col("size")
-    part = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
-    text = F.when(whole, F.col("text")).otherwise(F.array_join(F.slice(part, F.lit(1), F.col("_words").cast("int")), " "))
-    cut = cut.withColumn("text", text)
+    each = rows.select("size", "taken", "_row", F.explode(repeats).alias("_repeat"))
+    words = F.least(F.col("size"), F.col("taken") - F.col("_repeat") * F.col("size")).cast("int")
+    whole = words == F.col("size")
+    old = F.col("_row.text")
+    cut = F.array_join(F.slice(F.regexp_extract_all(old, F.lit(f"({WORD})"), F.lit(1)), F.lit(1), words), " ")
+    new = {"text": F.when(whole, old).otherwise(cut)}
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return cut.select(*(f"`{c}`" for c in columns))
+        new["n_chars"] = F.when(whole, F.col("_row.n_chars")).otherwise(F.length(cut).cast(kind))
+    return each.select(*(new[c].alias(c) if c in new else F.col(f"_row.`{c}`").alias(c) for c in columns))

@@ -279,7 +279,8 @@ def _feature_counts(rows: DataFrame) -> DataFrame:
         toxic, every = Counter(), Counter()
 
         def summed() -> pd.DataFrame:
-            return pd.DataFrame({"f": list(every), "toxic": [toxic[f] for f in every], "n": list(every.values())})
+            names = pd.Series(list(every), dtype=object)
+            return pd.DataFrame({"f": names, "toxic": [toxic[f] for f in every], "n": list(every.values())})
 
         for frame in frames:
             for text, label in zip(frame["text"], frame["is_toxic"]):
@@ -290,7 +291,8 @@ def _feature_counts(rows: DataFrame) -> DataFrame:
                 if len(every) > 200_000:
                     yield summed()
                     toxic, every = Counter(), Counter()
-        yield summed()
+        if every:
+            yield summed()
 
     counted = rows.select("text", "is_toxic").mapInPandas(count, "f string, toxic long, n long")
     return counted.groupBy("f").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))

@@ -3,7 +3,8 @@
 A stored side that is small enough is broadcast and the large side never
 moves. Beyond that, ``lookup_key`` splits the hot keys off: they are few by
 counting (a key with more than 1/N of the rows has fewer than N like it), so
-their part of the mapping is broadcast and only the remaining rows shuffle.
+their part of the mapping is broadcast; their rows are spread evenly while the
+others meet the rest of the mapping in one shuffle.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEYS = 20_000
+#: Tasks that the rows of one hot key, or of one day, are spread over at most.
+SALTS = 256
 _FIXED_BYTES = 16
 
 
@@ -67,8 +70,11 @@ def lookup_key(
     """Left join of ``rows`` to ``mapping``, which holds each ``on`` tuple once.
 
     Nulls match nulls. ``mapping`` must be stored and say in ``count_column``
-    how many rows have each tuple; ``rows`` is read twice when the mapping is
-    too large to broadcast, so it should be stored as well.
+    how many rows have each tuple. Beyond ``max_bytes`` the hot keys' part of it
+    is broadcast and the rows they answer are spread by a salt that matches
+    nothing, so ``rows`` is read once and no hot key fills a task. Hot keys are
+    those of the mapping's counts: give it the counts of these rows, as a key
+    that became hot since is only split by adaptive execution.
     """
     keyed = _keys_of(mapping, on, [*values, count_column])
     if stored_bytes(mapping) <= max_bytes:
@@ -76,12 +82,18 @@ def lookup_key(
 
     total = mapping.agg(F.sum(count_column).alias("total")).first()["total"]
     is_hot = F.col(count_column) * F.lit(hot_keys) > F.lit(total)
-    hot = keyed.filter(is_hot)
+    keys = [f"_of_{c}" for c in on]
+    hot = keyed.filter(is_hot).drop(count_column)
     if stored_bytes(hot) > hot_bytes:
         # Few keys, but very wide ones. Adaptive execution splits their rows.
         return _join(rows, keyed, on, "left").drop(count_column)
-    hot = F.broadcast(hot)
-    in_hot = _join(rows, hot, on, "inner")
-    others = _join(rows, hot, on, "left_anti")
-    in_cold = _join(others, keyed.filter(~is_hot), on, "left")
-    return in_hot.unionByName(in_cold).drop(count_column)
+    hot = hot.select(*keys, *(F.col(v).alias(f"_hot_{v}") for v in values), F.lit(True).alias("_is_hot"))
+    marked = _join(rows, F.broadcast(hot), on, "left")
+    spread = F.when(F.col("_is_hot"), 1 + F.monotonically_increasing_id() % SALTS).otherwise(0)
+    marked = marked.withColumn("_salt", spread)
+
+    cold = keyed.filter(~is_hot).select(*keys, *(F.col(v).alias(f"_cold_{v}") for v in values), F.lit(0).alias("_of_salt"))
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in on), F.col("_salt") == F.col("_of_salt"))
+    joined = marked.join(cold, same, "left")
+    found = [F.when(F.col("_is_hot"), F.col(f"_hot_{v}")).otherwise(F.col(f"_cold_{v}")).alias(v) for v in values]
+    return joined.select(*(f"`{c}`" for c in rows.columns), *found)

@@ -10,10 +10,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+#: Says that a ``file:`` folder is a mount that all machines share.
+SHARED_MOUNT_SETTING = "spark.daymart.sharedMount"
 
 
 def _scratch_root(spark: SparkSession) -> str:
@@ -25,9 +28,18 @@ def _scratch_root(spark: SparkSession) -> str:
         # One process, one machine: a temporary folder is the shared folder.
         context.setCheckpointDir(tempfile.mkdtemp(prefix="daymart-"))
         shared = context.getCheckpointDir()
+    if not context.master.startswith("local") and _is_machine_local(spark, shared):
+        raise RuntimeError(f"{CHECKPOINT_SETTING} is {shared}, which other machines of a cluster may not see")
     return f"{shared.rstrip('/')}/daymart-{context.applicationId}"
 
 
+def _is_machine_local(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is on the disks of one machine; a bare path follows the default store."""
+    scheme = urlsplit(path).scheme or urlsplit(spark.conf.get("spark.hadoop.fs.defaultFS", "file:")).scheme
+    allowed = spark.conf.get(SHARED_MOUNT_SETTING, "false") == "true"
+    return scheme in ("", "file") and not allowed
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder; never one handed out before."""
     return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"

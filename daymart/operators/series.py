@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymart.functions.convert import strict_cast
-from daymart.operators.lookup import BROADCAST_BYTES, broadcast_if_small
+from daymart.operators.lookup import BROADCAST_BYTES, SALTS, stored_bytes
+from daymart.operators.scratch import settle
 from daymart.schemas import (
     EVENT_TIME,
     SERIES_ARRAYS,
@@ -67,9 +68,24 @@ def keyed_replace(loads: DataFrame, key: str = SERIES_DATE, version: str = "load
 def integrate(events: DataFrame, series: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Events with the series values of their day; events without one drop out.
 
-    ``series`` should be stored: its size decides whether it is broadcast. A
-    series with several rows for a day repeats that day's events.
+    ``series`` should be stored: its size decides how it is joined. A series
+    with several rows for a day repeats that day's events. Loads that were
+    appended over and over are mostly equal rows; these are counted, which
+    makes the series small again, and unrolled after the join. A series that is
+    large all the same is repeated for each of ``SALTS`` shares of the events,
+    so days, which are few, never decide alone where an event goes.
     """
     by_day = events.withColumn(EVENT_TIME, F.col(EVENT_TIME).cast("date"))
-    small = broadcast_if_small(series, max_bytes)
-    return by_day.join(small, by_day[EVENT_TIME] == small[SERIES_DATE], "inner")
+    if stored_bytes(series) <= max_bytes:
+        return by_day.join(F.broadcast(series), F.col(EVENT_TIME) == F.col(f"`{SERIES_DATE}`"), "inner")
+    copies, names = "_copies", series.columns
+    counted = settle(series.groupBy(*(f"`{c}`" for c in names)).agg(F.count(F.lit(1)).alias(copies)), "series-rows")
+    if stored_bytes(counted) <= max_bytes:
+        joined = by_day.join(F.broadcast(counted), F.col(EVENT_TIME) == F.col(f"`{SERIES_DATE}`"), "inner")
+    else:
+        shared = counted.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        dealt = by_day.withColumn("_salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
+        same = (F.col(EVENT_TIME) == F.col(f"`{SERIES_DATE}`")) & (F.col("_salt") == F.col("_share"))
+        joined = dealt.join(shared, same, "inner").drop("_salt", "_share")
+    unrolled = joined.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies))).alias("_copy"))
+    return unrolled.drop(copies, "_copy")

@@ -191,7 +191,8 @@ SELECT o_orderkey AS accident_id, strftime(o_orderdate, '%Y-%m-%d %H:%M:00') AS
   o_orderkey % 9 AS num_people_involved, o_orderkey % 2 AS num_deaths,
   o_orderkey % 4 AS num_vehicles_involved, o_orderkey % 5 AS num_injuries,
   region, o_orderpriority AS municipality, settlement, o_orderpriority AS accident_type,
-  o_orderstatus AS accident_detail, CAST(o_orderkey % 2 AS DOUBLE) AS drunk_driver_involved,
+  CASE WHEN o_orderkey % 5 = 0 THEN ' ' || o_orderstatus || ' "a"; b,' || chr(10) || ' c ' ELSE o_orderstatus END
+    AS accident_detail, CAST(o_orderkey % 2 AS DOUBLE) AS drunk_driver_involved,
   CAST(o_custkey * 10 AS DOUBLE) AS x_coordinate, CAST(o_custkey AS DOUBLE) AS y_coordinate
 FROM raw
 WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0
@@ -319,13 +320,18 @@ EXPECTED_SQL: dict[str, str] = {
         FROM (SELECT user_id, event_type, value, count(*) AS rows FROM events GROUP BY ALL)
     """,
     "parquet_export": """
-        SELECT 'orders' AS table_name, count(*) AS "rows" FROM orders
-        UNION ALL SELECT 'customer', count(*) FROM customer
-        UNION ALL SELECT 'lineitem', count(*) FROM lineitem
+        SELECT 'region' AS table_name, count(*) AS "rows", CAST(coalesce(sum(CAST(r_regionkey AS DECIMAL(28,2))), 0) AS DOUBLE) AS total FROM region
+        UNION ALL SELECT 'nation' AS table_name, count(*) AS "rows", CAST(coalesce(sum(CAST(n_nationkey AS DECIMAL(28,2))), 0) + coalesce(sum(CAST(n_regionkey AS DECIMAL(28,2))), 0) AS DOUBLE) AS total FROM nation
+        UNION ALL SELECT 'customer' AS table_name, count(*) AS "rows", CAST(coalesce(sum(CAST(c_custkey AS DECIMAL(28,2))), 0) + coalesce(sum(CAST(c_acctbal AS DECIMAL(28,2))), 0) AS DOUBLE) AS total FROM customer
+        UNION ALL SELECT 'supplier' AS table_name, count(*) AS "rows", CAST(coalesce(sum(CAST(s_suppkey AS DECIMAL(28,2))), 0) + coalesce(sum(CAST(s_acctbal AS DECIMAL(28,2))), 0) AS DOUBLE) AS total FROM supplier
+        UNION ALL SELECT 'part' AS table_name, count(*) AS "rows", CAST(coalesce(sum(CAST(p_partkey AS DECIMAL(28,2))), 0) + coalesce(sum(CAST(p_retailprice AS DECIMAL(28,2))), 0) AS DOUBLE) AS total FROM part
+        UNION ALL SELECT 'orders' AS table_name, count(*) AS "rows", CAST(coalesce(sum(CAST(o_orderkey AS DECIMAL(28,2))), 0) + coalesce(sum(CAST(o_totalprice AS DECIMAL(28,2))), 0) AS DOUBLE) AS total FROM orders
+        UNION ALL SELECT 'lineitem' AS table_name, count(*) AS "rows", CAST(coalesce(sum(CAST(l_orderkey AS DECIMAL(28,2))), 0) + coalesce(sum(CAST(l_extendedprice AS DECIMAL(28,2))), 0) AS DOUBLE) AS total FROM lineitem
+        UNION ALL SELECT 'events' AS table_name, count(*) AS "rows", CAST(coalesce(sum(CAST(event_id AS DECIMAL(28,2))), 0) + coalesce(sum(CAST(value AS DECIMAL(28,2))), 0) AS DOUBLE) AS total FROM events
     """,
     "partitioned_table": f"""
         WITH {INTEGRATED}
-        SELECT event_id, CAST(year(date) AS BIGINT) AS year, people FROM integ WHERE year(date) IN (1995, 1996)
+        SELECT event_id, CAST(year(date) AS BIGINT) AS year, people FROM integ
     """,
     "published_models": f"""
         WITH {STAGED}

@@ -154,7 +154,9 @@ def raw_order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         MUNICIPALITY: F.col("o_orderpriority"),
         SETTLEMENT: F.when(F.col("o_orderstatus") == "F", "JAH").when(F.col("o_orderstatus") == "O", "EI").otherwise("jah"),
         TYPE: F.col("o_orderpriority"),
-        DETAIL: F.col("o_orderstatus"),
+        DETAIL: F.when(key % 5 == 0, F.concat(F.lit(" "), F.col("o_orderstatus"), F.lit(' "a"; b,\n c '))).otherwise(
+            F.col("o_orderstatus")
+        ),
         **{name: (key % 2).cast("string") for name in FLAG_COLUMNS},
         NORTHING: F.when(key % 17 == 0, "").otherwise((customer * 10).cast("string")),
         EASTING: customer.cast("string"),

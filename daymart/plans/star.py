@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from daymart.functions.convert import flag_to_boolean
 from daymart.functions.days import day_parts
 from daymart.operators.keys import COUNT, dense_keys, expand_rows, rank_tuples
-from daymart.operators.lookup import BROADCAST_BYTES, HOT_KEYS, lookup_key
+from daymart.operators.lookup import BROADCAST_BYTES, HOT_KEYS, broadcast_if_small, lookup_key
 from daymart.operators.scratch import settle
 from daymart.schemas import (
     LOCATION_KEYS,
@@ -74,14 +74,14 @@ def dim_time(dates: DataFrame) -> DataFrame:
 
 
 def location_mapping(events: DataFrame) -> DataFrame:
-    """Key, natural key and event count of each location; stored."""
-    return settle(dense_keys(rank_tuples(events, LOCATION_KEYS), LOCATION_KEYS, "location_key"), "locations")
+    """Key, natural key and event count of each location, over stored tuples."""
+    return dense_keys(rank_tuples(events, LOCATION_KEYS), LOCATION_KEYS, "location_key")
 
 
 def type_mapping(events: DataFrame) -> DataFrame:
-    """Key, natural key and event count of each event type; stored."""
+    """Key, natural key and event count of each event type, over stored tuples."""
     typed = events.withColumn(FLAG, flag_to_boolean(F.col(FLAG)))
-    return settle(dense_keys(rank_tuples(typed, TYPE_KEYS), TYPE_KEYS, "accident_type_key"), "types")
+    return dense_keys(rank_tuples(typed, TYPE_KEYS), TYPE_KEYS, "accident_type_key")
 
 
 def dim_location(events: DataFrame, mode: str = "conformed") -> DataFrame:
@@ -189,9 +189,13 @@ def fact(
 def fact_wide(facts: DataFrame, weather: DataFrame) -> DataFrame:
     """The fact with its day's maximum temperature, from the conformed series dimension.
 
-    That dimension has one row per day, so the calendar bounds its broadcast.
+    A dimension with several rows for a day is refused: it is the one as
+    written, whose keys are not the fact's.
     """
-    by_key = F.broadcast(weather.select("weather_key", "max_temperature"))
+    stored = settle(weather.select("weather_key", "weather_date", "max_temperature"), "weather")
+    if not stored.groupBy("weather_date").count().filter(F.col("count") > 1).isEmpty():
+        raise ValueError("the series dimension has several rows for a day; the fact's keys are those of the conformed one")
+    by_key = broadcast_if_small(stored.select("weather_key", "max_temperature"))
     return facts.join(by_key, "weather_key", "left").select(*facts.columns, "max_temperature")
 
 

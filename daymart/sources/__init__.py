@@ -1,6 +1,7 @@
 """Readers and writers."""
 
 from daymart.sources.readers import (
+    TEMPORARY,
     list_tables,
     read_clean_events,
     read_raw_events,
@@ -20,6 +21,7 @@ from daymart.sources.writers import (
 )
 
 __all__ = [
+    "TEMPORARY",
     "check_export_names",
     "export_name",
     "export_parquet",

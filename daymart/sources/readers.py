@@ -3,32 +3,57 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymart.schemas import CLEAN_EVENTS, SERIES, SERIES_PAYLOAD
-
-# A quote inside a quoted field is doubled; clock times are written plainly.
-CSV_FORMAT = {"header": True, "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+from daymart.schemas import CLEAN_EVENTS, SERIES, SERIES_DATE, SERIES_PAYLOAD
+
+# A quote inside a quoted field is doubled, text keeps its outer spaces, and
+# clock times are written plainly.
+CSV_FORMAT = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
+}
 SYSTEM_SCHEMAS = ("information_schema", "pg_catalog")
-DEFAULT_SCHEMA = "main"
+#: Where temporary views are listed. No database can have such a name.
+TEMPORARY = "(temporary)"
+_MALFORMED = "_malformed"
 
 
-def read_raw_events(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8") -> DataFrame:
+def read_raw_events(
+    spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8", multi_line: bool = True
+) -> DataFrame:
     """Delimited text with a header line; every column stays text.
 
     Names and their order come from the header alone, and each file's header
     is checked against them, so files with another layout fail rather than
-    shift their values.
+    shift their values. A row with fewer fields is filled up with nulls; one
+    with more fails and is shown. Quoted fields may hold line breaks; files
+    known to have none can be split with ``multi_line=False``.
     """
-    options = {**CSV_FORMAT, "sep": sep, "encoding": encoding}
+    options = {**CSV_FORMAT, "sep": sep, "encoding": encoding, "multiLine": multi_line}
     names = spark.read.options(**options).csv(path).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    return spark.read.schema(schema).options(**options, enforceSchema=False).csv(path)
-
-
-def read_clean_events(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
+    fields = [T.StructField(name, T.StringType()) for name in names]
+    marked = T.StructType([*fields, T.StructField(_MALFORMED, T.StringType())])
+    # Every field is parsed, or a row's length could not be told.
+    strict = {"columnNameOfCorruptRecord": _MALFORMED, "enforceSchema": False, "columnPruning": False}
+    rows = spark.read.schema(marked).options(**options, **strict).csv(path)
+    # A row is malformed when it is short or long; only a long one reaches
+    # beyond the last column.
+    longer = T.StructType([T.StructField(f"f{k}", T.StringType()) for k in range(len(names) + 1)])
+    quiet = {"sep": sep, "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    beyond = F.from_csv(F.col(_MALFORMED), longer.simpleString()[7:-1].replace(":", " "), quiet)[f"f{len(names)}"]
+    problem = F.concat(F.lit(f"a row has more than {len(names)} fields: "), F.col(_MALFORMED))
+    checked = F.when(F.col(_MALFORMED).isNotNull() & beyond.isNotNull(), F.raise_error(problem)).otherwise(F.lit(True))
+    return rows.filter(checked.cast("boolean")).drop(_MALFORMED)
+
+
+def read_clean_events(spark: SparkSession, path: str, sep: str = ";", multi_line: bool = True) -> DataFrame:
     """Cleaned events written by ``write_csv``, with their types."""
-    options = {**CSV_FORMAT, "sep": sep, "mode": "FAILFAST", "enforceSchema": False}
+    options = {**CSV_FORMAT, "sep": sep, "mode": "FAILFAST", "enforceSchema": False, "multiLine": multi_line}
     return spark.read.schema(CLEAN_EVENTS).options(**options).csv(path)
 
 
@@ -38,8 +63,17 @@ def read_series_payload(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_series(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
-    """Stored daily series; bookkeeping fields (``_id``, ``loaded_at``) are not read."""
-    return spark.read.schema(SERIES).format(file_format).load(path)
+    """Stored daily series; bookkeeping fields (``_id``, ``loaded_at``) are not read.
+
+    Text that is no document of the series, or a day or value that cannot be
+    read, fails the job rather than become null, and so does a document
+    without a day: its events would be lost in silence.
+    """
+    if file_format != "json":
+        return spark.read.schema(SERIES).format(file_format).load(path)
+    rows = spark.read.schema(SERIES).options(mode="FAILFAST", dateFormat="yyyy-MM-dd").json(path)
+    missing = F.raise_error(F.lit("a document of the series has no day"))
+    return rows.filter(F.when(F.col(SERIES_DATE).isNull(), missing).otherwise(F.lit(True)).cast("boolean"))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -50,7 +84,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def list_tables(spark: SparkSession) -> dict[tuple[str, str], DataFrame]:
     """(schema, name) -> frame for every table and view but the system's.
 
-    Temporary views belong to no schema and are listed under ``main``.
+    Temporary views belong to no schema: they are listed under ``TEMPORARY``,
+    global ones under the name of their own database.
     """
     found = {}
     for database in spark.catalog.listDatabases():
@@ -58,7 +93,11 @@ def list_tables(spark: SparkSession) -> dict[tuple[str, str], DataFrame]:
             continue
         for table in spark.catalog.listTables(database.name):
             if table.isTemporary:
-                found[(DEFAULT_SCHEMA, table.name)] = spark.table(f"`{table.name}`")
+                found[(TEMPORARY, table.name)] = spark.table(f"`{table.name}`")
             else:
                 found[(database.name, table.name)] = spark.table(f"`{database.name}`.`{table.name}`")
+    shared = spark.conf.get("spark.sql.globalTempDatabase", "global_temp")
+    for table in spark.catalog.listTables(shared):
+        if table.namespace == [shared]:
+            found[(shared, table.name)] = spark.table(f"`{shared}`.`{table.name}`")
     return found

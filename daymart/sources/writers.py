@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymart.operators.series import keyed_replace
-from daymart.operators.scratch import settle
 from daymart.schemas import SERIES
 from daymart.sources.readers import CSV_FORMAT
 
@@ -53,12 +53,30 @@ def save_series(new: DataFrame, path: str, loaded_at: datetime, mode: str = "rep
         if _exists(stamped, path):
             old = stamped.sparkSession.read.schema(STORED_SERIES).parquet(path)
             loads = old.unionByName(stamped)
-        # The merged series is on disk before the old files go.
-        settle(keyed_replace(loads), "series").write.mode("overwrite").parquet(path)
+        # The merged series is written beside the stored one and takes its
+        # place by a rename, so a job that dies leaves one or the other whole.
+        _swap(keyed_replace(loads), path)
     else:
         raise ValueError(f"unknown mode {mode!r}")
 
 
+def _swap(df: DataFrame, path: str) -> None:
+    """Write ``df`` and put it in the place of the table at ``path``."""
+    spark = df.sparkSession
+    fresh, former = f"{path.rstrip('/')}.{uuid.uuid4().hex}", f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    new, old, here = hadoop.Path(fresh), hadoop.Path(former), hadoop.Path(path)
+    store = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if store.exists(here) and not store.rename(here, old):
+        raise RuntimeError(f"{path} could not be moved away; the new series is at {fresh}")
+    if not store.rename(new, here):
+        store.rename(old, here)
+        raise RuntimeError(f"{fresh} could not be moved to {path}")
+    if store.exists(old):
+        store.delete(old, True)
+
+
 def _exists(df: DataFrame, path: str) -> bool:
     try:
         df.sparkSession.read.schema(STORED_SERIES).parquet(path)
@@ -69,15 +87,31 @@ def _exists(df: DataFrame, path: str) -> bool:
     return True
 
 
-def publish_model(df: DataFrame, name: str, kind: str = "table", path: str | None = None) -> DataFrame:
-    """Give a model a name: a view of its plan, or a table stored at ``path``."""
+def publish_model(
+    df: DataFrame, name: str, kind: str = "table", path: str | None = None, schema: str | None = None
+) -> DataFrame:
+    """Give a model a name: a view of its plan, or a stored table.
+
+    With ``schema`` a table is one of the catalog, made with its schema if need
+    be, and replaced by a rerun; it outlives the session where the catalog
+    does. Without one it is stored at ``path`` under a name of this session.
+    A view always belongs to the session.
+    """
+    spark = df.sparkSession
+    if kind == "table" and schema is not None:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+        writer = df.write.mode("overwrite").format("parquet")
+        (writer if path is None else writer.option("path", path)).saveAsTable(f"`{schema}`.`{name}`")
+        return spark.table(f"`{schema}`.`{name}`")
     if kind == "table":
         if path is None:
-            raise ValueError("a table needs a path")
+            raise ValueError("a table needs a path or a schema")
         save_table(df, path)
-        df = df.sparkSession.read.schema(df.schema).parquet(path)
+        df = spark.read.schema(df.schema).parquet(path)
     elif kind != "view":
         raise ValueError(f"unknown kind {kind!r}")
+    elif schema is not None:
+        raise ValueError("a view belongs to no schema")
     df.createOrReplaceTempView(name)
     return df
 
@@ -136,7 +170,7 @@ def export_relational(
 
     The dialect maps bigint, string, double, date and boolean. ``overwrite``
     empties and refills a table, so a rerun leaves no duplicates; ``append``
-    adds to it. Each partition commits on its own, and a commit whose success
+    adds to a table that is there. Each partition commits on its own, and a commit whose success
     an executor could not report is repeated; the row counts are compared
     afterwards to catch that.
     """
@@ -146,9 +180,16 @@ def export_relational(
         spark = df.sparkSession
         options = {**properties, **relational_options(url, target, writers, batch_rows)}
 
-        df.write.format("jdbc").mode(mode).options(**options).save()
-        if mode == "overwrite":
-            counted = {**properties, "url": url, "query": f"SELECT count(*) AS n FROM {target}"}
-            stored = int(spark.read.format("jdbc").options(**counted).load().first()[0])
-            if stored != df.count():
-                raise RuntimeError(f"{target} holds {stored} rows after the export, which is not what was sent")
+        counted = {**properties, "url": url, "query": f"SELECT count(*) AS n FROM {target}"}
+
+        def stored() -> int:
+            return int(spark.read.format("jdbc").options(**counted).load().first()[0])
+
+        before = stored() if mode == "append" else 0
+        # The rows are counted while they are sent: the plan runs once.
+        sent = Observation()
+        observed = df.observe(sent, F.count(F.lit(1)).alias("rows"))
+        observed.write.format("jdbc").mode(mode).options(**options).save()
+        added = stored() - before
+        if added != sent.get["rows"]:
+            raise RuntimeError(f"{target} has {added} new rows after the export of {sent.get['rows']}")

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from daymart.operators import clear_scratch, settle
 from daymart.operators.scratch import scratch_path
 from daymart.sources import (
+    TEMPORARY,
     check_export_names,
     export_name,
     export_parquet,
     export_relational,
     list_tables,
     publish_model,
+    read_raw_events,
+    read_series,
     read_table,
     save_table,
     write_csv,
@@ -69,14 +72,79 @@ def test_publish_and_list(spark, numbers, tmp_path):
     assert "FileScan" in stored._jdf.queryExecution().executedPlan().toString()
     numbers.write.mode("overwrite").saveAsTable("numbers_saved")
     listed = list_tables(spark)
-    assert {("main", "numbers_view"), ("main", "numbers_table"), ("default", "numbers_saved")} <= set(listed)
-    assert listed[("default", "numbers_saved")].count() == listed[("main", "numbers_view")].count() == 10
+    assert {(TEMPORARY, "numbers_view"), (TEMPORARY, "numbers_table"), ("default", "numbers_saved")} <= set(listed)
+    assert listed[("default", "numbers_saved")].count() == listed[(TEMPORARY, "numbers_view")].count() == 10
     spark.sql("DROP TABLE numbers_saved")
     for kind in ("table", "other"):
         with pytest.raises(ValueError):
             publish_model(numbers, "x", kind)
 
 
+def test_a_table_and_views_of_one_name_are_all_listed(spark, numbers):
+    spark.sql("CREATE DATABASE IF NOT EXISTS main")
+    numbers.limit(3).write.mode("overwrite").saveAsTable("main.same_name")
+    numbers.createOrReplaceTempView("same_name")
+    numbers.limit(5).createOrReplaceGlobalTempView("same_name")
+    listed = list_tables(spark)
+    found = {key[0]: df.count() for key, df in listed.items() if key[1] == "same_name"}
+    assert found == {"main": 3, TEMPORARY: 10, "global_temp": 5}
+    spark.catalog.dropTempView("same_name")
+    spark.catalog.dropGlobalTempView("same_name")
+    spark.sql("DROP DATABASE main CASCADE")
+
+
+def test_models_live_in_their_schema(spark, numbers):
+    for _ in range(2):
+        publish_model(numbers, "dim_n", schema="dims")
+    assert spark.table("dims.dim_n").count() == 10
+    assert ("dims", "dim_n") in list_tables(spark)
+    with pytest.raises(ValueError):
+        publish_model(numbers, "v", "view", schema="dims")
+    spark.sql("DROP DATABASE dims CASCADE")
+
+
+def test_text_survives_csv(spark, tmp_path):
+    texts = [" Tallinn ", 'a "quoted" b', "x;y,z", "two\nlines", "", "plain"]
+    df = spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)], "k string, t string")
+    for sep in ";,":
+        write_csv(df, str(tmp_path / f"csv{ord(sep)}"), sep=sep)
+        back = read_raw_events(spark, str(tmp_path / f"csv{ord(sep)}"), sep=sep)
+        assert sorted(r["t"] or "" for r in back.collect()) == sorted(texts)
+
+
+def test_long_rows_fail_and_short_ones_are_filled(spark, tmp_path):
+    (tmp_path / "short.csv").write_text("a;b;c\n1;2\n3;4;5\n")
+    assert sorted(map(tuple, read_raw_events(spark, str(tmp_path / "short.csv")).collect())) == [("1", "2", None), ("3", "4", "5")]
+    (tmp_path / "long.csv").write_text("a;b\n1;2\n3;4;5\n")
+    with pytest.raises(Exception, match="more than 2 fields: 3;4;5"):
+        read_raw_events(spark, str(tmp_path / "long.csv")).select("a").collect()
+
+
+@pytest.mark.parametrize("line", ['{"date": "05.01.2020", "rain_sum": 1.0}', '{"date": "2020-01-05", "rain_sum": "abc"}', "no json", '{"rain_sum": 1.0}'])
+def test_unreadable_documents_fail(spark, tmp_path, line):
+    (tmp_path / "s.json").write_text('{"date": "2020-01-04", "rain_sum": 2.0}\n')
+    assert read_series(spark, str(tmp_path / "s.json"), "json").count() == 1
+    (tmp_path / "bad.json").write_text('{"date": "2020-01-04", "rain_sum": 2.0}\n' + line + "\n")
+    with pytest.raises(Exception):
+        read_series(spark, str(tmp_path / "bad.json"), "json").collect()
+
+
+def test_scratch_on_a_cluster_must_be_shared(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    def session(folder, **conf):
+        settings = {"spark.checkpoint.dir": folder, **conf}
+        context = SimpleNamespace(master="spark://host:7077", applicationId="app", getCheckpointDir=lambda: None)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+
+    for folder in ("file:/tmp/x", "/tmp/x"):
+        with pytest.raises(RuntimeError):
+            scratch_path(session(folder), "x")
+    assert scratch_path(session("hdfs://store/x"), "y").startswith("hdfs://store/x/")
+    assert scratch_path(session("/x", **{"spark.hadoop.fs.defaultFS": "hdfs://store"}), "y").startswith("/x/")
+    assert scratch_path(session("file:/mnt/x", **{"spark.daymart.sharedMount": "true"}), "y").startswith("file:/mnt/x/")
+
+
 def test_relational_options(numbers):
     assert relational_options("jdbc:x", "main_fact", 4, 500) == {
         "url": "jdbc:x",

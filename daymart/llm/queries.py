@@ -89,4 +89,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Water-filling in closed form: sources in the order of cap by weight are
+#: capped as long as the level of the rest would lift them above their cap.
+MIX_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS k,
+    CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS ord
+  FROM documents),
+sources AS (SELECT k, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY k),
+weighted AS (
+  SELECT *, CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY k) - 1) % 3] AS DOUBLE) AS weight,
+    source_size * CAST(2 AS DOUBLE) AS cap,
+    CAST(sum(source_size) OVER () AS DOUBLE) * CAST(1.5 AS DOUBLE) AS total
+  FROM sources),
+levels AS (
+  SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / weight, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY cap / weight, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighted),
+filled AS (
+  SELECT *, level * weight > cap AS capped,
+    total - sum(CASE WHEN level * weight > cap THEN cap ELSE 0 END) OVER () AS rest,
+    sum(CASE WHEN level * weight > cap THEN 0 ELSE weight END) OVER () AS open_weight
+  FROM levels),
+targets AS (
+  SELECT k, source_size, CASE WHEN capped THEN cap ELSE least(cap, weight * (rest / open_weight)) END AS target FROM filled),
+plan AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM targets),
+placed AS (
+  SELECT doc_id, size, source_size, target, whole,
+    CAST(floor(target) AS BIGINT) - whole * source_size AS quota,
+    CAST(coalesce(sum(size) OVER (PARTITION BY k ORDER BY ord, doc_id, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS earlier
+  FROM docs JOIN plan USING (k))
+SELECT doc_id, size, source_size, target,
+  CAST(whole * size + least(size, greatest(0, quota - earlier)) AS BIGINT) AS taken
+FROM placed
+"""
+
+#: The other operators hash, encode or learn in ways that SQL cannot say; the
+#: tests compare them with plain versions.
+ORACLE_SQL: dict[str, str] = {"op6_mix_sources": MIX_SQL}

@@ -57,6 +57,15 @@ def clear_scratch(spark: SparkSession) -> None:
 
     Call it when the results built on them have been written.
     """
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+    root = _scratch_root(spark)
+    try:
+        from pyarrow import fs
+
+        system, path = fs.FileSystem.from_uri(root)
+    except (ImportError, ValueError, OSError):
+        # A store that only Spark knows.
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        return
+    if system.get_file_info(path).type != fs.FileType.NotFound:
+        system.delete_dir(path)

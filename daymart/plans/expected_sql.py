@@ -6,18 +6,20 @@ natural keys, nothing pre-aggregated.
 
 from __future__ import annotations
 
-from daymart.functions.geo import (
-    CONE,
-    ECCENTRICITY,
-    FALSE_EASTING,
-    FALSE_NORTHING,
-    LATITUDE_PASSES,
-    ORIGIN_LONGITUDE,
-    ORIGIN_RADIUS,
-    RADIUS_SCALE,
-)
 from daymart.schemas import ALLOWED_REGIONS
 
+# The projection's constants, worked out by hand from the textbook form of the
+# Lambert conformal conic with two standard parallels (m and t of 58 and 59 1/3
+# degrees, GRS80), so that a wrong constant of the library shows.
+ECCENTRICITY = 0.08181919104281579
+CONE = 0.8541758580870784
+RADIUS_SCALE = 11473298.038394244
+ORIGIN_RADIUS = 4020205.4786358215
+ORIGIN_LONGITUDE = 24.0
+FALSE_EASTING = 500000.0
+FALSE_NORTHING = 6375000.0
+LATITUDE_PASSES = 8
+
 DAY = "CAST(o.o_orderdate AS DATE)"
 
 EVENTS = f"""

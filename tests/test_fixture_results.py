@@ -213,6 +213,12 @@ def test_conformed_star(integrated):
     assert sorted(rows(wide, "accident_id", "max_temperature")) == [(1, 2.0), (2, 2.0), (8, -5.0), (9, 6.0)]
 
 
+def test_the_wide_fact_refuses_keys_that_are_not_its_own(integrated):
+    star = build_star(integrated, "as_written")
+    with pytest.raises(ValueError, match="conformed"):
+        fact_wide(star.fact, star.dim_weather)
+
+
 def test_as_written_star(integrated):
     star = build_star(integrated, "as_written")
     assert sorted(rows(star.dim_location)) == [(k, *(HARJU if k <= 3 else TARTU)) for k in range(1, 6)]

@@ -30,12 +30,12 @@ def rank_tuples(df: DataFrame, keys: list[str], partitions: int | None = None) -
     Nulls sort last.
     """
     order = [F.col(k).asc_nulls_last() for k in keys]
-    tuples = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COUNT))
+    # Stored once counted: dealing by ranges reads them twice, and their number
+    # says how many ranges they need, whatever the session's default is.
+    tuples = settle(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COUNT)), "tuples")
     if partitions is None:
-        # As many as the tuples ask for, whatever the session's default is.
-        tuples_about = df.agg(F.approx_count_distinct(F.struct(*keys)).alias("n")).first()["n"]
         least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        partitions = max(least, -(-tuples_about // _ROWS_PER_TASK))
+        partitions = max(least, -(-tuples.count() // _ROWS_PER_TASK))
     ranged = tuples.repartitionByRange(partitions, *order)
     place_bits = F.lit((1 << 33) - 1)
     placed = ranged.sortWithinPartitions(*order).select(

@@ -18,7 +18,7 @@ import pandas as pd
 import public_tokenizers
 from tokenizers import Tokenizer
 
-KEPT_WORDS = 600_000
+KEPT_WORDS = 800_000
 ID_TYPE = "<u4"
 #: Characters of text handled at once, so long texts do not meet in one list.
 _BLOCK_CHARS = 1_000_000
@@ -27,6 +27,7 @@ _LONG_WORD = 200
 #: A word of letters of Latin-1, after a line break or not, and closing marks.
 #: Letters that libraries may case in different ways are left out.
 _LETTERS = re.compile(r"(\n?)([A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00e0-\u00f6\u00f8-\u00fe]{1,200})([.,;:!?]*)")
+_BEYOND_LATIN = re.compile("[^\x00-\u024f]")
 _TWO_SPACES = re.compile(r"\s\s")
 
 
@@ -159,6 +160,10 @@ class Encoder:
     def _words(self, text: str) -> list[str]:
         if self.spaced:
             return text.replace("\n", " \n").split(" ")
+        # Letters are lower-cased by the vocabulary; done first, words are fewer.
+        # A special token is told by its case, and some letters by their place.
+        if "<|" not in text and not _BEYOND_LATIN.search(text):
+            text = text.lower()
         return text.replace("\n", " ").split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:

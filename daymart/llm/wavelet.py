@@ -243,8 +243,11 @@ def write_shards(
     numbered.mapInPandas(write, "docs long").agg(F.sum("docs")).first()
 
 
-def read_shards(spark: SparkSession, folder: str) -> DataFrame:
-    """Each document of the shards: shard, place, doc_id, local start, ids."""
+DOCUMENTS = "shard long, place long, doc_id long, local_start long, n_tokens long, ids_crc32 long"
+
+
+def read_shards(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
+    """Each document of the shards: where it is, its length and checksum, and its ids."""
     files = listed(spark, folder, f"*{SUFFIX}")
     # A row is a name here and a whole shard in its task: one task a shard.
     files = files.repartition(max(1, files.count()), F.col("path"))
@@ -259,17 +262,18 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
                 number = int(uri.rsplit("shard-", 1)[1].removesuffix(SUFFIX))
                 for a in range(0, len(ends), 2000):
                     rows = range(a, min(a + 2000, len(ends)))
-                    yield pd.DataFrame(
-                        {
-                            "shard": number,
-                            "place": list(rows),
-                            "doc_id": pd.array([shard.doc_ids[k] for k in rows], dtype="Int64"),
-                            "local_start": [starts[k] for k in rows],
-                            "ids": [data[4 * starts[k] : 4 * ends[k]] for k in rows],
-                        }
-                    )
+                    own = [data[4 * starts[k] : 4 * ends[k]] for k in rows]
+                    out = {
+                        "shard": number,
+                        "place": list(rows),
+                        "doc_id": pd.array([shard.doc_ids[k] for k in rows], dtype="Int64"),
+                        "local_start": [starts[k] for k in rows],
+                        "n_tokens": [len(i) // 4 for i in own],
+                        "ids_crc32": list(map(zlib.crc32, own)),
+                    }
+                    yield pd.DataFrame(out | {"ids": own} if with_ids else out)
 
-    return files.mapInPandas(read, "shard long, place long, doc_id long, local_start long, ids binary")
+    return files.mapInPandas(read, f"{DOCUMENTS}, ids binary" if with_ids else DOCUMENTS)
 
 
 def document_index(spark: SparkSession, folder: str) -> DataFrame:
@@ -278,17 +282,7 @@ def document_index(spark: SparkSession, folder: str) -> DataFrame:
     The shards' own totals are one row a shard; their running sum is the only
     step that one task does.
     """
-
-    def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = frame[["shard", "place", "doc_id", "local_start"]].copy()
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            out["n_tokens"] = [len(i) // 4 for i in frame["ids"]]
-            out["ids_crc32"] = [zlib.crc32(i) for i in frame["ids"]]
-            yield out
-
-    schema = "shard long, place long, doc_id long, local_start long, n_tokens long, ids_crc32 long"
-    rows = settle(read_shards(spark, folder).mapInPandas(measure, schema), "documents")
+    rows = settle(read_shards(spark, folder, with_ids=False), "documents")
     totals = rows.groupBy("shard").agg(F.sum("n_tokens").alias("tokens"))
     before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
     bases = totals.select("shard", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))

@@ -103,7 +103,10 @@ def _majority(hashes: np.ndarray) -> int:
 
 def fingerprint(text: str | None, shingle: int, bits: int = BITS) -> bytes:
     """Big-endian fingerprint of ``bits`` (a multiple of 64) bits."""
-    hashes = shingle_hashes(text, shingle)
+    return _mark(shingle_hashes(text, shingle), bits)
+
+
+def _mark(hashes: np.ndarray, bits: int) -> bytes:
     return b"".join(_majority(_mixed(hashes, k)).to_bytes(8, "big") for k in range(bits // 64))
 
 
@@ -120,6 +123,23 @@ def fingerprints(docs: DataFrame, shingle: int, bits: int = BITS) -> DataFrame:
     return rows.mapInPandas(mark, "doc_id long, text_hash long, fingerprint binary")
 
 
+def set_marks(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, text_hash, fingerprint of 256 bits, and hash and size of the shingle set of each row."""
+
+    def mark(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in small_batches(frames, "text"):
+            out = frame[["doc_id", "text_hash"]].copy()
+            out["doc_id"] = out["doc_id"].astype("Int64")
+            hashes = [shingle_hashes(t, shingle) for t in frame["text"]]
+            out["fingerprint"] = [_mark(h, 256) for h in hashes]
+            sets = [np.unique(h) for h in hashes]
+            nodes = np.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in sets], dtype=np.uint64)
+            yield out.assign(node=nodes.view(np.int64), size=[len(h) for h in sets])
+
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return rows.mapInPandas(mark, "doc_id long, text_hash long, fingerprint binary, node long, size int")
+
+
 def gray_rank(codes: np.ndarray) -> np.ndarray:
     """Rank of each 64-bit code in the reflected Gray code."""
     rank = codes.copy()
@@ -251,7 +271,6 @@ class Sampled:
     key_bits: int
     count: int
     limit: int = CANDIDATE_BITS
-    levels: int = 3
 
     @staticmethod
     def for_nodes(nodes: int, similarity: float = MIN_SIMILARITY, recall: float = 0.995) -> Sampled:
@@ -261,12 +280,13 @@ class Sampled:
         count = math.ceil(math.log(1 - recall) / math.log(1 - agree**key_bits))
         return Sampled(key_bits, count)
 
-    def tables(self, path: tuple[int, ...]) -> list[list[int]]:
-        draw = np.random.default_rng([SEED, len(path), *path])
-        if not path:
-            return [sorted(draw.choice(256, self.key_bits, replace=False).tolist()) for _ in range(self.count)]
-        # Few bits and several draws, so that near nodes still meet in one.
-        return [sorted(draw.choice(256, 4, replace=False).tolist()) for _ in range(5)]
+    def tables(self) -> list[list[int]]:
+        draw = np.random.default_rng([SEED, 0])
+        return [sorted(draw.choice(256, self.key_bits, replace=False).tolist()) for _ in range(self.count)]
+
+    def limits(self, path: np.ndarray) -> np.ndarray:
+        """Differing bits up to which pairs of a table are candidates."""
+        return np.full(len(path), self.limit)
 
 
 def _codes(marks: pd.Series) -> np.ndarray:
@@ -285,7 +305,7 @@ def _keys(codes: np.ndarray, bits: list[int]) -> np.ndarray:
 ROUTED = "path string, key long, node long, fingerprint binary"
 
 
-def _route(rows: DataFrame, scheme: Exact | Sampled) -> DataFrame:
+def _route(rows: DataFrame, scheme: Exact) -> DataFrame:
     """Each row in every table of its path; ``key`` grows by the table's bits."""
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -356,7 +376,7 @@ def _link_frame(frame: pd.DataFrame, limit: int) -> pd.DataFrame:
     return pd.DataFrame({"a": nodes[a], "b": nodes[b]})
 
 
-def linked_nodes(nodes: DataFrame, scheme: Exact | Sampled, count: int) -> DataFrame:
+def linked_nodes(nodes: DataFrame, scheme: Exact, count: int) -> DataFrame:
     """Pairs (a, b) of stored ``nodes`` (node, fingerprint); ``count`` is their number."""
     start = nodes.select(F.lit("").alias("path"), F.lit(0).cast("long").alias("key"), "node", "fingerprint")
     partitions = max(8, -(-count * len(scheme.tables(())) // 100_000))
@@ -379,6 +399,138 @@ def linked_nodes(nodes: DataFrame, scheme: Exact | Sampled, count: int) -> DataF
     return settle(found.distinct(), "links")
 
 
+DEALT = "path int, key long, node long, size int, root long, fingerprint binary"
+MEETING = ["path", "key", "low", "high"]
+
+
+def _deal_sets(nodes: DataFrame, scheme: Sampled) -> DataFrame:
+    """Each of ``nodes`` (node, size, root, fingerprint) in every table of the scheme."""
+
+    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            codes = _codes(frame["fingerprint"])
+            for k, bits in enumerate(scheme.tables()):
+                yield frame.assign(path=k, key=_keys(codes, bits).view(np.int64))[[c.split()[0] for c in DEALT.split(", ")]]
+
+    return nodes.select("node", "size", "root", "fingerprint").mapInPandas(deal, DEALT)
+
+
+def _meetings(dealt: DataFrame) -> DataFrame:
+    """Rows with the blocks (low, high) of their key that meet, and the row's own.
+
+    A key of one root has nothing to join. A crowded key is cut into blocks of
+    which each pair meets by itself; the nodes of its most frequent root have
+    blocks of their own, and those do not meet each other.
+    """
+    sizes = dealt.groupBy("path", "key", "root").count().groupBy("path", "key")
+    sizes = sizes.agg(F.sum("count").alias("total"), F.max("count").alias("most"), F.max_by("root", "count").alias("main"))
+    sizes = settle(sizes.filter("total > most"), "sizes")
+    half = F.lit(max(1, GROUP_NODES // 2))
+    crowded = F.col("total") > GROUP_NODES
+    others = F.when(crowded, F.ceil((F.col("total") - F.col("most")) / half)).otherwise(1)
+    mains = F.when(crowded, F.ceil(F.col("most") / half)).otherwise(0)
+    cut = sizes.select("path", "key", "main", others.cast("int").alias("others"), mains.cast("int").alias("mains"))
+    is_main = (F.col("root") == F.col("main")) & (F.col("mains") > 0)
+    place = F.xxhash64("node", F.lit(SEED))
+    own = F.when(is_main, F.col("others") + F.pmod(place, F.col("mains"))).otherwise(F.pmod(place, F.col("others")))
+    last = F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    rows = dealt.join(broadcast_if_small(cut), ["path", "key"]).withColumn("own", own.cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    return rows.select("path", "key", low, high, "own", "node", "size", "root", "fingerprint")
+
+
+def _slices(dealt: DataFrame) -> DataFrame:
+    """As ``_meetings``, but of a crowded key each block meets only itself."""
+    sizes = dealt.groupBy("path", "key").count().filter("count > 1")
+    cut = settle(sizes.select("path", "key", F.ceil(F.col("count") / GROUP_NODES).cast("int").alias("blocks")), "sizes")
+    own = F.pmod(F.xxhash64("node", F.lit(SEED)), F.col("blocks")).cast("int")
+    rows = dealt.join(broadcast_if_small(cut), ["path", "key"]).withColumn("own", own)
+    low, high = F.col("own").alias("low"), F.col("own").alias("high")
+    return rows.select("path", "key", low, high, "own", "node", "size", "root", "fingerprint")
+
+
+def _candidates(met: DataFrame, scheme: Sampled, least: float, forest: bool, partitions: int) -> DataFrame:
+    """Distinct pairs (a, b) of different roots that may be similar; with ``forest`` only some of them."""
+    dealt = met.repartition(partitions, *MEETING).sortWithinPartitions(*MEETING)
+
+    def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for frame in frames:
+            frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            # The last group of a frame may go on in the next one; none has many more than GROUP_NODES rows.
+            last = (frame[MEETING] == frame[MEETING].iloc[-1]).all(axis=1).to_numpy()
+            held = frame[last]
+            yield from _open_pairs(frame[~last], scheme, least, forest)
+        if held is not None:
+            yield from _open_pairs(held, scheme, least, forest)
+
+    found = dealt.mapInPandas(meet, "a long, b long").filter("a <> b")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _open_pairs(frame: pd.DataFrame, scheme: Sampled, least: float, forest: bool) -> Iterator[pd.DataFrame]:
+    """The candidates of whole groups, in blocks of pairs."""
+    if len(frame) < 2:
+        return
+    group = frame.groupby(MEETING, sort=False).ngroup().to_numpy()
+    size = frame["size"].to_numpy(dtype=np.int64)
+    order = np.lexsort([size, group])
+    frame, group, size = frame.iloc[order], group[order], size[order]
+    codes, node, own = _codes(frame["fingerprint"]), frame["node"].to_numpy(), frame["own"].to_numpy()
+    limit = scheme.limits(frame["path"].to_numpy())
+    within = (frame["low"] == frame["high"]).to_numpy()
+    root = frame["root"].to_numpy()
+    labels = np.arange(len(frame))
+    if forest:
+        _, first, of = np.unique(frame.assign(g=group).groupby(["g", "root"]).ngroup().to_numpy(), return_index=True, return_inverse=True)
+        labels = first[of]
+    # A similarity of ``least`` needs sizes within that ratio: an exact bound.
+    place = (group.astype(np.int64) << 32) + size
+    end = np.searchsorted(place, (group.astype(np.int64) << 32) + np.floor(size / least + 1e-6).astype(np.int64), "right")
+    partners = end - np.arange(len(frame)) - 1
+    upto = np.cumsum(partners)
+    a = 0
+    while a < len(frame):
+        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + _PAIRS_AT_ONCE, "right")))
+        n = partners[a:b]
+        i = np.repeat(np.arange(a, b), n)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        a = b
+        keep = (root[i] != root[j]) & (within[i] | (own[i] != own[j]))
+        i, j = i[keep], j[keep]
+        apart = _bits(codes[i] ^ codes[j])
+        keep = apart <= limit[i]
+        i, j, apart = i[keep], j[keep], apart[keep]
+        if forest:
+            pairs: list = []
+            for d in np.unique(apart):
+                labels = _join(labels, i[apart == d], j[apart == d], pairs)
+            i, j = (np.concatenate(side) for side in zip(*pairs)) if pairs else (i[:0], j[:0])
+        if len(i):
+            yield pd.DataFrame({"a": node[i], "b": node[j]})
+
+
+def similar_links(reps: DataFrame, docs: DataFrame, scheme: Sampled, count: int, shingle: int, least: float) -> DataFrame:
+    """Checked links (a, b) that join all that candidates of at least that similarity join.
+
+    First a forest of candidates for each key is checked, which joins most of a
+    family with few checks. It drops nothing: then every candidate whose nodes
+    no checked link has joined is checked, too.
+    """
+    partitions = max(8, -(-count * len(scheme.tables()) // 100_000))
+    nodes = reps.select("node", "size", F.col("node").alias("root"), "fingerprint")
+    tried = settle(_candidates(_slices(_deal_sets(nodes, scheme)), scheme, least, True, partitions), "tried")
+    links = _checked(tried, reps, docs, shingle, least)
+    nodes = reps.join(components(links), "node", "left").select(
+        "node", "size", F.coalesce("root", "node").alias("root"), "fingerprint"
+    )
+    nodes = settle(nodes, "rooted")
+    left = _candidates(_meetings(_deal_sets(nodes, scheme)), scheme, least, False, partitions)
+    left = settle(left.join(tried, ["a", "b"], "left_anti"), "left")
+    return links.unionByName(_checked(left, reps, docs, shingle, least))
+
+
 def node_of(fingerprint_: Column, bits: int) -> Column:
     """A number for a fingerprint: itself when it is 64 bits long."""
     if bits == 64:
@@ -428,17 +580,20 @@ def group_documents(
     """
     if min_similarity is None and bits != 64:
         raise ValueError("the exact scheme is one of 64 bits")
-    marked = settle(
-        fingerprints(docs, shingle, bits).withColumn("node", node_of(F.col("fingerprint"), bits)), "fingerprints"
-    )
+    if min_similarity is None:
+        marked = fingerprints(docs, shingle).withColumn("node", node_of(F.col("fingerprint"), bits)).withColumn("size", F.lit(0))
+    else:
+        marked = set_marks(docs, shingle)
+    marked = settle(marked, "fingerprints")
     # Nulls sort after ids, so a null is the smallest only when all are null.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "text_hash")).alias("rep")
-    reps = settle(marked.groupBy("node").agg(first, F.min("fingerprint").alias("fingerprint")), "nodes")
+    kept = F.min("fingerprint").alias("fingerprint"), F.min("size").alias("size")
+    reps = settle(marked.groupBy("node").agg(first, *kept), "nodes")
     count = reps.count()
-    scheme = Exact() if min_similarity is None else Sampled.for_nodes(count, min_similarity)
-    links = linked_nodes(reps.select("node", "fingerprint"), scheme, count)
-    if min_similarity is not None:
-        links = _checked(links, reps, docs, shingle, min_similarity)
+    if min_similarity is None:
+        links = linked_nodes(reps.select("node", "fingerprint"), Exact(), count)
+    else:
+        links = similar_links(reps, docs, Sampled.for_nodes(count, min_similarity), count, shingle, min_similarity)
     roots = components(links)
     rooted = reps.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("first"))

@@ -17,8 +17,10 @@ Two schemes route. ``exact``: 64 bits in four blocks; two fingerprints at most
 hashes of a shingle), keys of bits drawn by a seed; how many keys of how many
 bits follows from the number of nodes so that texts of similarity 0.8 meet with
 a probability of at least 0.99; linked pairs are then checked on their whole
-shingle sets. In both, a key with very many nodes is dealt out again by
-further bits, so no task takes a group that grows with the table.
+shingle sets before they join anything. In ``exact`` a key with very many nodes
+is dealt out again by further bits; what is still crowded after that, and every
+crowded key of ``sampled``, is cut into blocks of which each pair meets by
+itself, so no task takes a group that grows with the table.
 
 Defined results: texts without words have fingerprint zero and are linked like
 any other; null texts are empty; a null doc_id is kept, and never the smallest
@@ -50,7 +52,7 @@ MAX_DISTANCE = 3
 MIN_SIMILARITY = 0.8
 #: Differing bits of 256 up to which two nodes are compared on their shingles.
 CANDIDATE_BITS = 54
-#: Nodes of one key that a task takes; more are dealt out by further bits.
+#: Nodes of one key that a task takes; more are dealt out by further bits, or in pairs of blocks.
 GROUP_NODES = 4096
 _SHINGLES_AT_ONCE = 1 << 17
 _LEAF, _FAN = 32, 8
@@ -376,6 +378,17 @@ def _link_frame(frame: pd.DataFrame, limit: int) -> pd.DataFrame:
     return pd.DataFrame({"a": nodes[a], "b": nodes[b]})
 
 
+def _in_pairs_of_blocks(rows: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Rows of crowded keys, in blocks of which each pair meets by itself."""
+    half = max(1, GROUP_NODES // 2)
+    counted = crowded.select("path", "key", F.ceil(F.col("count") / half).cast("int").alias("blocks"))
+    cut = rows.join(broadcast_if_small(counted), ["path", "key"])
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("node", F.lit(SEED)), F.col("blocks")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    path = F.concat_ws("#", "path", F.least("own", "other").cast("string"), F.greatest("own", "other").cast("string"))
+    return cut.select(path.alias("path"), "key", "node", "fingerprint")
+
+
 def linked_nodes(nodes: DataFrame, scheme: Exact, count: int) -> DataFrame:
     """Pairs (a, b) of stored ``nodes`` (node, fingerprint); ``count`` is their number."""
     start = nodes.select(F.lit("").alias("path"), F.lit(0).cast("long").alias("key"), "node", "fingerprint")
@@ -384,14 +397,17 @@ def linked_nodes(nodes: DataFrame, scheme: Exact, count: int) -> DataFrame:
     for level in range(scheme.levels):
         todo = settle(todo, "routed")
         final = level == scheme.levels - 1
-        crowded = todo.groupBy("path", "key").count().filter(F.col("count") > GROUP_NODES).select("path", "key")
+        crowded = todo.groupBy("path", "key").count().filter(F.col("count") > GROUP_NODES)
         crowded = settle(crowded, "crowded")
-        more = not final and not crowded.isEmpty()
-        if more:
-            small = broadcast_if_small(crowded)
-            links = _link(todo.join(small, ["path", "key"], "left_anti"), scheme.limit, partitions)
-        else:
-            links = _link(todo, scheme.limit, partitions)
+        some = not crowded.isEmpty()
+        more = some and not final
+        ready = todo
+        if some:
+            small = broadcast_if_small(crowded.select("path", "key"))
+            ready = todo.join(small, ["path", "key"], "left_anti").select("path", "key", "node", "fingerprint")
+        if some and final:
+            ready = ready.unionByName(_in_pairs_of_blocks(todo, crowded))
+        links = _link(ready, scheme.limit, partitions)
         found = links if found is None else found.unionByName(links)
         if not more:
             break

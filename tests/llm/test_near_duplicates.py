@@ -3,7 +3,9 @@
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from daymart.llm import simhash
 
@@ -54,8 +56,6 @@ def test_a_loose_candidate_does_not_hide_a_true_link():
     a, x, c = np.zeros((3, 4), dtype=np.uint64)
     a[0], c[0], x[1] = (1 << 20) - 1, (1 << 40) - (1 << 20), 1
     scheme = simhash.Sampled(8, 1)
-    import pandas as pd
-
     codes = [b"".join(int(w).to_bytes(8, "big") for w in v) for v in (a, x, c)]
     frame = pd.DataFrame({"path": 0, "key": 0, "low": 0, "high": 0, "own": 0, "node": [1, 2, 3], "size": 100, "root": [1, 2, 3], "fingerprint": codes})
     pairs = {tuple(sorted(p)) for out in simhash._open_pairs(frame, scheme, 0.8, False) for p in out[["a", "b"]].itertuples(index=False)}
@@ -69,3 +69,23 @@ def test_families_around_the_limit_are_those_of_all_pairs(spark, monkeypatch, gr
     monkeypatch.setattr(simhash, "GROUP_NODES", group_nodes)
     rows = families(3)
     assert kept(spark, rows) == brute_kept(rows)
+
+
+def test_no_group_grows_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "GROUP_NODES", 20)
+    largest = []
+    link = simhash._link
+
+    def watched(routed, *rest):
+        largest.append(routed.groupBy("path", "key").count().agg(F.max("count")).first()[0] or 0)
+        return link(routed, *rest)
+
+    monkeypatch.setattr(simhash, "_link", watched)
+    # All differ in the same few bits, so some keys of all levels hold them all.
+    marks = np.random.default_rng(4).choice(1 << 12, 300, replace=False).tolist()
+    nodes = spark.createDataFrame([(m, m.to_bytes(8, "big")) for m in marks], "node long, fingerprint binary")
+    links = simhash.linked_nodes(nodes, simhash.Exact(), len(marks))
+    got = {r["node"]: r["root"] for r in simhash.components(links).collect()}
+    near = [(x, y) for x, y in itertools.combinations(marks, 2) if (x ^ y).bit_count() <= 3]
+    assert near and all(got[x] == got[y] for x, y in near)
+    assert max(largest) <= 60

@@ -14,13 +14,16 @@ they pass the limit.
 
 Two schemes route. ``exact``: 64 bits in four blocks; two fingerprints at most
 3 bits apart agree on a block, so no link is lost. ``sampled``: 256 bits (four
-hashes of a shingle), keys of bits drawn by a seed; how many keys of how many
-bits follows from the number of nodes so that texts of similarity 0.8 meet with
-a probability of at least 0.99; linked pairs are then checked on their whole
-shingle sets before they join anything. In ``exact`` a key with very many nodes
-is dealt out again by further bits; what is still crowded after that, and every
-crowded key of ``sampled``, is cut into blocks of which each pair meets by
-itself, so no task takes a group that grows with the table.
+hashes of a distinct shingle), keys of bits drawn by a seed; the limit of
+differing bits and the number of keys follow from one stated loss (``LOSS``) for
+texts of similarity 0.8, so those above it lose less. Texts of few shingles
+have uneven fingerprints and meet through the smallest hashes of their sets, of
+which similar ones share one. Pairs are checked on their whole shingle sets
+before they join anything. In ``exact`` a key with very many nodes is dealt out
+again by further bits; what is still crowded after that, and every crowded key
+of ``sampled``, is cut into blocks of which each pair meets by itself, so no task
+takes a group that grows with the table. Keys of ``sampled`` are compared by
+size first, not through the index: its upper nodes hardly prune at such limits.
 
 Defined results: texts without words have fingerprint zero and are linked like
 any other; null texts are empty; a null doc_id is kept, and never the smallest
@@ -50,8 +53,13 @@ SEED = 42
 BITS = 64
 MAX_DISTANCE = 3
 MIN_SIMILARITY = 0.8
-#: Differing bits of 256 up to which two nodes are compared on their shingles.
-CANDIDATE_BITS = 54
+#: Chance that a pair of texts of the least similarity is no candidate, all causes together.
+LOSS = 0.005
+#: Sets up to this size meet through their smallest hashes, without chance.
+SMALL_SET = 64
+#: A bit differs more often than an angle says, as ties are zero: by this factor
+#: at most for sets above SMALL_SET (0.1536 for 0.1515 at 0.8), and for all sets.
+_TIES, _TIES_SMALL = 1.02, 1.25
 #: Nodes of one key that a task takes; more are dealt out by further bits, or in pairs of blocks.
 GROUP_NODES = 4096
 _SHINGLES_AT_ONCE = 1 << 17
@@ -125,21 +133,29 @@ def fingerprints(docs: DataFrame, shingle: int, bits: int = BITS) -> DataFrame:
     return rows.mapInPandas(mark, "doc_id long, text_hash long, fingerprint binary")
 
 
-def set_marks(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, text_hash, fingerprint of 256 bits, and hash and size of the shingle set of each row."""
+def first_hashes(hashes: np.ndarray, least: float) -> np.ndarray:
+    """Hashes of a sorted set of which similar sets share at least one."""
+    return hashes[: len(hashes) - math.ceil(least * len(hashes) - 1e-9) + 1]
+
+
+def set_marks(docs: DataFrame, shingle: int, least: float) -> DataFrame:
+    """doc_id, text_hash, and of the shingle set of each row its fingerprint of
+    256 bits, hash and size, and first hashes where it may meet a small set."""
 
     def mark(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in small_batches(frames, "text"):
             out = frame[["doc_id", "text_hash"]].copy()
             out["doc_id"] = out["doc_id"].astype("Int64")
-            hashes = [shingle_hashes(t, shingle) for t in frame["text"]]
-            out["fingerprint"] = [_mark(h, 256) for h in hashes]
-            sets = [np.unique(h) for h in hashes]
+            # Repeats do not count in the similarity, so they have no vote here.
+            sets = [np.unique(shingle_hashes(t, shingle)) for t in frame["text"]]
+            out["fingerprint"] = [_mark(h, 256) for h in sets]
+            small = [h if len(h) * least <= SMALL_SET else h[:0] for h in sets]
+            out["firsts"] = [first_hashes(h, least).view(np.int64) if len(h) else h.view(np.int64) for h in small]
             nodes = np.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in sets], dtype=np.uint64)
             yield out.assign(node=nodes.view(np.int64), size=[len(h) for h in sets])
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return rows.mapInPandas(mark, "doc_id long, text_hash long, fingerprint binary, node long, size int")
+    return rows.mapInPandas(mark, "doc_id long, text_hash long, fingerprint binary, firsts array<long>, node long, size int")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -266,21 +282,43 @@ class Exact:
         return self._blocks(self._rest(path))
 
 
+def _binomial(differ: float) -> np.ndarray:
+    """Chances of 0 to 256 differing bits."""
+    return np.array([math.comb(256, d) * differ**d * (1 - differ) ** (256 - d) for d in range(257)])
+
+
 @dataclass(frozen=True)
 class Sampled:
     """Tables of keys of ``key_bits`` bits each, drawn from 256 by a seed."""
 
     key_bits: int
     count: int
-    limit: int = CANDIDATE_BITS
+    limit: int
+    small_limit: int
 
     @staticmethod
-    def for_nodes(nodes: int, similarity: float = MIN_SIMILARITY, recall: float = 0.995) -> Sampled:
-        """Enough tables that a pair of that similarity shares a key of one."""
-        agree = 1 - math.acos(2 * similarity / (1 + similarity)) / math.pi
+    def for_nodes(nodes: int, similarity: float = MIN_SIMILARITY, loss: float = LOSS) -> Sampled:
+        """A limit of bits and enough tables that both together lose that share of pairs.
+
+        Differing bits of a pair are binomial; a tenth of the loss is what lies
+        beyond the limit, and tables are added until the rest is kept, too.
+        """
+        differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
+        chance = _binomial(_TIES * differ)
+        beyond = 1 - np.cumsum(chance)
+        limit = int(np.argmax(beyond <= loss / 10))
+        small_limit = int(np.argmax(1 - np.cumsum(_binomial(_TIES_SMALL * differ)) <= loss / 1000))
         key_bits = min(24, max(8, round(math.log2(max(2, nodes) / 256))))
-        count = math.ceil(math.log(1 - recall) / math.log(1 - agree**key_bits))
-        return Sampled(key_bits, count)
+        apart = np.arange(limit + 1)
+        missed = 1 - np.prod([(256 - apart - i) / (256 - i) for i in range(key_bits)], axis=0)
+        low, count = 0, 1
+        while chance[: limit + 1] @ missed**count + beyond[limit] > loss:
+            low, count = count, 2 * count
+        while count - low > 1:
+            middle = (low + count) // 2
+            enough = chance[: limit + 1] @ missed**middle + beyond[limit] <= loss
+            low, count = (low, middle) if enough else (middle, count)
+        return Sampled(key_bits, count, limit, small_limit)
 
     def tables(self) -> list[list[int]]:
         draw = np.random.default_rng([SEED, 0])
@@ -288,7 +326,7 @@ class Sampled:
 
     def limits(self, path: np.ndarray) -> np.ndarray:
         """Differing bits up to which pairs of a table are candidates."""
-        return np.full(len(path), self.limit)
+        return np.where(path < 0, self.small_limit, self.limit)
 
 
 def _codes(marks: pd.Series) -> np.ndarray:
@@ -420,7 +458,10 @@ MEETING = ["path", "key", "low", "high"]
 
 
 def _deal_sets(nodes: DataFrame, scheme: Sampled) -> DataFrame:
-    """Each of ``nodes`` (node, size, root, fingerprint) in every table of the scheme."""
+    """Each of ``nodes`` (node, size, root, firsts, fingerprint) in every table of the scheme.
+
+    Sets up to ``SMALL_SET`` meet under each of their first hashes (path -1).
+    """
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -428,7 +469,10 @@ def _deal_sets(nodes: DataFrame, scheme: Sampled) -> DataFrame:
             for k, bits in enumerate(scheme.tables()):
                 yield frame.assign(path=k, key=_keys(codes, bits).view(np.int64))[[c.split()[0] for c in DEALT.split(", ")]]
 
-    return nodes.select("node", "size", "root", "fingerprint").mapInPandas(deal, DEALT)
+    columns = "node", "size", "root", "fingerprint"
+    large = nodes.filter(F.col("size") > SMALL_SET).select(*columns).mapInPandas(deal, DEALT)
+    small = nodes.select(F.lit(-1).alias("path"), F.explode("firsts").alias("key"), *columns)
+    return large.unionByName(small)
 
 
 def _meetings(dealt: DataFrame) -> DataFrame:
@@ -535,11 +579,11 @@ def similar_links(reps: DataFrame, docs: DataFrame, scheme: Sampled, count: int,
     no checked link has joined is checked, too.
     """
     partitions = max(8, -(-count * len(scheme.tables()) // 100_000))
-    nodes = reps.select("node", "size", F.col("node").alias("root"), "fingerprint")
+    nodes = reps.select("node", "size", F.col("node").alias("root"), "firsts", "fingerprint")
     tried = settle(_candidates(_slices(_deal_sets(nodes, scheme)), scheme, least, True, partitions), "tried")
     links = _checked(tried, reps, docs, shingle, least)
     nodes = reps.join(components(links), "node", "left").select(
-        "node", "size", F.coalesce("root", "node").alias("root"), "fingerprint"
+        "node", "size", F.coalesce("root", "node").alias("root"), "firsts", "fingerprint"
     )
     nodes = settle(nodes, "rooted")
     left = _candidates(_meetings(_deal_sets(nodes, scheme)), scheme, least, False, partitions)
@@ -597,14 +641,16 @@ def group_documents(
     if min_similarity is None and bits != 64:
         raise ValueError("the exact scheme is one of 64 bits")
     if min_similarity is None:
-        marked = fingerprints(docs, shingle).withColumn("node", node_of(F.col("fingerprint"), bits)).withColumn("size", F.lit(0))
+        marked = fingerprints(docs, shingle).withColumn("node", node_of(F.col("fingerprint"), bits))
+        kept = [F.min("fingerprint").alias("fingerprint")]
     else:
-        marked = set_marks(docs, shingle)
+        marked = set_marks(docs, shingle, min_similarity)
+        # Rows of a node have the same set.
+        kept = [F.min(c).alias(c) for c in ("fingerprint", "size", "firsts")]
     marked = settle(marked, "fingerprints")
     # Nulls sort after ids, so a null is the smallest only when all are null.
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "text_hash")).alias("rep")
-    kept = F.min("fingerprint").alias("fingerprint"), F.min("size").alias("size")
-    reps = settle(marked.groupBy("node").agg(first, *kept), "nodes")
+    first_row = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "text_hash")).alias("rep")
+    reps = settle(marked.groupBy("node").agg(first_row, *kept), "nodes")
     count = reps.count()
     if min_similarity is None:
         links = linked_nodes(reps.select("node", "fingerprint"), Exact(), count)

@@ -55,7 +55,7 @@ def test_a_loose_candidate_does_not_hide_a_true_link():
     # X is near A and C in bits, A and C are the pair that is similar in fact.
     a, x, c = np.zeros((3, 4), dtype=np.uint64)
     a[0], c[0], x[1] = (1 << 20) - 1, (1 << 40) - (1 << 20), 1
-    scheme = simhash.Sampled(8, 1)
+    scheme = simhash.Sampled(8, 1, 54, 80)
     codes = [b"".join(int(w).to_bytes(8, "big") for w in v) for v in (a, x, c)]
     frame = pd.DataFrame({"path": 0, "key": 0, "low": 0, "high": 0, "own": 0, "node": [1, 2, 3], "size": 100, "root": [1, 2, 3], "fingerprint": codes})
     pairs = {tuple(sorted(p)) for out in simhash._open_pairs(frame, scheme, 0.8, False) for p in out[["a", "b"]].itertuples(index=False)}
@@ -89,3 +89,35 @@ def test_no_group_grows_with_the_table(spark, monkeypatch):
     near = [(x, y) for x, y in itertools.combinations(marks, 2) if (x ^ y).bit_count() <= 3]
     assert near and all(got[x] == got[y] for x, y in near)
     assert max(largest) <= 60
+
+
+def test_repeats_and_short_texts_are_those_of_all_pairs(spark):
+    draw = np.random.default_rng(12)
+    texts = []
+    for _ in range(40):
+        words = [f"w{x}" for x in draw.integers(0, 90_000, 300)]
+        # The same shingles but for the four at a seam; some of them eight times.
+        texts += [" ".join(words), " ".join(words + words[100:140] * 8)]
+    for n in range(8, 70, 3):
+        for _ in range(6):
+            words = [f"w{x}" for x in draw.integers(0, 90_000, n)]
+            texts += [" ".join(words), " ".join([*words, "more"]), " ".join([*words[1:], "a", "b", "c"])]
+    rows = [(int(k), texts[i]) for k, i in enumerate(draw.permutation(len(texts)))]
+    assert kept(spark, rows) == brute_kept(rows)
+
+
+def test_limit_and_tables_lose_what_is_stated():
+    # Pairs of sets of similarity 0.8, as the scheme sees them.
+    draw = np.random.default_rng(2)
+    scheme = simhash.Sampled.for_nodes(50_000)
+    tables = scheme.tables()
+    lost = 0
+    for _ in range(3000):
+        hashes = draw.integers(0, 1 << 64, 100, dtype=np.uint64)
+        a, b = hashes[:90], hashes[10:]
+        assert simhash.similarity(np.sort(a), np.sort(b)) == 0.8
+        codes = simhash._codes(pd.Series([simhash._mark(a, 256), simhash._mark(b, 256)]))
+        met = any(np.diff(simhash._keys(codes, bits).view(np.int64))[0] == 0 for bits in tables)
+        lost += not (met and np.bitwise_count(codes[0] ^ codes[1]).sum() <= scheme.limit)
+    assert lost / 3000 <= 2 * simhash.LOSS
+    print(scheme, lost)

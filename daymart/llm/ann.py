@@ -6,8 +6,12 @@ bounded sample. Every vector goes to the posting list of its nearest centroid
 and, near a boundary, to those of further centroids that are almost as near
 and do not lie behind one that it is in already. Centroids are searched by a
 best-first walk on a graph of neighbouring centroids held in memory. A query
-takes the lists whose centroid's distance is within a ratio of the nearest
-one, and scores what is in them.
+first takes the nearest of the lists whose centroid's distance is within a
+ratio of the nearest one, and scores what is in them. Then it takes every other
+list that may still hold a vector as good as its last one: a list's inner
+products are at most that of its centroid plus the query's length times the
+list's radius. So no list is left out that could change the result; queries
+that need many lists go through all rows in blocks.
 
 Equal vectors are one vector with the ids of its ``k`` + 1 smallest copies;
 further copies can be in no result, as ties go to smaller ids. Equal queries
@@ -42,8 +46,11 @@ MAX_LISTS = 4_096
 LIST_ROWS = 200
 #: A vector joins lists whose centroid is within this ratio of its nearest.
 BOUNDARY_RATIO, MAX_COPIES = 1.15, 4
-#: A query reads lists within this ratio of its nearest, and some in any case.
+#: A query first reads lists within this ratio of its nearest, and some in any
+#: case; what else it reads follows from the scores found there.
 PROBE_RATIO, MIN_PROBES, MAX_PROBES = 1.6, 24, 64
+#: A query that needs more than this share of the lists reads all rows.
+MANY_LISTS = 0.125
 _DEGREE, _BEAM = 24, 96
 _SEED = 11
 _ROUNDS = 8
@@ -169,6 +176,13 @@ def _assigned(centroids: Centroids, points: np.ndarray) -> Iterator[tuple[np.nda
             yield rows[wanted], here[wanted]
 
 
+def _homes(centroids: Centroids, points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, list) pairs: the nearest list of each vector only, as in ``_assigned``."""
+    for a in range(0, len(points), _AT_ONCE):
+        part = points[a : a + _AT_ONCE]
+        yield np.arange(a, a + len(part)), centroids.search(part, MAX_COPIES * 2)[0][:, 0]
+
+
 def _probes(centroids: Centroids, points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(row, list) pairs of queries: lists within a ratio of the nearest one."""
     for a in range(0, len(points), _AT_ONCE):
@@ -179,6 +193,35 @@ def _probes(centroids: Centroids, points: np.ndarray) -> Iterator[tuple[np.ndarr
         yield row + a, ids[row, j]
 
 
+def _reach(centroids: Centroids, homes: np.ndarray, points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(list, radius) of vectors and their nearest list, without the lifted component."""
+    for a in range(0, len(points), _AT_ONCE):
+        where = homes[a : a + _AT_ONCE]
+        yield where, np.linalg.norm(points[a : a + _AT_ONCE] - centroids.points[where, :-1], axis=1)
+
+
+def _further(
+    centroids: Centroids, radius: np.ndarray, points: np.ndarray, least: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, list) pairs of lists that may hold a score of ``least``, beyond those read first.
+
+    List -1 stands for all rows.
+    """
+    for a in range(0, len(points), _AT_ONCE):
+        part, lowest = points[a : a + _AT_ONCE], least[a : a + _AT_ONCE]
+        length = np.linalg.norm(part, axis=1)
+        bound = part @ centroids.points[:, :-1].T + length[:, None] * radius
+        # Sums are rounded; ties count, as smaller ids go first.
+        slack = 1e-9 * (1 + length * centroids.longest)
+        may = (radius >= 0) & (bound + slack[:, None] >= lowest[:, None])
+        for row, where in _probes(centroids, centroids.lift(part, query=True)):
+            may[row, where] = False
+        many = may.sum(axis=1) > MANY_LISTS * len(radius)
+        row, where = np.nonzero(may & ~many[:, None])
+        yield row + a, where
+        yield np.flatnonzero(many) + a, np.full(many.sum(), -1)
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """Rows that take part, with components as doubles."""
     wide = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
@@ -278,6 +321,15 @@ def nearest(vectors: DataFrame, *, k: int = NEAREST, every: int = EVERY) -> Data
             for row, where in _probes(spread.value, spread.value.lift(_matrix(frame["v"]), query=True)):
                 yield frame.iloc[row].assign(list=where)[["list", "q", "v"]]
 
+    def reach(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                points = _matrix(frame["v"])
+                homes = np.concatenate([w for _, w in _homes(spread.value, spread.value.lift(points))])
+                where, far = (np.concatenate(x) for x in zip(*_reach(spread.value, homes, points)))
+                own = pd.DataFrame({"list": where, "radius": far})
+                yield own.groupby("list", as_index=False)["radius"].max()
+
     postings = stored.mapInPandas(post, "list int, v array<double>, ids array<long>")
     members = settle(rows.filter(F.col("vec_id") % every == 0).select("vec_id", F.xxhash64("v").alias("key"), "v").distinct(), "members")
     # A query is the vector of at least one member; its smallest one names it.
@@ -298,13 +350,32 @@ def nearest(vectors: DataFrame, *, k: int = NEAREST, every: int = EVERY) -> Data
     asked = _in_blocks(asked, "query_block", F.xxhash64("q"), query_blocks, "block", blocks)
     found = asked.groupBy(*group).cogroup(postings.groupBy(*group)).applyInPandas(scan, PAIRS)
     best = settle(_top(found, k + 1), "found")
-    # Lists that held too little: those queries go through all rows.
+    # Lists read so far say what a list must be able to hold to be read, too.
+    # Without k + 1 rows so far every list may be of use.
     total = stored.agg(F.sum(F.size("ids"))).first()[0]
-    enough = min(k + 1, total)
-    counted = best.groupBy("q").count().filter(F.col("count") >= enough).select("q")
-    short = settle(queries.join(counted, "q", "left_anti").select("q", "v"), "short")
-    if not short.isEmpty():
-        best = best.join(short.select("q"), "q", "left_anti").unionByName(_exhaustive(short, stored, k + 1))
+    last = best.groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
+    enough = F.col("n") >= min(k + 1, total)
+    least = F.when(enough, F.col("least")).otherwise(F.lit(float("-inf"))).alias("least")
+    waiting = queries.join(last, "q", "left").select("q", "v", least)
+    homes = settle(stored.mapInPandas(reach, "list int, radius double").groupBy("list").agg(F.max("radius").alias("radius")), "reach")
+    radius = np.full(len(centroids.points), -1.0)
+    for row in homes.collect():
+        radius[row["list"]] = row["radius"]
+    radii = spark.sparkContext.broadcast(radius)
+
+    def ask_further(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                for row, where in _further(spread.value, radii.value, _matrix(frame["v"]), frame["least"].to_numpy()):
+                    yield frame.iloc[row].assign(list=where)[["list", "q", "v"]]
+
+    further = settle(waiting.mapInPandas(ask_further, "list int, q long, v array<double>"), "further")
+    more = _in_blocks(further.filter("list >= 0"), "query_block", F.xxhash64("q"), query_blocks, "block", blocks)
+    again = more.groupBy(*group).cogroup(postings.groupBy(*group)).applyInPandas(scan, PAIRS)
+    best = settle(_top(best.select("q", "vec_id", "score").unionByName(again), k + 1), "read")
+    broad = settle(further.filter("list < 0").select("q", "v"), "broad")
+    if not broad.isEmpty():
+        best = best.join(broad.select("q"), "q", "left_anti").unionByName(_exhaustive(broad, stored, k + 1))
     named = queries.select("key", "v", "q").join(best.select("q", "vec_id", "score"), "q")
     listed = named.groupBy("key", "v").agg(F.collect_list(F.struct("score", "vec_id")).alias("found"))
     # Both hold a query's neighbours as one row, so members do not multiply rows.

@@ -3,9 +3,9 @@
 Templates are short licence notices. Every word of a template gets its inverse
 document frequency over all documents; the rarest words of each template, with
 their places in it, are the index. In a text, occurrences of indexed words are
-looked up and their postings intersected by relative position: occurrence minus
-place in the template is where the template would begin. A beginning on which
-enough weight falls is verified: the words that stand at their places give the
+looked up and their postings gathered by relative position: occurrence minus
+place in the template is where the template would begin. Every beginning that
+one rare word gives is verified, whatever its weight: the words that stand at their places give the
 coverage, and the template's key phrase must stand nearby, word for word.
 
 The fixed phrases of a scan are templates that must match whole; they are found

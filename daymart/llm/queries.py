@@ -11,13 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymart.llm.alignment import align_documents
 from daymart.llm.ann import nearest
+from daymart.llm.chosen_path import near_components
 from daymart.llm.licenses import scan_documents
 from daymart.llm.mixing import mix
 from daymart.llm.packing import pack
 from daymart.llm.quality_rules import fit_rules, judge
 from daymart.llm.sharding import shard_documents
 from daymart.llm.simhash import simhash_components
+from daymart.llm.spelling import group_spellings
 from daymart.llm.toxicity import flag_documents
 from daymart.llm.warc import archived_pages
 from daymart.llm.wavelet import token_documents
@@ -73,6 +76,18 @@ def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(_table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_spellings(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -86,6 +101,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_posting_lists,
         op9_shard_ring,
         op10_license_index,
+        op11_chosen_path,
+        op12_token_alignment,
+        op13_spelling_variants,
     )
 }
 
@@ -127,6 +145,82 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+#: Distinct sets, all pairs that share a shingle, and what is reachable over links.
+NEAR_SQL = r"""
+WITH RECURSIVE
+texts AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+lists AS (
+  SELECT doc_id, list_sort(list_distinct(CASE
+    WHEN w IS NULL OR len(w) = 0 THEN []
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS shingles
+  FROM texts),
+sets AS (
+  SELECT row_number() OVER () AS s, shingles, len(shingles) AS size, min(doc_id) AS first_id FROM lists WHERE len(shingles) > 0 GROUP BY shingles),
+each AS (SELECT s, size, unnest(shingles) AS shingle FROM sets),
+pairs AS (
+  SELECT a.s AS a, b.s AS b FROM each a JOIN each b USING (shingle)
+  WHERE a.s < b.s AND 100 * least(a.size, b.size) >= 85 * greatest(a.size, b.size)
+  GROUP BY a.s, b.s, a.size, b.size HAVING 100 * count(*) >= 85 * (a.size + b.size - count(*))),
+edges AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT s AS node, s AS root FROM sets UNION SELECT edges.b, reach.root FROM reach JOIN edges ON reach.node = edges.a),
+named AS (SELECT node, min(first_id) AS component_id FROM reach JOIN sets ON sets.s = reach.root GROUP BY node),
+found AS (
+  SELECT doc_id, len(lists.shingles) AS n_shingles, CASE WHEN len(lists.shingles) = 0 THEN doc_id ELSE component_id END AS component_id
+  FROM lists LEFT JOIN sets USING (shingles) LEFT JOIN named ON named.node = sets.s)
+SELECT doc_id, CAST(n_shingles AS BIGINT) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM found
+"""
+
+#: Words one edit apart agree but for a letter at one place, or one becomes the other without a letter.
+SPELLING_SQL = r"""
+WITH RECURSIVE
+crc_table AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_prepend(b, [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(b))),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS k,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+  FROM documents),
+long_runs AS (SELECT k, run, count(*) AS times FROM runs WHERE length(run) >= 5 GROUP BY k, run),
+bytes AS (
+  SELECT k, run, times, flatten(list_transform(string_split(k || ':' || run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + (unicode(c) >> 6), 128 + unicode(c) % 64] END)) AS b
+  FROM long_runs),
+hashed AS (
+  SELECT run, times, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: xor(c >> 8, t[1 + xor(c % 256, x)])), 4294967295) AS h
+  FROM bytes, crc_table),
+named AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times
+  FROM hashed),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM named WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+cut AS (
+  SELECT DISTINCT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM words, LATERAL (SELECT unnest(range(length(word))) AS i)),
+near AS (
+  SELECT a.word, a.n, b.word AS w, b.n AS m FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(w ORDER BY m DESC, w) AS w, max(m) AS m FROM near GROUP BY word),
+forms AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN w END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+way AS (
+  SELECT word, word AS here FROM forms
+  UNION ALL SELECT way.word, form FROM way JOIN forms ON forms.word = way.here WHERE form IS NOT NULL),
+ends AS (SELECT way.word, here AS root FROM way JOIN forms ON forms.word = way.here WHERE form IS NULL)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM forms JOIN ends USING (word)
+"""
+
 #: The other operators hash, encode or learn in ways that SQL cannot say; the
 #: tests compare them with plain versions.
-ORACLE_SQL: dict[str, str] = {"op6_mix_sources": MIX_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op6_mix_sources": MIX_SQL,
+    "op11_chosen_path": NEAR_SQL,
+    "op13_spelling_variants": SPELLING_SQL,
+}

@@ -37,6 +37,16 @@ def stored_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(width.cast("bigint")).alias("bytes")).first()["bytes"] or 0
 
 
+def row_salt(rows: DataFrame, salts: int = SALTS) -> Column:
+    """A number below ``salts`` that a row has whenever it is computed.
+
+    Not one of its place: a task that is run again may meet shuffled rows in
+    another order, and a row with another number would go to another reducer.
+    """
+    hashed = [f"`{f.name}`" for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` with a broadcast hint when its stored size allows one.
 
@@ -72,7 +82,9 @@ def lookup_key(
     Nulls match nulls. ``mapping`` must be stored and say in ``count_column``
     how many rows have each tuple. Beyond ``max_bytes`` the hot keys' part of it
     is broadcast and the rows they answer are spread by a salt that matches
-    nothing, so ``rows`` is read once and no hot key fills a task. Hot keys are
+    nothing, so ``rows`` is read once and no hot key fills a task. The salt is
+    a hash of the whole row, so a row that is read again goes where it went
+    before; rows that are equal in all columns share one. Hot keys are
     those of the mapping's counts: give it the counts of these rows, as a key
     that became hot since is only split by adaptive execution.
     """
@@ -89,7 +101,7 @@ def lookup_key(
         return _join(rows, keyed, on, "left").drop(count_column)
     hot = hot.select(*keys, *(F.col(v).alias(f"_hot_{v}") for v in values), F.lit(True).alias("_is_hot"))
     marked = _join(rows, F.broadcast(hot), on, "left")
-    spread = F.when(F.col("_is_hot"), 1 + F.monotonically_increasing_id() % SALTS).otherwise(0)
+    spread = F.when(F.col("_is_hot"), 1 + row_salt(rows)).otherwise(0)
     marked = marked.withColumn("_salt", spread)
 
     cold = keyed.filter(~is_hot).select(*keys, *(F.col(v).alias(f"_cold_{v}") for v in values), F.lit(0).alias("_of_salt"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymart.functions.convert import strict_cast
-from daymart.operators.lookup import BROADCAST_BYTES, SALTS, stored_bytes
+from daymart.operators.lookup import BROADCAST_BYTES, SALTS, row_salt, stored_bytes
 from daymart.operators.scratch import settle
 from daymart.schemas import (
     EVENT_TIME,
@@ -84,7 +84,7 @@ def integrate(events: DataFrame, series: DataFrame, max_bytes: int = BROADCAST_B
         joined = by_day.join(F.broadcast(counted), F.col(EVENT_TIME) == F.col(f"`{SERIES_DATE}`"), "inner")
     else:
         shared = counted.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        dealt = by_day.withColumn("_salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
+        dealt = by_day.withColumn("_salt", row_salt(by_day))
         same = (F.col(EVENT_TIME) == F.col(f"`{SERIES_DATE}`")) & (F.col("_salt") == F.col("_share"))
         joined = dealt.join(shared, same, "inner").drop("_salt", "_share")
     unrolled = joined.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies))).alias("_copy"))

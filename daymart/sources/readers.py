@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daymart.functions.convert import strict_cast
+from daymart.functions.days import strict_timestamp
+from daymart.sources.delimited import split_records
 from daymart.schemas import CLEAN_EVENTS, SERIES, SERIES_DATE, SERIES_PAYLOAD
 
 # A quote inside a quoted field is doubled, text keeps its outer spaces, and
@@ -24,17 +27,21 @@ _MALFORMED = "_malformed"
 
 
 def read_raw_events(
-    spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8", multi_line: bool = True
+    spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8", multi_line: bool | None = None
 ) -> DataFrame:
     """Delimited text with a header line; every column stays text.
 
     Names and their order come from the header alone, and each file's header
     is checked against them, so files with another layout fail rather than
     shift their values. A row with fewer fields is filled up with nulls; one
-    with more fails and is shown. Quoted fields may hold line breaks; files
-    known to have none can be split with ``multi_line=False``.
+    with more fails and is shown. Quoted fields may hold line breaks, in files
+    of any size: see ``split_records``. ``multi_line`` says to read each file
+    whole, by one task (True; the only way for other encodings), or that no
+    file has such line breaks (False).
     """
-    options = {**CSV_FORMAT, "sep": sep, "encoding": encoding, "multiLine": multi_line}
+    if multi_line is None and encoding.upper() in ("UTF-8", "UTF8"):
+        return _from_records(spark, path, sep)
+    options = {**CSV_FORMAT, "sep": sep, "encoding": encoding, "multiLine": multi_line is not False}
     names = spark.read.options(**options).csv(path).columns
     fields = [T.StructField(name, T.StringType()) for name in names]
     marked = T.StructType([*fields, T.StructField(_MALFORMED, T.StringType())])
@@ -43,18 +50,57 @@ def read_raw_events(
     rows = spark.read.schema(marked).options(**options, **strict).csv(path)
     # A row is malformed when it is short or long; only a long one reaches
     # beyond the last column.
-    longer = T.StructType([T.StructField(f"f{k}", T.StringType()) for k in range(len(names) + 1)])
-    quiet = {"sep": sep, "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    beyond = F.from_csv(F.col(_MALFORMED), longer.simpleString()[7:-1].replace(":", " "), quiet)[f"f{len(names)}"]
-    problem = F.concat(F.lit(f"a row has more than {len(names)} fields: "), F.col(_MALFORMED))
-    checked = F.when(F.col(_MALFORMED).isNotNull() & beyond.isNotNull(), F.raise_error(problem)).otherwise(F.lit(True))
+    beyond = _fields(F.col(_MALFORMED), len(names) + 1, sep)[f"f{len(names)}"]
+    checked = F.when(F.col(_MALFORMED).isNotNull() & beyond.isNotNull(), _too_long(names, F.col(_MALFORMED))).otherwise(F.lit(True))
     return rows.filter(checked.cast("boolean")).drop(_MALFORMED)
 
 
-def read_clean_events(spark: SparkSession, path: str, sep: str = ";", multi_line: bool = True) -> DataFrame:
-    """Cleaned events written by ``write_csv``, with their types."""
-    options = {**CSV_FORMAT, "sep": sep, "mode": "FAILFAST", "enforceSchema": False, "multiLine": multi_line}
-    return spark.read.schema(CLEAN_EVENTS).options(**options).csv(path)
+def _fields(text: Column, count: int, sep: str) -> Column:
+    """The first ``count`` fields f0, f1, ... of a record, as text."""
+    names = ", ".join(f"f{k} string" for k in range(count))
+    quiet = {"sep": sep, "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    return F.from_csv(text, names, quiet)
+
+
+def _too_long(names: list[str], text: Column) -> Column:
+    return F.raise_error(F.concat(F.lit(f"a row has more than {len(names)} fields: "), text))
+
+
+def _from_records(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    options = {**CSV_FORMAT, "sep": sep, "multiLine": True}
+    names = spark.read.options(**options).csv(path).columns
+    records = split_records(spark, path)
+    # Checks name few columns: the optimizer would derive one over all of them
+    # anew for every subset of columns that is renamed later.
+    header = F.struct(*(F.lit(n.lower()).alias(f"f{k}") for k, n in enumerate(names)), F.lit(None).cast("string").alias(f"f{len(names)}"))
+    as_named = _fields(F.lower("text"), len(names) + 1, sep).eqNullSafe(header)
+    other = F.raise_error(F.concat(F.lit("a header is not that of the other files: "), "text", F.lit(" in "), "file"))
+    is_row = F.when(~F.col("is_head"), F.lit(True)).when(as_named, F.lit(False)).otherwise(other)
+    # A generator parses a record once, however many columns are taken from it.
+    parsed = F.inline(F.array(_fields(F.col("text"), len(names) + 1, sep)))
+    rows = records.filter(is_row.cast("boolean")).select("text", parsed)
+    beyond = F.when(F.col(f"f{len(names)}").isNotNull(), _too_long(names, F.col("text"))).otherwise(F.lit(True))
+    return rows.filter(beyond.cast("boolean")).select(*(F.col(f"f{k}").alias(n) for k, n in enumerate(names)))
+
+
+def read_clean_events(spark: SparkSession, path: str, sep: str = ";", multi_line: bool | None = None) -> DataFrame:
+    """Cleaned events written by ``write_csv``, with their types; files are read as by ``read_raw_events``."""
+    if multi_line is not None:
+        options = {**CSV_FORMAT, "sep": sep, "mode": "FAILFAST", "enforceSchema": False, "multiLine": multi_line}
+        return spark.read.schema(CLEAN_EVENTS).options(**options).csv(path)
+    raw = _from_records(spark, path, sep)
+    if raw.columns != CLEAN_EVENTS.names:
+        raise ValueError(f"the columns of {path} are not those of cleaned events: {', '.join(raw.columns)}")
+
+    def typed(field: T.StructField) -> Column:
+        text = F.col(field.name)
+        if isinstance(field.dataType, T.StringType):
+            return text
+        if isinstance(field.dataType, T.TimestampNTZType):
+            return strict_timestamp(text, CSV_FORMAT["timestampNTZFormat"]).alias(field.name)
+        return strict_cast(text, field.dataType.simpleString()).alias(field.name)
+
+    return raw.select(*map(typed, CLEAN_EVENTS.fields))
 
 
 def read_series_payload(spark: SparkSession, path: str) -> DataFrame:

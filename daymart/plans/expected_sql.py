@@ -6,6 +6,7 @@ natural keys, nothing pre-aggregated.
 
 from __future__ import annotations
 
+from daymart.plans.given_tables import MOMENT, REAL, TABLES, TEXT, VECTOR, WHOLE
 from daymart.schemas import ALLOWED_REGIONS
 
 # The projection's constants, worked out by hand from the textbook form of the
@@ -201,7 +202,40 @@ WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0
   AND region IN ({_ALLOWED}) AND settlement IN ('JAH', 'EI')
 """
 
+CONTENT = {
+    WHOLE: "{c}",
+    REAL: "floor({c} * CAST(100 AS DOUBLE))",
+    TEXT: "CAST('0x' || substr(md5({c}), 1, 8) AS BIGINT)",
+    MOMENT: "CAST('0x' || substr(md5(strftime({c}, '%Y-%m-%d %H:%M:%S')), 1, 8) AS BIGINT)",
+    VECTOR: "list_sum(list_transform({c}, lambda v: CAST(floor(CAST(v AS DOUBLE) * 1000) AS BIGINT)))",
+}
+ALL_TABLES = " UNION ALL ".join(
+    f"""SELECT '{name}' AS table_name, (SELECT count(*) FROM {name}) AS "rows", '{c}' AS column_name, count({c}) AS present,
+      CAST(coalesce(sum(CAST({CONTENT[kind].format(c=c)} AS BIGINT)), 0) AS BIGINT) AS total FROM {name}"""
+    for name, columns in TABLES.items()
+    for c, kind in columns.items()
+)
+
 EXPECTED_SQL: dict[str, str] = {
+    "export_all_tables": ALL_TABLES,
+    "series_snapshots": f"""
+        WITH {DAILY},
+        late AS (SELECT * REPLACE (rain_sum + 1 AS rain_sum) FROM daily WHERE day(date) > 15),
+        kept AS (
+          SELECT 1 AS version, * FROM daily
+          UNION ALL SELECT 2, * FROM daily UNION ALL SELECT 2, * FROM late
+          UNION ALL SELECT 3, * FROM daily WHERE day(date) <= 15
+          UNION ALL SELECT 3, * REPLACE (rain_sum + 1 AS rain_sum) FROM late)
+        SELECT CAST(version AS BIGINT) AS version, count(*) AS days, count(DISTINCT date) AS dates, sum(rain_sum) AS rain
+        FROM kept GROUP BY version
+    """,
+    "weight_around_places": f"""
+        WITH {INTEGRATED}, {ON_MAP.format(source="integ")},
+        places AS (SELECT east AS x, north AS y, sum(people) AS weight, count(*) AS events FROM mapped GROUP BY east, north)
+        SELECT a.x, a.y, CAST(sum(b.weight) AS BIGINT) AS weight, CAST(sum(b.events) AS BIGINT) AS events
+        FROM places a JOIN places b ON (b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y) <= 2000.0::DOUBLE * 2000
+        GROUP BY a.x, a.y
+    """,
     "severity_by_temperature": SEVERITY,
     "involved_by_precipitation": INVOLVED,
     "monthly_trend": _trend("", "integ"),

@@ -7,7 +7,7 @@ from datetime import datetime
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymart.functions.days import lenient_day, timestamp_text
@@ -17,6 +17,7 @@ from daymart.operators.series import integrate, keyed_replace, unzip_daily, with
 from daymart.operators.keys import COUNT, dense_keys, rank_tuples
 from daymart.operators.scratch import scratch_path
 from daymart.plans import reports, star
+from daymart.plans.given_tables import MOMENT, REAL, TABLES, TEXT, VECTOR
 from daymart.plans.order_events import (
     daily_series,
     integrated_orders,
@@ -39,6 +40,7 @@ from daymart.schemas import (
     STAGED_EVENT_COLUMNS,
 )
 from daymart.sources.readers import TEMPORARY, list_tables, read_clean_events, read_raw_events, read_series, read_table
+from daymart.sources.snapshots import snapshot_versions
 from daymart.sources.writers import export_name, export_parquet, publish_model, save_series, save_table, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +48,7 @@ QUERIES: dict[str, Query] = {}
 
 RAW_TIME_FORMAT = "yyyy-MM-dd HH:mm"
 CELL_METRES = 10_000.0
+AROUND_METRES = 2_000.0
 
 
 def query(build: Query) -> Query:
@@ -101,6 +104,11 @@ def density_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(cells)
 
 
+@query
+def weight_around_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.weight_around(on_the_map(integrated_orders(spark, sf_dir)), AROUND_METRES)
+
+
 @query
 def map_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(reports.map_points(on_the_map(integrated_orders(spark, sf_dir))))
@@ -383,6 +391,66 @@ def parquet_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.union, parts)
 
 
+@query
+def export_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every given table, named as a view or a table of the catalog, listed, exported and read back.
+
+    The export compares a digest of all columns itself; the result tells the
+    content of each column in sums that SQL can say as well.
+    """
+    kept = "exported"
+    for name in TABLES:
+        # Small tables go to a schema of the catalog, the others are views of the session.
+        as_table = name in ("region", "nation", "benchmark")
+        publish_model(table(spark, sf_dir, name), f"main_{name}", "table" if as_table else "view", schema=kept if as_table else None)
+    # Views of other queries may have the names of these tables: a table of the catalog comes first.
+    found = {name: key for key in sorted(list_tables(spark)) if (name := export_name(key[1])) in TABLES and key[0] in (TEMPORARY, kept)}
+    listed = list_tables(spark)
+    paths = export_parquet({key: listed[key] for key in found.values()}, scratch_path(spark, "export-all"))
+    parts = []
+    for name, path in zip(found, paths):
+        back = read_table(spark, path)
+        counts = [F.struct(F.lit(c).alias("column_name"), F.count(c).alias("present"), _content(c, kind).alias("total")) for c, kind in TABLES[name].items()]
+        summed = back.agg(F.count(F.lit(1)).alias("rows"), F.array(*counts).alias("columns"))
+        parts.append(summed.select(F.lit(name).alias("table_name"), "rows", F.inline("columns")))
+    return reduce(DataFrame.union, parts)
+
+
+def _content(name: str, kind: str) -> Column:
+    """A sum over the values of a column that is the same in any order of addition."""
+    column = F.col(name)
+    if kind == REAL:
+        column = F.floor(column * 100)
+    elif kind == VECTOR:
+        whole = F.transform(column, lambda x: F.floor(x.cast("double") * 1000).cast("bigint"))
+        column = F.aggregate(whole, F.lit(0).cast("bigint"), lambda so_far, x: so_far + F.coalesce(x, F.lit(0)))
+    elif kind in (TEXT, MOMENT):
+        text = timestamp_text(column) if kind == MOMENT else column
+        column = F.conv(F.substring(F.md5(text), 1, 8), 16, 10)
+    return F.coalesce(F.sum(column.cast("bigint")), F.lit(0))
+
+
+@query
+def series_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load, one appended and one that replaces days, each read as the snapshot it left."""
+    path = scratch_path(spark, "snapshots")
+    series = stored_series(spark, sf_dir)
+    late = series.filter(F.dayofmonth("date") > 15).withColumn("rain_sum", F.col("rain_sum") + 1)
+    save_series(series, path, _load_time(1))
+    save_series(late, path, _load_time(2), mode="append")
+    save_series(late.withColumn("rain_sum", F.col("rain_sum") + 1), path, _load_time(3))
+    parts = [
+        read_series(spark, path, version=version).agg(
+            F.lit(version).cast("bigint").alias("version"),
+            F.count(F.lit(1)).alias("days"),
+            F.countDistinct("date").alias("dates"),
+            F.sum("rain_sum").alias("rain"),
+        )
+        for version in snapshot_versions(spark, path)
+    ]
+    return reduce(DataFrame.union, parts)
+
+
 @query
 def partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The integrated table stored by year, replaced once and read back whole."""

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from daymart.functions.bands import PRECIPITATION_BANDS, TEMPERATURE_BANDS, Bands, cut
 from daymart.functions.days import month_start
 from daymart.functions.geo import grid_cell, to_wgs84
+from daymart.operators.scratch import settle
 from daymart.schemas import (
     DEATHS,
     EASTING,
@@ -174,6 +175,49 @@ def density_grid(
     return totals.withColumns({"Longitude": longitude, "Latitude": latitude})
 
 
+def weight_around(
+    integrated: DataFrame,
+    radius: float,
+    weight: str = PEOPLE,
+    easting: str = EASTING,
+    northing: str = NORTHING,
+) -> DataFrame:
+    """Weight and number of events within ``radius`` metres of each location, the rim included.
+
+    Events of one location are summed first, so a place with very many of them
+    is one row. Cells are half a radius wide: all of a cell's places that lies
+    wholly within the radius counts by the cell's sum, its own cell always; only
+    places of cells on the rim are compared, by their exact distance.
+    """
+    size = radius / 2
+    places = integrated.filter(F.col(easting).isNotNull() & F.col(northing).isNotNull())
+    places = places.groupBy(F.col(easting).alias("x"), F.col(northing).alias("y")).agg(
+        _sum(weight).alias("weight"), F.count(F.lit(1)).alias("events")
+    )
+    places = settle(places.withColumns({"cx": grid_cell(F.col("x"), size), "cy": grid_cell(F.col("y"), size)}), "places")
+    cells = places.groupBy(F.col("cx").alias("nx"), F.col("cy").alias("ny")).agg(
+        _sum("weight").alias("weight"), F.sum("events").alias("events")
+    )
+    steps = F.sequence(F.lit(-3), F.lit(3))
+    around = places.select("x", "y", "cx", "cy", F.explode(steps).alias("dx"))
+    around = around.select("x", "y", "cy", (F.col("cx") + F.col("dx")).alias("nx"), F.explode(steps).alias("dy"))
+    around = around.select("x", "y", "nx", (F.col("cy") + F.col("dy")).alias("ny"))
+    near, far = F.lit(0.0), F.lit(0.0)
+    for at, cell in (("x", "nx"), ("y", "ny")):
+        low, high = F.col(cell) * size - F.col(at), (F.col(cell) + 1) * size - F.col(at)
+        near = near + F.pow(F.greatest(low, -high, F.lit(0.0)), 2)
+        far = far + F.pow(F.greatest(F.abs(low), F.abs(high)), 2)
+    # Where rounding could decide, places are compared.
+    around = around.select("x", "y", "nx", "ny", (far <= radius * radius * (1 - 1e-9)).alias("within"), near.alias("near"))
+    around = around.filter(F.col("near") <= radius * radius * (1 + 1e-9)).drop("near")
+    whole = around.filter("within").join(cells, ["nx", "ny"]).select("x", "y", "weight", "events")
+    others = places.select(F.col("cx").alias("nx"), F.col("cy").alias("ny"), F.col("x").alias("px"), F.col("y").alias("py"), "weight", "events")
+    apart = F.pow(F.col("px") - F.col("x"), 2) + F.pow(F.col("py") - F.col("y"), 2)
+    rim = around.filter("not within").join(others, ["nx", "ny"]).filter(apart <= radius * radius)
+    found = whole.unionByName(rim.select("x", "y", "weight", "events"))
+    return found.groupBy("x", "y").agg(_sum("weight").alias("weight"), F.sum("events").alias("events"))
+
+
 def latest_rows(log: DataFrame, newest: str, tie: str, rows: int = 100) -> DataFrame:
     """The newest ``rows`` of a log, newest first. Each task keeps only its own newest."""
     return log.orderBy(F.col(newest).desc(), F.col(tie).desc()).limit(rows)

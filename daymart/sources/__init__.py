@@ -1,5 +1,6 @@
 """Readers and writers."""
 
+from daymart.sources.digests import table_digest
 from daymart.sources.readers import (
     TEMPORARY,
     list_tables,
@@ -9,6 +10,13 @@ from daymart.sources.readers import (
     read_series_payload,
     read_table,
 )
+from daymart.sources.snapshots import (
+    append_snapshot,
+    drop_snapshots,
+    read_snapshot,
+    replace_snapshot,
+    snapshot_versions,
+)
 from daymart.sources.writers import (
     check_export_names,
     export_name,
@@ -22,7 +30,9 @@ from daymart.sources.writers import (
 
 __all__ = [
     "TEMPORARY",
+    "append_snapshot",
     "check_export_names",
+    "drop_snapshots",
     "export_name",
     "export_parquet",
     "export_relational",
@@ -32,8 +42,12 @@ __all__ = [
     "read_raw_events",
     "read_series",
     "read_series_payload",
+    "read_snapshot",
     "read_table",
+    "replace_snapshot",
     "save_series",
     "save_table",
+    "snapshot_versions",
+    "table_digest",
     "write_csv",
 ]

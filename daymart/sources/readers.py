@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from daymart.functions.convert import strict_cast
 from daymart.functions.days import strict_timestamp
 from daymart.sources.delimited import split_records
+from daymart.sources.snapshots import read_snapshot
 from daymart.schemas import CLEAN_EVENTS, SERIES, SERIES_DATE, SERIES_PAYLOAD
 
 # A quote inside a quoted field is doubled, text keeps its outer spaces, and
@@ -108,13 +109,19 @@ def read_series_payload(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SERIES_PAYLOAD).options(multiLine=True, mode="FAILFAST").json(path)
 
 
-def read_series(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
-    """Stored daily series; bookkeeping fields (``_id``, ``loaded_at``) are not read.
+def read_series(
+    spark: SparkSession, path: str, file_format: str = "parquet", version: int | None = None
+) -> DataFrame:
+    """Stored daily series, its newest snapshot or that of ``version``; bookkeeping fields (``_id``, ``loaded_at``) are not read.
 
     Text that is no document of the series, or a day or value that cannot be
     read, fails the job rather than become null, and so does a document
     without a day: its events would be lost in silence.
     """
+    if file_format == "parquet":
+        return read_snapshot(spark, path, version, SERIES)
+    if version is not None:
+        raise ValueError("only stored series have versions")
     if file_format != "json":
         return spark.read.schema(SERIES).format(file_format).load(path)
     rows = spark.read.schema(SERIES).options(mode="FAILFAST", dateFormat="yyyy-MM-dd").json(path)

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
 from collections import Counter
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymart.operators.series import keyed_replace
 from daymart.schemas import SERIES
+from daymart.sources.digests import digest_columns, table_digest
 from daymart.sources.readers import CSV_FORMAT
+from daymart.sources.snapshots import append_snapshot, commit, read_snapshot, write_data
 
 EXPORT_PREFIX = "main_"
 STORED_SERIES = T.StructType([*SERIES.fields, T.StructField("loaded_at", T.TimestampNTZType())])
@@ -43,48 +43,24 @@ def save_series(new: DataFrame, path: str, loaded_at: datetime, mode: str = "rep
     """Add a load of the daily series to the stored one.
 
     ``replace`` keeps one row per day, the newest load's. ``append`` adds the
-    rows as they are, so days loaded twice are stored twice.
+    rows as they are, so days loaded twice are stored twice. Either is one
+    commit: readers see all of a load or none (see ``snapshots``).
     """
     stamped = new.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz")).select(*STORED_SERIES.names)
+    spark = new.sparkSession
     if mode == "append":
-        stamped.write.mode("append").parquet(path)
+        append_snapshot(stamped, path)
     elif mode == "replace":
-        loads = stamped
-        if _exists(stamped, path):
-            old = stamped.sparkSession.read.schema(STORED_SERIES).parquet(path)
-            loads = old.unionByName(stamped)
-        # The merged series is written beside the stored one and takes its
-        # place by a rename, so a job that dies leaves one or the other whole.
-        _swap(keyed_replace(loads), path)
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
 
+        def merged(newest: int | None, _: list[str]) -> list[str]:
+            loads = stamped
+            if newest is not None:
+                loads = read_snapshot(spark, path, newest, STORED_SERIES).unionByName(stamped)
+            return [write_data(keyed_replace(loads), path)]
 
-def _swap(df: DataFrame, path: str) -> None:
-    """Write ``df`` and put it in the place of the table at ``path``."""
-    spark = df.sparkSession
-    fresh, former = f"{path.rstrip('/')}.{uuid.uuid4().hex}", f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    df.write.parquet(fresh)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    new, old, here = hadoop.Path(fresh), hadoop.Path(former), hadoop.Path(path)
-    store = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if store.exists(here) and not store.rename(here, old):
-        raise RuntimeError(f"{path} could not be moved away; the new series is at {fresh}")
-    if not store.rename(new, here):
-        store.rename(old, here)
-        raise RuntimeError(f"{fresh} could not be moved to {path}")
-    if store.exists(old):
-        store.delete(old, True)
-
-
-def _exists(df: DataFrame, path: str) -> bool:
-    try:
-        df.sparkSession.read.schema(STORED_SERIES).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+        commit(spark, path, merged)
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
 
 
 def publish_model(
@@ -133,12 +109,21 @@ def check_export_names(names: Iterable[str]) -> None:
 
 
 def export_parquet(tables: dict[tuple[str, str], DataFrame], base: str) -> list[str]:
-    """Write each (schema, name) table to ``base/<flat name>.parquet``."""
+    """Write each (schema, name) table to ``base/<flat name>.parquet``.
+
+    Rows and a digest of all columns are gathered while a table is written and
+    compared with what is read back; a copy that differs fails.
+    """
     check_export_names(export_name(name) for _, name in tables)
     written = []
-    for (_, name), df in tables.items():
+    for (schema, name), df in tables.items():
         path = f"{base.rstrip('/')}/{export_name(name)}.parquet"
-        df.write.mode("overwrite").parquet(path)
+        sent = Observation()
+        df.observe(sent, *digest_columns(df)).write.mode("overwrite").parquet(path)
+        wanted = sent.get["rows"], int(sent.get["digest"])
+        found = table_digest(df.sparkSession.read.schema(df.schema).parquet(path))
+        if found != wanted:
+            raise RuntimeError(f"{schema}.{name} was sent with rows and digest {wanted}, but {path} has {found}")
         written.append(path)
     return written
 

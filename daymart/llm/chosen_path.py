@@ -16,8 +16,10 @@ Equal sets are one node. Before the search, each crowded child of the root
 picks the member that most resembles the others, and all members are compared
 with that one alone: a family of copies becomes one component in as many
 comparisons as it has members. The search then leaves out what lies in one
-component. What it finds by tokens is confirmed on the whole sets, with numbers
-of shingles and nothing estimated.
+component. Members of a node that share enough tokens meet once more with their
+whole sets, all with all in one product of the node's shingles, so families of
+texts just below the limit cost no row for each pair, and what is linked is
+counted, not estimated.
 
 Defined results: null texts, and texts without words, have empty sets, which
 are linked with nothing; fewer words than a shingle are one shingle; texts of
@@ -38,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymart.llm.components import components
-from daymart.llm.simhash import shingle_hashes
+from daymart.llm.simhash import _join, shingle_hashes
 from daymart.llm.tokens import small_batches
 from daymart.operators.lookup import broadcast_if_small, lookup_key
 from daymart.operators.scratch import settle
@@ -59,6 +61,8 @@ _PAIRS_OF_ONE = 2000
 _SEED = 11
 _SHINGLES_AT_ONCE = 1 << 16
 _PAIRS_AT_ONCE = 1 << 16
+#: Groups up to this size are intersected pair by pair, others in blocks of so many shingles.
+_FEW, _COLUMNS = 8, 4096
 _ODD, _FINAL = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
 MARKS = "doc_id long, text_hash long, n_shingles long, digest binary, tokens binary, keys array<long>"
@@ -306,48 +310,125 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
     return cut.withColumn("part", part)
 
 
+MET = "key long, part string, own int, other int, node long, root long"
+
+
 def _exhaustive(rows: DataFrame, enough: int, least: int, partitions: int) -> DataFrame:
-    """Pairs of different components in rows (key, part, own, node, root, tokens, size) that share enough tokens."""
+    """Rows (key, part, own, other, node, root, tokens, size) that share enough tokens with one of another component."""
 
-    def pairs_of(frame: pd.DataFrame, starts: np.ndarray, sizes: np.ndarray) -> Iterator[pd.DataFrame]:
+    def near_of(frame: pd.DataFrame, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         tokens, size = _tokens(frame["tokens"]), frame["size"].to_numpy()
-        node, root, own = (frame[c].to_numpy() for c in ("node", "root", "own"))
-        two_blocks = frame["own"].to_numpy() != frame["other"].to_numpy()
-        until = np.repeat(starts + sizes, sizes)
-        partners = until - np.arange(len(frame)) - 1
-        upto = np.cumsum(partners)
-        a = 0
-        while a < len(frame):
-            b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + _PAIRS_AT_ONCE, "right")))
-            n = partners[a:b]
-            i = np.repeat(np.arange(a, b), n)
-            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
-            a = b
+        near = np.zeros(len(frame), dtype=bool)
+        for i, j in _partners(frame, starts, sizes):
             low, high = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
-            # Two blocks that meet leave the pairs inside either to the block's own meeting.
-            keep = (root[i] != root[j]) & (100 * low >= least * high) & (~two_blocks[i] | (own[i] != own[j]))
+            keep = 100 * low >= least * high
             i, j = i[keep], j[keep]
-            near = _agreeing(tokens, i, j) >= enough
-            if near.any():
-                yield pd.DataFrame({"a": node[i[near]], "b": node[j[near]]})
+            keep = _agreeing(tokens, i, j) >= enough
+            near[i[keep]] = near[j[keep]] = True
+        return near
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, starts, sizes in _groups(frames, ["key", "part"]):
-            yield from pairs_of(frame, starts, sizes)
+            yield frame.loc[near_of(frame, starts, sizes), [c.split()[0] for c in MET.split(", ")]]
 
     sorted_ = rows.repartition(partitions, "key", "part").sortWithinPartitions("key", "part")
-    return sorted_.mapInPandas(compare, "a long, b long")
+    return sorted_.mapInPandas(compare, MET)
+
+
+def _partners(frame: pd.DataFrame, starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of one group and different components, some at a time."""
+    root, own = frame["root"].to_numpy(), frame["own"].to_numpy()
+    two_blocks = own != frame["other"].to_numpy()
+    until = np.repeat(starts + sizes, sizes)
+    partners = until - np.arange(len(frame)) - 1
+    upto = np.cumsum(partners)
+    a = 0
+    while a < len(frame):
+        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + _PAIRS_AT_ONCE, "right")))
+        n = partners[a:b]
+        i = np.repeat(np.arange(a, b), n)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        a = b
+        # Two blocks that meet leave the pairs inside either to the block's own meeting.
+        keep = (root[i] != root[j]) & (~two_blocks[i] | (own[i] != own[j]))
+        yield i[keep], j[keep]
+
+
+def shared_shingles(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of a group's sets share, all pairs at once.
+
+    Elements that several sets hold are columns of a matrix of which a block
+    at a time is made and multiplied.
+    """
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = held > 1
+    number = np.cumsum(several) - 1
+    row, column = row[several[column]], number[column[several[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for start in range(0, int(several.sum()), _COLUMNS):
+        a, b = np.searchsorted(column, [start, start + _COLUMNS])
+        block = np.zeros((len(sets), _COLUMNS), dtype=np.float32)
+        block[row[a:b], column[a:b] - start] = 1
+        out += block @ block.T
+    return out.astype(np.int64)
+
+
+def _exact_links(frame: pd.DataFrame, starts: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows that join what similar sets of different components join: a forest."""
+    size = frame["set"].str.len().to_numpy()
+    root = frame["root"].to_numpy()
+    a, b = [], []
+    for start, n in zip(starts.tolist(), sizes.tolist()):
+        sets = frame["set"].iloc[start : start + n].tolist()
+        group = frame.iloc[start : start + n]
+        shared = shared_shingles(sets) if n > _FEW else None
+        for i, j in _partners(group, np.array([0]), np.array([n])):
+            if shared is None:
+                both = np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(i, j)], dtype=np.int64)
+            else:
+                both = shared[i, j]
+            keep = 100 * both >= least * (size[start + i] + size[start + j] - both)
+            a.append(start + i[keep])
+            b.append(start + j[keep])
+    pairs: list = []
+    if a:
+        _, labels = np.unique(root, return_inverse=True)
+        # Rows of one component are joined already.
+        first = np.full(labels.max() + 1, len(root))
+        np.minimum.at(first, labels, np.arange(len(root)))
+        _join(first[labels], np.concatenate(a), np.concatenate(b), pairs)
+    if not pairs:
+        return np.zeros(0, dtype=int), np.zeros(0, dtype=int)
+    left, right = (np.concatenate(side) for side in zip(*pairs))
+    return left, right
+
+
+def exact_links(met: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """Links (a, b) among rows that meet, by their whole sets; stored."""
+    rows = met.join(sets, "node")
+
+    def link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame, starts, sizes in _groups(frames, ["key", "part"]):
+            a, b = _exact_links(frame, starts, sizes, least)
+            node = frame["node"].to_numpy()
+            yield pd.DataFrame({"a": node[a], "b": node[b]})
+
+    sorted_ = rows.repartition(_partitions(10 * met.count()), "key", "part").sortWithinPartitions("key", "part")
+    return settle(_once(sorted_.mapInPandas(link, "a long, b long")), "links")
 
 
 def search(rooted: DataFrame, nodes: DataFrame, enough: int, least: int) -> DataFrame:
-    """Distinct pairs of different components that the trees bring together and that share enough tokens."""
+    """Rows that the trees bring together, of nodes and their components, with where they meet; stored."""
     columns = ["key", "node", "root", "tokens", "size"]
     dealt = rooted.select(F.explode("keys").alias("key"), "node", "root")
     rows = settle(_with_tokens(dealt, nodes).select(*columns, "members"), "children")
     found = None
     for level in range(1, DEPTH + 1):
         is_small = F.col("members") <= NODE_ROWS
-        ready = rows.filter(is_small).select(*columns, F.lit("").alias("part"), F.lit(0).alias("own"), F.lit(0).alias("other"))
+        ready = rows.filter(is_small).select(*columns, F.lit(f"{level}").alias("part"), F.lit(0).alias("own"), F.lit(0).alias("other"))
         large = rows.filter(~is_small)
         if level == DEPTH:
             ready = ready.unionByName(_in_blocks(large).select(*ready.columns))
@@ -358,7 +439,7 @@ def search(rooted: DataFrame, nodes: DataFrame, enough: int, least: int) -> Data
         deeper = settle(_branch(large.select(*columns), least), "branched")
         several = settle(_crowded(deeper), "several")
         rows = settle(deeper.join(broadcast_if_small(several), "key"), "children")
-    return _once(found)
+    return settle(found, "met")
 
 
 def _dealt_out(pairs: DataFrame, side: str, sets: DataFrame) -> DataFrame:
@@ -379,10 +460,8 @@ def _dealt_out(pairs: DataFrame, side: str, sets: DataFrame) -> DataFrame:
     return dealt.join(copies, [side, "share"]).drop("share")
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, least: int) -> DataFrame:
-    """The pairs whose whole sets are similar enough; stored."""
-    pairs = settle(pairs, "candidates")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def whole_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """node and set of the ``wanted`` nodes, from the texts of their first rows; stored."""
     chosen = nodes.join(wanted, "node", "left_semi").select("node", "rep.doc_id", "rep.text_hash")
     chosen = settle(chosen.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}), "wanted")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
@@ -399,6 +478,13 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int,
     if not sets.groupBy("node").count().filter("count > 1").isEmpty():
         # Rows that agree in id and text: one set is enough.
         sets = settle(sets.groupBy("node").agg(F.first("set").alias("set")), "sets")
+    return sets
+
+
+def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, least: int) -> DataFrame:
+    """The pairs whose whole sets are similar enough; stored."""
+    pairs = settle(pairs, "candidates")
+    sets = whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, docs, shingle)
     both = _dealt_out(_dealt_out(pairs, "a", sets), "b", sets)
     shared = F.size(F.array_intersect("set_a", "set_b"))
     joint = F.size("set_a") + F.size("set_b") - shared
@@ -426,7 +512,9 @@ def near_components(
         pairs = leader_pairs(rooted, nodes, first, branches // 2, enough)
         links = _joined(links, confirmed(pairs, nodes, docs, shingle, least))
         rooted = _rooted(nodes, links)
-    links = _joined(links, confirmed(search(rooted, nodes, enough, least), nodes, docs, shingle, least))
+    met = search(rooted, nodes, enough, least)
+    sets = whole_sets(met.select("node").distinct(), nodes, docs, shingle)
+    links = _joined(links, exact_links(met, sets, least))
     roots = components(links)
     named = nodes.join(roots, "node", "left").select("digest", "copies", "rep", F.coalesce("root", "node").alias("root"))
     smallest = named.groupBy("root").agg(F.min("rep").alias("first"))

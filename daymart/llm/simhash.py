@@ -12,18 +12,13 @@ pattern; upper nodes keep what is shared by their leaves. A search adds up the
 differences to the patterns on the way down and leaves a whole group out when
 they pass the limit.
 
-Two schemes route. ``exact``: 64 bits in four blocks; two fingerprints at most
-3 bits apart agree on a block, so no link is lost. ``sampled``: 256 bits (four
-hashes of a distinct shingle), keys of bits drawn by a seed; the limit of
-differing bits and the number of keys follow from one stated loss (``LOSS``) for
-texts of similarity 0.8, so those above it lose less. Texts of few shingles
-have uneven fingerprints and meet through the smallest hashes of their sets, of
-which similar ones share one. Pairs are checked on their whole shingle sets
-before they join anything. In ``exact`` a key with very many nodes is dealt out
-again by further bits; what is still crowded after that, and every crowded key
-of ``sampled``, is cut into blocks of which each pair meets by itself, so no task
-takes a group that grows with the table. Keys of ``sampled`` are compared by
-size first, not through the index: its upper nodes hardly prune at such limits.
+Two fingerprints of 64 bits that are at most 3 bits apart agree on one of four
+blocks of 16, so no link is lost when each block routes by itself. A key is the
+leading bits of a block, as many as leave about a thousand nodes under it, and
+the index of a key has that block in front: fingerprints that agree on it are
+neighbours in Gray order. A key with very many nodes is dealt out again by
+further bits; what is still crowded after that is cut into blocks of which each
+pair meets by itself, so no task takes a group that grows with the table.
 
 Defined results: texts without words have fingerprint zero and are linked like
 any other; null texts are empty; a null doc_id is kept, and never the smallest
@@ -52,19 +47,13 @@ from daymart.operators.scratch import settle
 SEED = 42
 BITS = 64
 MAX_DISTANCE = 3
-MIN_SIMILARITY = 0.8
-#: Chance that a pair of texts of the least similarity is no candidate, all causes together.
-LOSS = 0.005
-#: Sets up to this size meet through their smallest hashes, without chance.
-SMALL_SET = 64
-#: A bit differs more often than an angle says, as ties are zero: by this factor
-#: at most for sets above SMALL_SET (0.1536 for 0.1515 at 0.8), and for all sets.
-_TIES, _TIES_SMALL = 1.02, 1.25
+#: Nodes of one key of the first level, in the mean: enough for the index to have levels.
+INDEXED_NODES = 1024
 #: Nodes of one key that a task takes; more are dealt out by further bits, or in pairs of blocks.
 GROUP_NODES = 4096
 _SHINGLES_AT_ONCE = 1 << 17
 _LEAF, _FAN = 32, 8
-_PAIRS_AT_ONCE = 1 << 20
+_PAIRS_AT_ONCE = 1 << 18
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _MIX = 0x9E3779B97F4A7C15
 
@@ -133,29 +122,10 @@ def fingerprints(docs: DataFrame, shingle: int, bits: int = BITS) -> DataFrame:
     return rows.mapInPandas(mark, "doc_id long, text_hash long, fingerprint binary")
 
 
-def first_hashes(hashes: np.ndarray, least: float) -> np.ndarray:
-    """Hashes of a sorted set of which similar sets share at least one."""
-    return hashes[: len(hashes) - math.ceil(least * len(hashes) - 1e-9) + 1]
-
-
-def set_marks(docs: DataFrame, shingle: int, least: float) -> DataFrame:
-    """doc_id, text_hash, and of the shingle set of each row its fingerprint of
-    256 bits, hash and size, and first hashes where it may meet a small set."""
-
-    def mark(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in small_batches(frames, "text"):
-            out = frame[["doc_id", "text_hash"]].copy()
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            # Repeats do not count in the similarity, so they have no vote here.
-            sets = [np.unique(shingle_hashes(t, shingle)) for t in frame["text"]]
-            out["fingerprint"] = [_mark(h, 256) for h in sets]
-            small = [h if len(h) * least <= SMALL_SET else h[:0] for h in sets]
-            out["firsts"] = [first_hashes(h, least).view(np.int64) if len(h) else h.view(np.int64) for h in small]
-            nodes = np.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in sets], dtype=np.uint64)
-            yield out.assign(node=nodes.view(np.int64), size=[len(h) for h in sets])
-
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return rows.mapInPandas(mark, "doc_id long, text_hash long, fingerprint binary, firsts array<long>, node long, size int")
+def block_first(codes: np.ndarray, block: int) -> np.ndarray:
+    """Codes turned so that a block of 16 bits leads, and those that agree on it are neighbours."""
+    turn = np.uint64(16 * (3 - block))
+    return codes if not turn else (codes << turn) | (codes >> (np.uint64(64) - turn))
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -262,10 +232,16 @@ def link_group(codes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Exact:
-    """Blocks of 64 bits: four of 16, then what is left in four again."""
+    """Blocks of 64 bits: four of 16, of which leading bits route, then the other blocks in four again."""
 
     limit: int = MAX_DISTANCE
     levels: int = 3
+    leading: int = 16
+
+    @staticmethod
+    def for_nodes(count: int) -> Exact:
+        """As many leading bits that a key holds ``INDEXED_NODES`` nodes in the mean."""
+        return Exact(leading=min(16, max(0, math.ceil(math.log2(max(1, count) / INDEXED_NODES)))))
 
     def _rest(self, path: tuple[int, ...]) -> list[int]:
         bits = list(range(64))
@@ -279,54 +255,9 @@ class Exact:
         return [bits[n * k // parts : n * (k + 1) // parts] for k in range(parts)]
 
     def tables(self, path: tuple[int, ...]) -> list[list[int]]:
-        return self._blocks(self._rest(path))
-
-
-def _binomial(differ: float) -> np.ndarray:
-    """Chances of 0 to 256 differing bits."""
-    return np.array([math.comb(256, d) * differ**d * (1 - differ) ** (256 - d) for d in range(257)])
-
-
-@dataclass(frozen=True)
-class Sampled:
-    """Tables of keys of ``key_bits`` bits each, drawn from 256 by a seed."""
-
-    key_bits: int
-    count: int
-    limit: int
-    small_limit: int
-
-    @staticmethod
-    def for_nodes(nodes: int, similarity: float = MIN_SIMILARITY, loss: float = LOSS) -> Sampled:
-        """A limit of bits and enough tables that both together lose that share of pairs.
-
-        Differing bits of a pair are binomial; a tenth of the loss is what lies
-        beyond the limit, and tables are added until the rest is kept, too.
-        """
-        differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
-        chance = _binomial(_TIES * differ)
-        beyond = 1 - np.cumsum(chance)
-        limit = int(np.argmax(beyond <= loss / 10))
-        small_limit = int(np.argmax(1 - np.cumsum(_binomial(_TIES_SMALL * differ)) <= loss / 1000))
-        key_bits = min(24, max(8, round(math.log2(max(2, nodes) / 256))))
-        apart = np.arange(limit + 1)
-        missed = 1 - np.prod([(256 - apart - i) / (256 - i) for i in range(key_bits)], axis=0)
-        low, count = 0, 1
-        while chance[: limit + 1] @ missed**count + beyond[limit] > loss:
-            low, count = count, 2 * count
-        while count - low > 1:
-            middle = (low + count) // 2
-            enough = chance[: limit + 1] @ missed**middle + beyond[limit] <= loss
-            low, count = (low, middle) if enough else (middle, count)
-        return Sampled(key_bits, count, limit, small_limit)
-
-    def tables(self) -> list[list[int]]:
-        draw = np.random.default_rng([SEED, 0])
-        return [sorted(draw.choice(256, self.key_bits, replace=False).tolist()) for _ in range(self.count)]
-
-    def limits(self, path: np.ndarray) -> np.ndarray:
-        """Differing bits up to which pairs of a table are candidates."""
-        return np.where(path < 0, self.small_limit, self.limit)
+        """Bits of the keys that follow a path. Of a first block its highest bits are enough to route."""
+        blocks = self._blocks(self._rest(path))
+        return blocks if path else [block[len(block) - self.leading :] for block in blocks]
 
 
 def _codes(marks: pd.Series) -> np.ndarray:
@@ -408,7 +339,8 @@ def _link_frame(frame: pd.DataFrame, limit: int) -> pd.DataFrame:
         for d in np.unique(apart):
             labels = _join(labels, a[apart == d], b[apart == d], pairs)
     for g in np.flatnonzero(~small):
-        i, j = link_group(codes[starts[g] : starts[g] + sizes[g]], limit)
+        block = int(frame["path"].iloc[starts[g]].split("/")[1].split("#")[0])
+        i, j = link_group(block_first(codes[starts[g] : starts[g] + sizes[g]], block), limit)
         pairs.append((i + starts[g], j + starts[g]))
     if not pairs:
         return pd.DataFrame({"a": nodes[:0], "b": nodes[:0]})
@@ -453,209 +385,21 @@ def linked_nodes(nodes: DataFrame, scheme: Exact, count: int) -> DataFrame:
     return settle(found.distinct(), "links")
 
 
-DEALT = "path int, key long, node long, size int, root long, fingerprint binary"
-MEETING = ["path", "key", "low", "high"]
-
-
-def _deal_sets(nodes: DataFrame, scheme: Sampled) -> DataFrame:
-    """Each of ``nodes`` (node, size, root, firsts, fingerprint) in every table of the scheme.
-
-    Sets up to ``SMALL_SET`` meet under each of their first hashes (path -1).
-    """
-
-    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            codes = _codes(frame["fingerprint"])
-            for k, bits in enumerate(scheme.tables()):
-                yield frame.assign(path=k, key=_keys(codes, bits).view(np.int64))[[c.split()[0] for c in DEALT.split(", ")]]
-
-    columns = "node", "size", "root", "fingerprint"
-    large = nodes.filter(F.col("size") > SMALL_SET).select(*columns).mapInPandas(deal, DEALT)
-    small = nodes.select(F.lit(-1).alias("path"), F.explode("firsts").alias("key"), *columns)
-    return large.unionByName(small)
-
-
-def _meetings(dealt: DataFrame) -> DataFrame:
-    """Rows with the blocks (low, high) of their key that meet, and the row's own.
-
-    A key of one root has nothing to join. A crowded key is cut into blocks of
-    which each pair meets by itself; the nodes of its most frequent root have
-    blocks of their own, and those do not meet each other.
-    """
-    sizes = dealt.groupBy("path", "key", "root").count().groupBy("path", "key")
-    sizes = sizes.agg(F.sum("count").alias("total"), F.max("count").alias("most"), F.max_by("root", "count").alias("main"))
-    sizes = settle(sizes.filter("total > most"), "sizes")
-    half = F.lit(max(1, GROUP_NODES // 2))
-    crowded = F.col("total") > GROUP_NODES
-    others = F.when(crowded, F.ceil((F.col("total") - F.col("most")) / half)).otherwise(1)
-    mains = F.when(crowded, F.ceil(F.col("most") / half)).otherwise(0)
-    cut = sizes.select("path", "key", "main", others.cast("int").alias("others"), mains.cast("int").alias("mains"))
-    is_main = (F.col("root") == F.col("main")) & (F.col("mains") > 0)
-    place = F.xxhash64("node", F.lit(SEED))
-    own = F.when(is_main, F.col("others") + F.pmod(place, F.col("mains"))).otherwise(F.pmod(place, F.col("others")))
-    last = F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
-    rows = dealt.join(broadcast_if_small(cut), ["path", "key"]).withColumn("own", own.cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
-    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
-    return rows.select("path", "key", low, high, "own", "node", "size", "root", "fingerprint")
-
-
-def _slices(dealt: DataFrame) -> DataFrame:
-    """As ``_meetings``, but of a crowded key each block meets only itself."""
-    sizes = dealt.groupBy("path", "key").count().filter("count > 1")
-    cut = settle(sizes.select("path", "key", F.ceil(F.col("count") / GROUP_NODES).cast("int").alias("blocks")), "sizes")
-    own = F.pmod(F.xxhash64("node", F.lit(SEED)), F.col("blocks")).cast("int")
-    rows = dealt.join(broadcast_if_small(cut), ["path", "key"]).withColumn("own", own)
-    low, high = F.col("own").alias("low"), F.col("own").alias("high")
-    return rows.select("path", "key", low, high, "own", "node", "size", "root", "fingerprint")
-
-
-def _candidates(met: DataFrame, scheme: Sampled, least: float, forest: bool, partitions: int) -> DataFrame:
-    """Distinct pairs (a, b) of different roots that may be similar; with ``forest`` only some of them."""
-    dealt = met.repartition(partitions, *MEETING).sortWithinPartitions(*MEETING)
-
-    def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for frame in frames:
-            frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
-            # The last group of a frame may go on in the next one; none has many more than GROUP_NODES rows.
-            last = (frame[MEETING] == frame[MEETING].iloc[-1]).all(axis=1).to_numpy()
-            held = frame[last]
-            yield from _open_pairs(frame[~last], scheme, least, forest)
-        if held is not None:
-            yield from _open_pairs(held, scheme, least, forest)
-
-    found = dealt.mapInPandas(meet, "a long, b long").filter("a <> b")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _open_pairs(frame: pd.DataFrame, scheme: Sampled, least: float, forest: bool) -> Iterator[pd.DataFrame]:
-    """The candidates of whole groups, in blocks of pairs."""
-    if len(frame) < 2:
-        return
-    group = frame.groupby(MEETING, sort=False).ngroup().to_numpy()
-    size = frame["size"].to_numpy(dtype=np.int64)
-    order = np.lexsort([size, group])
-    frame, group, size = frame.iloc[order], group[order], size[order]
-    codes, node, own = _codes(frame["fingerprint"]), frame["node"].to_numpy(), frame["own"].to_numpy()
-    limit = scheme.limits(frame["path"].to_numpy())
-    within = (frame["low"] == frame["high"]).to_numpy()
-    root = frame["root"].to_numpy()
-    labels = np.arange(len(frame))
-    if forest:
-        _, first, of = np.unique(frame.assign(g=group).groupby(["g", "root"]).ngroup().to_numpy(), return_index=True, return_inverse=True)
-        labels = first[of]
-    # A similarity of ``least`` needs sizes within that ratio: an exact bound.
-    place = (group.astype(np.int64) << 32) + size
-    end = np.searchsorted(place, (group.astype(np.int64) << 32) + np.floor(size / least + 1e-6).astype(np.int64), "right")
-    partners = end - np.arange(len(frame)) - 1
-    upto = np.cumsum(partners)
-    a = 0
-    while a < len(frame):
-        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + _PAIRS_AT_ONCE, "right")))
-        n = partners[a:b]
-        i = np.repeat(np.arange(a, b), n)
-        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
-        a = b
-        keep = (root[i] != root[j]) & (within[i] | (own[i] != own[j]))
-        i, j = i[keep], j[keep]
-        apart = _bits(codes[i] ^ codes[j])
-        keep = apart <= limit[i]
-        i, j, apart = i[keep], j[keep], apart[keep]
-        if forest:
-            pairs: list = []
-            for d in np.unique(apart):
-                labels = _join(labels, i[apart == d], j[apart == d], pairs)
-            i, j = (np.concatenate(side) for side in zip(*pairs)) if pairs else (i[:0], j[:0])
-        if len(i):
-            yield pd.DataFrame({"a": node[i], "b": node[j]})
-
-
-def similar_links(reps: DataFrame, docs: DataFrame, scheme: Sampled, count: int, shingle: int, least: float) -> DataFrame:
-    """Checked links (a, b) that join all that candidates of at least that similarity join.
-
-    First a forest of candidates for each key is checked, which joins most of a
-    family with few checks. It drops nothing: then every candidate whose nodes
-    no checked link has joined is checked, too.
-    """
-    partitions = max(8, -(-count * len(scheme.tables()) // 100_000))
-    nodes = reps.select("node", "size", F.col("node").alias("root"), "firsts", "fingerprint")
-    tried = settle(_candidates(_slices(_deal_sets(nodes, scheme)), scheme, least, True, partitions), "tried")
-    links = _checked(tried, reps, docs, shingle, least)
-    nodes = reps.join(components(links), "node", "left").select(
-        "node", "size", F.coalesce("root", "node").alias("root"), "firsts", "fingerprint"
+def node_of(fingerprint_: Column) -> Column:
+    """The 64 bits of a fingerprint as a number."""
+    return F.conv(F.hex(F.substring(fingerprint_, 2, 7)), 16, 10).cast("long") + F.expr(
+        "shiftleft(cast(conv(hex(substring(fingerprint, 1, 1)), 16, 10) as bigint), 56)"
     )
-    nodes = settle(nodes, "rooted")
-    left = _candidates(_meetings(_deal_sets(nodes, scheme)), scheme, least, False, partitions)
-    left = settle(left.join(tried, ["a", "b"], "left_anti"), "left")
-    return links.unionByName(_checked(left, reps, docs, shingle, least))
-
 
-def node_of(fingerprint_: Column, bits: int) -> Column:
-    """A number for a fingerprint: itself when it is 64 bits long."""
-    if bits == 64:
-        return F.conv(F.hex(F.substring(fingerprint_, 2, 7)), 16, 10).cast("long") + F.expr(
-            "shiftleft(cast(conv(hex(substring(fingerprint, 1, 1)), 16, 10) as bigint), 56)"
-        )
-    return F.xxhash64(fingerprint_)
 
-
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two sorted sets of shingle hashes."""
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return shared / (len(a) + len(b) - shared) if len(a) or len(b) else 1.0
-
-
-def _checked(links: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The links whose texts are similar enough, on their whole shingle sets."""
-    wanted = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    chosen = reps.join(wanted, "node").select("node", F.col("rep.doc_id").alias("_id"), F.col("rep.text_hash").alias("_hash"))
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    same = rows["doc_id"].eqNullSafe(chosen["_id"]) & (rows["text_hash"] == chosen["_hash"])
-    texts = rows.join(chosen, same).groupBy("node").agg(F.first("text").alias("text"))
-    texts = settle(texts, "texts")
-    left = links.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-
-    def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in small_batches(frames, "text_a"):
-            sets: dict[int, np.ndarray] = {}
-            for side in "ab":
-                for node, text in zip(frame[side], frame[f"text_{side}"]):
-                    if node not in sets:
-                        sets[node] = np.unique(shingle_hashes(text, shingle))
-            keep = [similarity(sets[a], sets[b]) >= least for a, b in zip(frame["a"], frame["b"])]
-            yield frame.loc[keep, ["a", "b"]]
-
-    return settle(both.select("a", "b", "text_a", "text_b").mapInPandas(check, "a long, b long"), "similar")
-
-
-def group_documents(
-    docs: DataFrame, *, shingle: int = 3, bits: int = BITS, min_similarity: float | None = None
-) -> DataFrame:
-    """doc_id, text_hash, fingerprint and component_id of each row.
-
-    Without ``min_similarity`` fingerprints of 64 bits link at 3 or fewer
-    differing bits. With it, texts of at least that similarity are linked.
-    """
-    if min_similarity is None and bits != 64:
-        raise ValueError("the exact scheme is one of 64 bits")
-    if min_similarity is None:
-        marked = fingerprints(docs, shingle).withColumn("node", node_of(F.col("fingerprint"), bits))
-        kept = [F.min("fingerprint").alias("fingerprint")]
-    else:
-        marked = set_marks(docs, shingle, min_similarity)
-        # Rows of a node have the same set.
-        kept = [F.min(c).alias(c) for c in ("fingerprint", "size", "firsts")]
-    marked = settle(marked, "fingerprints")
+def group_documents(docs: DataFrame, *, shingle: int = 3) -> DataFrame:
+    """doc_id, text_hash, fingerprint and component_id of each row; linked at 3 or fewer differing bits."""
+    marked = settle(fingerprints(docs, shingle).withColumn("node", node_of(F.col("fingerprint"))), "fingerprints")
     # Nulls sort after ids, so a null is the smallest only when all are null.
     first_row = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "text_hash")).alias("rep")
-    reps = settle(marked.groupBy("node").agg(first_row, *kept), "nodes")
+    reps = settle(marked.groupBy("node").agg(first_row, F.min("fingerprint").alias("fingerprint")), "nodes")
     count = reps.count()
-    if min_similarity is None:
-        links = linked_nodes(reps.select("node", "fingerprint"), Exact(), count)
-    else:
-        links = similar_links(reps, docs, Sampled.for_nodes(count, min_similarity), count, shingle, min_similarity)
+    links = linked_nodes(reps.select("node", "fingerprint"), Exact.for_nodes(count), count)
     roots = components(links)
     rooted = reps.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("first"))
@@ -665,9 +409,9 @@ def group_documents(
     )
 
 
-def kept_documents(docs: DataFrame, *, shingle: int = 5, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
-    """One row of each group of near-duplicates, that of the smallest doc_id."""
-    groups = group_documents(docs, shingle=shingle, bits=256, min_similarity=min_similarity)
+def kept_documents(docs: DataFrame, *, shingle: int = 3) -> DataFrame:
+    """One row of each group of linked fingerprints, that of the smallest doc_id."""
+    groups = group_documents(docs, shingle=shingle)
     mine = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("first_hash"))
     winners = groups.filter(mine).groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
     winners = settle(winners.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "copies"), "winners")

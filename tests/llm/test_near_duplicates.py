@@ -1,26 +1,18 @@
-"""The near-duplicate stage against all pairs of texts, on families around 0.8."""
+"""The SimHash stage and its index against all pairs of fingerprints."""
 
 import itertools
 
 import numpy as np
-import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from daymart.llm import simhash
 
 
-def shingles_of(text):
-    words = (text or "").lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def brute_kept(rows, least=0.8):
-    sets = [shingles_of(t) for _, t in rows]
+def brute_kept(rows):
+    marks = [int.from_bytes(simhash.fingerprint(t, 3), "big") for _, t in rows]
     of = list(range(len(rows)))
     for i, j in itertools.combinations(range(len(rows)), 2):
-        x, y = sets[i], sets[j]
-        if of[i] != of[j] and len(x & y) >= least * len(x | y):
+        if of[i] != of[j] and (marks[i] ^ marks[j]).bit_count() <= 3:
             old, new = of[i], of[j]
             of = [new if c == old else c for c in of]
     first = {}
@@ -29,46 +21,43 @@ def brute_kept(rows, least=0.8):
     return sorted(first.values())
 
 
-def kept(spark, rows):
+def test_one_document_of_each_group_stays(spark):
+    draw = np.random.default_rng(3)
+    texts = []
+    for changes in (0, 1, 2, 4, 8, 16):
+        for _ in range(8):
+            base = [f"w{x}" for x in draw.integers(0, 9000, 400)]
+            for _ in range(6):
+                text = list(base)
+                for p in draw.choice(400, changes, replace=False):
+                    text[p] = f"new{draw.integers(0, 1 << 40)}"
+                texts.append(" ".join(text))
+    rows = [(int(k), texts[i]) for k, i in enumerate(draw.permutation(len(texts)))]
     table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    return sorted(r["doc_id"] for r in simhash.kept_documents(table).collect())
-
-
-def family(draw, members, changes, words=400):
-    """Texts of one base, each with some words replaced."""
-    base = [f"w{x}" for x in draw.integers(0, 9000, words)]
-    for _ in range(members):
-        text = list(base)
-        for p in draw.choice(words, changes, replace=False):
-            text[p] = f"new{draw.integers(0, 1 << 40)}"
-        yield " ".join(text)
-
-
-def families(seed):
-    # Between two members, about 2 * changes * 5 of 400 shingles differ: 0.65 to 0.9.
-    draw = np.random.default_rng(seed)
-    texts = [t for changes in (2, 4, 5, 6, 7, 8) for _ in range(12) for t in family(draw, 8, changes)]
-    return [(int(k), texts[i]) for k, i in enumerate(draw.permutation(len(texts)))]
-
-
-def test_a_loose_candidate_does_not_hide_a_true_link():
-    # X is near A and C in bits, A and C are the pair that is similar in fact.
-    a, x, c = np.zeros((3, 4), dtype=np.uint64)
-    a[0], c[0], x[1] = (1 << 20) - 1, (1 << 40) - (1 << 20), 1
-    scheme = simhash.Sampled(8, 1, 54, 80)
-    codes = [b"".join(int(w).to_bytes(8, "big") for w in v) for v in (a, x, c)]
-    frame = pd.DataFrame({"path": 0, "key": 0, "low": 0, "high": 0, "own": 0, "node": [1, 2, 3], "size": 100, "root": [1, 2, 3], "fingerprint": codes})
-    pairs = {tuple(sorted(p)) for out in simhash._open_pairs(frame, scheme, 0.8, False) for p in out[["a", "b"]].itertuples(index=False)}
-    assert pairs == {(1, 2), (1, 3), (2, 3)}
-    few = {tuple(sorted(p)) for out in simhash._open_pairs(frame, scheme, 0.8, True) for p in out[["a", "b"]].itertuples(index=False)}
-    assert len(few) == 2
-
-
-@pytest.mark.parametrize("group_nodes", [4096, 16])
-def test_families_around_the_limit_are_those_of_all_pairs(spark, monkeypatch, group_nodes):
-    monkeypatch.setattr(simhash, "GROUP_NODES", group_nodes)
-    rows = families(3)
-    assert kept(spark, rows) == brute_kept(rows)
+    got = sorted(r["doc_id"] for r in simhash.kept_documents(table).collect())
+    assert got == brute_kept(rows) and 48 < len(got) < len(rows)
+
+
+def test_registered_groups_go_through_the_index(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = simhash.fingerprints(docs, 3).toPandas()
+    codes = np.unique(simhash._codes(rows["fingerprint"])[:, 0])
+    for count in (len(codes), 235_000, 5 * 10**7):
+        scheme = simhash.Exact.for_nodes(count)
+        held = count / 2**scheme.leading
+        assert held <= simhash.INDEXED_NODES and (held > simhash.INDEXED_NODES / 2 or not scheme.leading)
+    # Leading bits of a block lead once it is turned to the front.
+    bits = simhash.Exact(leading=5).tables(())[1]
+    turned = simhash.block_first(codes, 1)
+    assert (simhash._keys(codes[:, None], bits) == simhash._keys(turned[:, None], list(range(59, 64)))).all()
+    entered = []
+    near = simhash.GrayIndex.near
+    monkeypatch.setattr(simhash.GrayIndex, "near", lambda self, q, limit: entered.append(len(self.codes)) or near(self, q, limit))
+    i, j = simhash.link_group(turned[:, None], 3)
+    labels = simhash._join(np.arange(len(codes)), i, j, [])
+    a, b = np.triu_indices(len(codes), 1)
+    close = np.bitwise_count(codes[a] ^ codes[b]) <= 3
+    assert set(entered) == {len(codes)} and (labels[a[close]] == labels[b[close]]).all()
 
 
 def test_no_group_grows_with_the_table(spark, monkeypatch):
@@ -89,35 +78,3 @@ def test_no_group_grows_with_the_table(spark, monkeypatch):
     near = [(x, y) for x, y in itertools.combinations(marks, 2) if (x ^ y).bit_count() <= 3]
     assert near and all(got[x] == got[y] for x, y in near)
     assert max(largest) <= 60
-
-
-def test_repeats_and_short_texts_are_those_of_all_pairs(spark):
-    draw = np.random.default_rng(12)
-    texts = []
-    for _ in range(40):
-        words = [f"w{x}" for x in draw.integers(0, 90_000, 300)]
-        # The same shingles but for the four at a seam; some of them eight times.
-        texts += [" ".join(words), " ".join(words + words[100:140] * 8)]
-    for n in range(8, 70, 3):
-        for _ in range(6):
-            words = [f"w{x}" for x in draw.integers(0, 90_000, n)]
-            texts += [" ".join(words), " ".join([*words, "more"]), " ".join([*words[1:], "a", "b", "c"])]
-    rows = [(int(k), texts[i]) for k, i in enumerate(draw.permutation(len(texts)))]
-    assert kept(spark, rows) == brute_kept(rows)
-
-
-def test_limit_and_tables_lose_what_is_stated():
-    # Pairs of sets of similarity 0.8, as the scheme sees them.
-    draw = np.random.default_rng(2)
-    scheme = simhash.Sampled.for_nodes(50_000)
-    tables = scheme.tables()
-    lost = 0
-    for _ in range(3000):
-        hashes = draw.integers(0, 1 << 64, 100, dtype=np.uint64)
-        a, b = hashes[:90], hashes[10:]
-        assert simhash.similarity(np.sort(a), np.sort(b)) == 0.8
-        codes = simhash._codes(pd.Series([simhash._mark(a, 256), simhash._mark(b, 256)]))
-        met = any(np.diff(simhash._keys(codes, bits).view(np.int64))[0] == 0 for bits in tables)
-        lost += not (met and np.bitwise_count(codes[0] ^ codes[1]).sum() <= scheme.limit)
-    assert lost / 3000 <= 2 * simhash.LOSS
-    print(scheme, lost)

@@ -1,8 +1,9 @@
-"""Cleaning a corpus: rules, toxicity, near-duplicates, mixing, packing.
+"""Cleaning a corpus: rules, toxicity, SimHash near-duplicates, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and its result is written as Parquet and
 read again as the next stage's ``docs``. All but the last return the columns of
-``docs``, in their order.
+``docs``, in their order. Texts of any length are taken whole; null and empty
+texts have no words, which the rules reject; rows of one text are near-duplicates.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_clean(docs, fit(docs, _labels(spark, sf_dir)))
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 0.8 of its five-word shingles."""
+def simhash_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of fingerprints linked at 3 or fewer differing bits."""
     return keep_one_of_each(docs)
 
 
@@ -51,7 +52,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_rules", quality_rules),
     ("toxicity", toxicity),
-    ("near_duplicates", near_duplicates),
+    ("simhash_near_duplicates", simhash_near_duplicates),
     ("mixture", mixture),
     ("packing", packing),
 ]

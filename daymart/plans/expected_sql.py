@@ -273,6 +273,24 @@ EXPECTED_SQL: dict[str, str] = {
         SELECT event_id AS accident_id, event_date AS accident_date FROM integ ORDER BY event_id LIMIT 5
     """,
     "clean_validate": CLEANED,
+    "rejected_events": f"""
+        WITH raw AS (
+          SELECT o_orderkey AS k, [{_REGIONS}][1 + o_custkey % 16] AS region, o_orderstatus AS status FROM orders),
+        judged AS (
+          SELECT k % 13 = 0 OR k % 17 = 0 AS missing, k % 11 = 0 AS case_number, k % 19 = 0 AS unreadable,
+            region IS NOT NULL AND region NOT IN ({_ALLOWED}) AS region, status NOT IN ('F', 'O') AS settlement,
+            region IS NULL AS no_region
+          FROM raw),
+        named AS (
+          SELECT unnest(list_filter([
+            CASE WHEN missing OR no_region THEN 'missing' END, CASE WHEN case_number THEN 'case_number' END,
+            CASE WHEN unreadable THEN 'unreadable' END, CASE WHEN region THEN 'region' END,
+            CASE WHEN settlement THEN 'settlement' END,
+            CASE WHEN NOT (missing OR no_region OR case_number OR unreadable OR coalesce(region, false) OR settlement) THEN 'none' END],
+            lambda r: r IS NOT NULL)) AS rule
+          FROM judged)
+        SELECT rule, count(*) AS events FROM named GROUP BY rule
+    """,
     "csv_round_trip": CLEANED,
     "integrate_daily": f"""
         WITH {INTEGRATED}

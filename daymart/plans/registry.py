@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from daymart.functions.days import lenient_day, timestamp_text
 from daymart.functions.geo import to_wgs84
+from daymart.operators.audit import audit_events, read_kept, read_rejected
 from daymart.operators.clean import clean_events, validate_events
 from daymart.operators.series import integrate, keyed_replace, unzip_daily, within_days
 from daymart.operators.keys import COUNT, dense_keys, rank_tuples
@@ -153,6 +154,18 @@ def _shown(cleaned: DataFrame) -> DataFrame:
     return staged.withColumn("accident_date", timestamp_text(F.col("accident_date")))
 
 
+@query
+def rejected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by the rules they break, one that breaks several under each, and those that break none."""
+    raw, path = raw_order_texts(spark, sf_dir), scratch_path(spark, "audit")
+    number = F.regexp_replace(CASE_NUMBER, "X", "").cast("bigint")
+    raw = raw.withColumn(EASTING, F.when(number % 19 == 0, "12,5").otherwise(F.col(EASTING)))
+    audit_events(raw, path, RAW_TIME_FORMAT)
+    rejected = read_rejected(spark, path).select(F.explode("rules").alias("rule"))
+    kept = _shown(read_kept(spark, path, RAW_TIME_FORMAT)).select(F.lit("none").alias("rule"))
+    return rejected.unionByName(kept).groupBy("rule").agg(F.count(F.lit(1)).alias("events"))
+
+
 @query
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text to CSV and back, cleaned, to CSV and back with types."""

@@ -415,10 +415,13 @@ def export_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in TABLES:
         # Small tables go to a schema of the catalog, the others are views of the session.
         as_table = name in ("region", "nation", "benchmark")
-        publish_model(table(spark, sf_dir, name), f"main_{name}", "table" if as_table else "view", schema=kept if as_table else None)
-    # Views of other queries may have the names of these tables: a table of the catalog comes first.
-    found = {name: key for key in sorted(list_tables(spark)) if (name := export_name(key[1])) in TABLES and key[0] in (TEMPORARY, kept)}
+        if as_table:
+            publish_model(table(spark, sf_dir, name), f"main_{name}", "table", scratch_path(spark, name), schema=kept)
+        else:
+            publish_model(table(spark, sf_dir, name), f"main_{name}", "view")
+    # Views of other queries may have the names of these tables: a table of the catalog goes before them.
     listed = list_tables(spark)
+    found = {name: key for key in sorted(listed) if (name := export_name(key[1])) in TABLES and key[0] in (TEMPORARY, kept)}
     paths = export_parquet({key: listed[key] for key in found.values()}, scratch_path(spark, "export-all"))
     parts = []
     for name, path in zip(found, paths):

@@ -2,16 +2,22 @@
 
 Largest inner product becomes nearest distance by one more dimension, which
 gives all vectors the same length. Centroids come from a balanced k-means on a
-bounded sample. Every vector goes to the posting list of its nearest centroid
-and, near a boundary, to those of further centroids that are almost as near
-and do not lie behind one that it is in already. Centroids are searched by a
-best-first walk on a graph of neighbouring centroids held in memory. A query
-first takes the nearest of the lists whose centroid's distance is within a
-ratio of the nearest one, and scores what is in them. Then it takes every other
-list that may still hold a vector as good as its last one: a list's inner
-products are at most that of its centroid plus the query's length times the
-list's radius. So no list is left out that could change the result; queries
-that need many lists go through all rows in blocks.
+bounded sample: a full cluster charges a fee, and the fees stay with the
+centroids as one more component, so that lists of all rows are about as even as
+those of the sample (vectors whose lengths lie far apart stay uneven: short
+ones share a list). Every vector goes to the posting list of its nearest
+centroid and, near a boundary, to those of further centroids that are almost as
+near and do not lie behind one that it is in already. Centroids are searched by
+a best-first walk on a graph of neighbouring centroids held in memory.
+
+A query reads the lists whose centroid's distance is within a ratio of the
+nearest one, however many these are. The ratio is calibrated: it is the least
+one by which sample vectors find ``recall`` of their neighbours in the sample.
+Rows of the table lie closer to a query than those of a sample, so lists hold
+at least as many of the true neighbours. Vectors without any structure have all
+centroids at about one distance: there a query reads most lists, which is the
+work of all pairs. Queries that find fewer than ``k`` rows go through all rows
+in blocks.
 
 Equal vectors are one vector with the ids of its ``k`` + 1 smallest copies;
 further copies can be in no result, as ties go to smaller ids. Equal queries
@@ -46,15 +52,14 @@ MAX_LISTS = 4_096
 LIST_ROWS = 200
 #: A vector joins lists whose centroid is within this ratio of its nearest.
 BOUNDARY_RATIO, MAX_COPIES = 1.15, 4
-#: A query first reads lists within this ratio of its nearest, and some in any
-#: case; what else it reads follows from the scores found there.
-PROBE_RATIO, MIN_PROBES, MAX_PROBES = 1.6, 24, 64
-#: A query that needs more than this share of the lists reads all rows.
-MANY_LISTS = 0.125
-_DEGREE, _BEAM = 24, 96
+#: Neighbours that the calibrated ratio finds, and the sample vectors asked.
+RECALL, ASKED = 0.97, 512
+#: Lists of a cell; neighbouring lists share one, so a query is sent once for them.
+CELL_LISTS = 16
+_DEGREE, _BACK, _BEAM = 16, 6, 32
 _SEED = 11
-_ROUNDS = 8
-_AT_ONCE = 1024
+_ROUNDS, _FEE_ROUNDS = 8, 24
+_AT_ONCE, _QUERIES_AT_ONCE = 1024, 256
 
 
 @dataclass
@@ -65,13 +70,43 @@ class Centroids:
     graph: np.ndarray
     entries: np.ndarray
     longest: float
+    ratio: float = 1.0
 
     def lift(self, vectors: np.ndarray, query: bool = False) -> np.ndarray:
-        """The extra component that makes inner products distances."""
+        """Two more components: one makes inner products distances, one meets the fees.
+
+        A query's length does not change what is nearest to it, so all have one.
+        """
+        none = np.zeros((len(vectors), 1))
+        squares = (vectors**2).sum(axis=1)[:, None]
         if query:
-            return np.hstack([vectors, np.zeros((len(vectors), 1))])
-        rest = np.maximum(self.longest**2 - (vectors**2).sum(axis=1), 0.0)
-        return np.hstack([vectors, np.sqrt(rest)[:, None]])
+            return np.hstack([vectors * (self.longest / np.sqrt(squares)), none, none])
+        return np.hstack([vectors, np.sqrt(np.maximum(self.longest**2 - squares, 0.0)), none])
+
+    def distances(self, points: np.ndarray) -> np.ndarray:
+        squares = (points**2).sum(axis=1)[:, None] + (self.points**2).sum(axis=1)
+        return np.sqrt(np.maximum(squares - 2 * points @ self.points.T, 0.0))
+
+    def within(self, points: np.ndarray) -> np.ndarray:
+        """Which lists each query reads: (queries, lists).
+
+        The walk is widened until its last centroid lies beyond the ratio; when
+        it would open most of the graph, distances to all are less work.
+        """
+        total = len(self.points)
+        out = np.zeros((len(points), total), dtype=bool)
+        if math.isinf(self.ratio):
+            return ~out
+        left, wanted = np.arange(len(points)), 32
+        while len(left) and wanted < total / 4:
+            ids, dist = self.search(points[left], wanted)
+            close = (dist <= self.ratio * dist[:, :1]) & (ids >= 0)
+            row, j = np.nonzero(close)
+            out[left[row], ids[row, j]] = True
+            left, wanted = left[close[:, -1]], 2 * wanted
+        dist = self.distances(points[left])
+        out[left] = dist <= self.ratio * dist.min(axis=1, keepdims=True)
+        return out
 
     def search(self, points: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
         """The nearest centroids of each point, nearest first, and distances.
@@ -94,7 +129,7 @@ class Centroids:
             order = np.argsort(dist, axis=1, kind="stable")[:, :beam]
             ids, dist, opened = ids[rows, order], dist[rows, order], opened[rows, order]
             waiting = np.where(opened, np.inf, dist)[:, : max(wanted + 8, 24)]
-            nearest = waiting.argsort(axis=1)[:, :4]
+            nearest = waiting.argsort(axis=1)[:, :3]
             live = np.isfinite(waiting[rows, nearest])
             if not live.any():
                 break
@@ -105,20 +140,27 @@ class Centroids:
             new = ~seen[rows, around]
             seen[rows, around] = True
             at = np.where(new, around, 0)
-            near = own[:, None] + squares[at] - 2 * np.einsum("nd,nkd->nk", points, self.points[at])
+            r, j = np.nonzero(new)
+            near = np.full(new.shape, np.inf)
+            near[r, j] = own[r] + squares[at[r, j]] - 2 * np.einsum("nd,nd->n", points[r], self.points[at[r, j]])
             ids = np.hstack([ids, at])
-            dist = np.hstack([dist, np.where(new, near, np.inf)])
+            dist = np.hstack([dist, near])
             opened = np.hstack([opened, ~new])
         dist = np.sqrt(np.maximum(dist[:, :wanted], 0.0))
         return np.where(np.isfinite(dist), ids[:, :wanted], -1), dist
 
 
 def _balanced(points: np.ndarray, k: int) -> np.ndarray:
-    """k-means whose distances carry a fee that grows with a cluster's size."""
+    """k-means whose distances carry a fee that grows with a cluster's size.
+
+    Returns the centres with the root of their fees as a last component: the
+    distance to a point that has 0 there is the distance with the fee.
+    """
     draw = np.random.default_rng(_SEED)
     centres = points[np.sort(draw.choice(len(points), k, replace=False))].copy()
     fee = np.zeros(k)
-    for _ in range(_ROUNDS):
+    step = 0.2
+    for turn in range(_ROUNDS + _FEE_ROUNDS):
         own = np.empty(len(points), dtype=int)
         spread = 0.0
         for a in range(0, len(points), _AT_ONCE):
@@ -127,28 +169,71 @@ def _balanced(points: np.ndarray, k: int) -> np.ndarray:
             own[a : a + _AT_ONCE] = (dist + fee).argmin(axis=1)
             spread += float(np.maximum(dist.min(axis=1), 0).sum())
         sizes = np.bincount(own, minlength=k)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, own, points)
-        filled = sizes > 0
-        centres[filled] = sums[filled] / sizes[filled, None]
-        fee += 0.2 * spread / len(points) * (sizes * k / len(points) - 1)
-    return centres
-
-
-def fit_centroids(sample: np.ndarray, rows: int, longest: float) -> Centroids:
+        if turn < _ROUNDS:
+            sums = np.zeros_like(centres)
+            np.add.at(sums, own, points)
+            filled = sizes > 0
+            centres[filled] = sums[filled] / sizes[filled, None]
+        else:
+            step *= 0.9
+        fee += step * spread / len(points) * np.clip(sizes * k / len(points) - 1, -1, 1)
+    return np.hstack([centres[:, :-1], centres[:, -1:], np.sqrt(fee - fee.min())[:, None]])
+
+
+def fit_centroids(sample: np.ndarray, rows: int, longest: float, k: int = NEAREST, recall: float = RECALL) -> Centroids:
     """Centroids for ``rows`` vectors, from a sample of them."""
     shell = Centroids(np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0), longest)
     points = shell.lift(sample)
-    k = max(1, min(MAX_LISTS, len(points), math.ceil(rows / LIST_ROWS)))
-    centres = _balanced(points, k)
+    lists = max(1, min(MAX_LISTS, len(points), math.ceil(rows / LIST_ROWS)))
+    centres = _balanced(points[:, :-1], lists)
+    # Neighbouring lists get neighbouring numbers.
+    centres = centres[_in_line(centres, np.arange(lists))]
     dist = (centres**2).sum(axis=1)[:, None] + (centres**2).sum(axis=1) - 2 * centres @ centres.T
     np.fill_diagonal(dist, np.inf)
-    graph = dist.argsort(axis=1, kind="stable")[:, : min(_DEGREE, max(1, k - 1))]
-    # Some links from each centroid to far ones keep the graph in one piece.
+    graph = dist.argsort(axis=1, kind="stable")[:, : min(_DEGREE, max(1, lists - 1))]
+    # A centroid that is near to none is still reached from those nearest to it,
+    # and some links to far ones keep the graph in one piece.
+    links = np.full((lists, _BACK), lists)
+    used = np.zeros(lists, dtype=int)
+    for own, around in enumerate(graph):
+        for other in around[used[around] < _BACK][:2]:
+            links[other, used[other]] = own
+            used[other] += 1
     draw = np.random.default_rng(_SEED)
-    graph = np.hstack([graph, draw.integers(0, k, (k, 4))])
-    entries = np.unique(draw.integers(0, k, min(k, 16)))
-    return Centroids(centres, graph, entries, longest)
+    graph = np.hstack([graph, links, draw.integers(0, lists, (lists, 2))])
+    entries = np.unique(draw.integers(0, lists, min(lists, 16)))
+    centroids = Centroids(centres, graph, entries, longest)
+    centroids.ratio = _calibrated(centroids, sample, k, recall)
+    return centroids
+
+
+def _in_line(centres: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """An order of centres in which halves, and halves of these, lie apart."""
+    if len(own) <= CELL_LISTS:
+        return own
+    part = centres[own] - centres[own].mean(axis=0)
+    far = part[(part**2).sum(axis=1).argmax()]
+    order = own[np.argsort(part @ far, kind="stable")]
+    half = CELL_LISTS * max(1, round(len(own) / CELL_LISTS / 2))
+    return np.concatenate([_in_line(centres, order[:half]), _in_line(centres, order[half:])])
+
+
+def _calibrated(centroids: Centroids, sample: np.ndarray, k: int, recall: float) -> float:
+    """The ratio by which sample vectors find ``recall`` of their neighbours in the sample."""
+    if recall >= 1:
+        return math.inf
+    where: dict[int, list[int]] = {}
+    for rows, lists in _assigned(centroids, centroids.lift(sample)):
+        for row, own in zip(rows.tolist(), lists.tolist()):
+            where.setdefault(row, []).append(own)
+    needed = []
+    for q in range(min(ASKED, len(sample))):
+        scores = sample @ sample[q]
+        scores[q] = -np.inf
+        near = np.argpartition(-scores, min(k, len(scores) - 1))[:k]
+        dist = centroids.distances(centroids.lift(sample[q : q + 1], query=True))[0]
+        needed += [dist[where[n]].min() / max(dist.min(), 1e-300) for n in near.tolist() if n != q]
+    return max(1.0, float(np.quantile(needed, recall, method="higher"))) if needed else 1.0
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -176,52 +261,6 @@ def _assigned(centroids: Centroids, points: np.ndarray) -> Iterator[tuple[np.nda
             yield rows[wanted], here[wanted]
 
 
-def _homes(centroids: Centroids, points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(row, list) pairs: the nearest list of each vector only, as in ``_assigned``."""
-    for a in range(0, len(points), _AT_ONCE):
-        part = points[a : a + _AT_ONCE]
-        yield np.arange(a, a + len(part)), centroids.search(part, MAX_COPIES * 2)[0][:, 0]
-
-
-def _probes(centroids: Centroids, points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(row, list) pairs of queries: lists within a ratio of the nearest one."""
-    for a in range(0, len(points), _AT_ONCE):
-        part = points[a : a + _AT_ONCE]
-        ids, dist = centroids.search(part, min(MAX_PROBES, len(centroids.points)))
-        close = (dist <= PROBE_RATIO * dist[:, :1]) | (np.arange(ids.shape[1]) < MIN_PROBES)
-        row, j = np.nonzero(close & (ids >= 0))
-        yield row + a, ids[row, j]
-
-
-def _reach(centroids: Centroids, homes: np.ndarray, points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(list, radius) of vectors and their nearest list, without the lifted component."""
-    for a in range(0, len(points), _AT_ONCE):
-        where = homes[a : a + _AT_ONCE]
-        yield where, np.linalg.norm(points[a : a + _AT_ONCE] - centroids.points[where, :-1], axis=1)
-
-
-def _further(
-    centroids: Centroids, radius: np.ndarray, points: np.ndarray, least: np.ndarray
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(row, list) pairs of lists that may hold a score of ``least``, beyond those read first.
-
-    List -1 stands for all rows.
-    """
-    for a in range(0, len(points), _AT_ONCE):
-        part, lowest = points[a : a + _AT_ONCE], least[a : a + _AT_ONCE]
-        length = np.linalg.norm(part, axis=1)
-        bound = part @ centroids.points[:, :-1].T + length[:, None] * radius
-        # Sums are rounded; ties count, as smaller ids go first.
-        slack = 1e-9 * (1 + length * centroids.longest)
-        may = (radius >= 0) & (bound + slack[:, None] >= lowest[:, None])
-        for row, where in _probes(centroids, centroids.lift(part, query=True)):
-            may[row, where] = False
-        many = may.sum(axis=1) > MANY_LISTS * len(radius)
-        row, where = np.nonzero(may & ~many[:, None])
-        yield row + a, where
-        yield np.flatnonzero(many) + a, np.full(many.sum(), -1)
-
-
 def usable(vectors: DataFrame) -> DataFrame:
     """Rows that take part, with components as doubles."""
     wide = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
@@ -255,29 +294,52 @@ def _best(scored: pd.DataFrame, k: int) -> pd.DataFrame:
 PAIRS = "q long, vec_id long, score double"
 
 
-def _scored(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> Iterator[pd.DataFrame]:
-    """The ``k`` best of ``rows`` for each of ``queries``, in blocks."""
+def _scored(
+    queries: pd.DataFrame, rows: pd.DataFrame, k: int, read: np.ndarray | None = None, lists: np.ndarray | None = None
+) -> Iterator[pd.DataFrame]:
+    """The ``k`` best of ``rows`` for each of ``queries``, in blocks.
+
+    A matrix product finds the rows that can be among the best; their scores
+    are then summed as ``inner`` sums them. With ``read`` (queries, lists) and
+    each row's number in ``lists``, queries see the rows of their lists.
+    """
     if not len(queries) or not len(rows):
         return
-    copies = rows["ids"].map(len).to_numpy()
-    ids = np.concatenate(rows["ids"].to_numpy()).astype(np.int64)
-    owner = np.repeat(np.arange(len(rows)), copies)
-    # Smaller ids first, so that a stable order breaks ties by them.
-    by_id = np.argsort(ids, kind="stable")
-    ids, owner = ids[by_id], owner[by_id]
-    points = _matrix(rows["v"])
-    for a in range(0, len(queries), 256):
-        part = queries.iloc[a : a + 256]
-        scores = inner(_matrix(part["v"]), points)[:, owner]
-        top = min(k, scores.shape[1])
-        order = np.argsort(-scores, axis=1, kind="stable")[:, :top]
-        yield pd.DataFrame(
-            {
-                "q": np.repeat(part["q"].to_numpy(), top),
-                "vec_id": ids[order].ravel(),
-                "score": np.take_along_axis(scores, order, axis=1).ravel(),
-            }
-        )
+    ids = rows["ids"].to_numpy()
+    points, asked = _matrix(rows["v"]), _matrix(queries["v"])
+    names = queries["q"].to_numpy()
+    longest = np.sqrt((points**2).sum(axis=1).max())
+    for a in range(0, len(queries), _QUERIES_AT_ONCE):
+        part = asked[a : a + _QUERIES_AT_ONCE]
+        at = np.arange(len(points))
+        if read is not None:
+            sees = read[a : a + _QUERIES_AT_ONCE]
+            at = np.flatnonzero(sees.any(axis=0)[lists])
+        if not len(at):
+            continue
+        near = part @ points[at].T
+        if read is not None:
+            near[~sees[:, lists[at]]] = -np.inf
+        # Sums are rounded; rows as good as the last one count, as smaller ids go first.
+        slack = 1e-11 * points.shape[1] * np.sqrt((part**2).sum(axis=1)) * longest
+        last = -np.partition(-near, k - 1, axis=1)[:, k - 1] if len(at) > k else np.full(len(part), -np.inf)
+        q, row = np.nonzero((near >= (last - slack)[:, None]) & (near > -np.inf))
+        copies = ids[at[row]]
+        found = pd.DataFrame({"q": names[a + q], "score": _pairwise(part, points, q, at[row])})
+        counts = np.fromiter(map(len, copies), dtype=np.int64, count=len(copies))
+        found = found.loc[np.repeat(np.arange(len(found)), counts)].reset_index(drop=True)
+        found["vec_id"] = np.concatenate([*copies, []]).astype(np.int64)
+        yield _best(found, k)[["q", "vec_id", "score"]]
+
+
+def _pairwise(queries: np.ndarray, points: np.ndarray, q: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The inner product of each pair, summed as ``inner`` sums it."""
+    out = np.zeros(len(q))
+    for a in range(0, len(q), 1 << 16):
+        left, right = queries[q[a : a + (1 << 16)]], points[row[a : a + (1 << 16)]]
+        for d in range(points.shape[1]):
+            out[a : a + (1 << 16)] += left[:, d] * right[:, d]
+    return out
 
 
 def inner(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -295,8 +357,11 @@ def _top(rows: DataFrame, k: int) -> DataFrame:
     return once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def nearest(vectors: DataFrame, *, k: int = NEAREST, every: int = EVERY) -> DataFrame:
-    """query_id, rank, vec_id and score of the neighbours of every n-th vector."""
+def nearest(vectors: DataFrame, *, k: int = NEAREST, every: int = EVERY, recall: float = RECALL) -> DataFrame:
+    """query_id, rank, vec_id and score of the neighbours of every n-th vector.
+
+    With a ``recall`` of 1 every list is read.
+    """
     spark = vectors.sparkSession
     rows = usable(vectors)
     sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
@@ -307,73 +372,54 @@ def nearest(vectors: DataFrame, *, k: int = NEAREST, every: int = EVERY) -> Data
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     about = stored.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.max(square)).alias("longest")).first()
     sample = stored.orderBy(F.xxhash64("key"), "key").limit(SAMPLE_ROWS).select("v").collect()
-    centroids = fit_centroids(np.array([r["v"] for r in sample], dtype=np.float64), about["n"], about["longest"])
+    centroids = fit_centroids(np.array([r["v"] for r in sample], dtype=np.float64), about["n"], about["longest"], k, recall)
     # At most MAX_LISTS centroids: some MB.
     spread = spark.sparkContext.broadcast(centroids)
 
     def post(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row, where in _assigned(spread.value, spread.value.lift(_matrix(frame["v"]))):
-                yield frame.iloc[row].assign(list=where)[["list", "v", "ids"]]
+                held = frame.iloc[row].assign(cell=where // CELL_LISTS, list=where % CELL_LISTS)
+                yield held[["cell", "list", "v", "ids"]]
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = 1 << np.arange(CELL_LISTS)
         for frame in frames:
-            for row, where in _probes(spread.value, spread.value.lift(_matrix(frame["v"]), query=True)):
-                yield frame.iloc[row].assign(list=where)[["list", "q", "v"]]
-
-    def reach(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if len(frame):
-                points = _matrix(frame["v"])
-                homes = np.concatenate([w for _, w in _homes(spread.value, spread.value.lift(points))])
-                where, far = (np.concatenate(x) for x in zip(*_reach(spread.value, homes, points)))
-                own = pd.DataFrame({"list": where, "radius": far})
-                yield own.groupby("list", as_index=False)["radius"].max()
-
-    postings = stored.mapInPandas(post, "list int, v array<double>, ids array<long>")
+            for a in range(0, len(frame), _AT_ONCE):
+                part = frame.iloc[a : a + _AT_ONCE]
+                read = spread.value.within(spread.value.lift(_matrix(part["v"]), query=True))
+                wide = np.pad(read, ((0, 0), (0, -read.shape[1] % CELL_LISTS)))
+                masks = wide.reshape(len(part), -1, CELL_LISTS) @ bits
+                row, cell = np.nonzero(masks)
+                yield part.iloc[row].assign(cell=cell, lists=masks[row, cell])[["cell", "lists", "q", "v"]]
+
+    postings = stored.mapInPandas(post, "cell int, list int, v array<double>, ids array<long>")
     members = settle(rows.filter(F.col("vec_id") % every == 0).select("vec_id", F.xxhash64("v").alias("key"), "v").distinct(), "members")
     # A query is the vector of at least one member; its smallest one names it.
     queries = settle(members.groupBy("key", "v").agg(F.min("vec_id").alias("q")), "queries")
-    asked = queries.select("q", "v").mapInPandas(ask, "list int, q long, v array<double>")
+    asked = queries.select("q", "v").mapInPandas(ask, "cell int, lists int, q long, v array<double>")
 
     def scan(_, own: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        parts = list(_scored(own, held, k + 1))
+        own = own.sort_values(["lists", "q"])
+        read = (own["lists"].to_numpy()[:, None] >> np.arange(CELL_LISTS) & 1).astype(bool)
+        parts = list(_scored(own, held, k + 1, read, held["list"].to_numpy()))
         return pd.concat(parts) if parts else pd.DataFrame({"q": [], "vec_id": [], "score": []})
 
-    # Beyond MAX_LISTS lists grow with the table; blocks of a list and of its
+    # Beyond MAX_LISTS lists grow with the table; blocks of a cell and of its
     # queries then meet in tasks of their own.
     width = len(centroids.points) * LIST_ROWS
-    blocks = math.ceil(about["n"] / (8 * width))
-    query_blocks = math.ceil(about["n"] / every / (8 * width))
-    group = ["list", "block", "query_block"]
+    blocks = math.ceil(about["n"] / (2 * width))
+    query_blocks = math.ceil(about["n"] / every / (2 * width))
+    group = ["cell", "block", "query_block"]
     postings = _in_blocks(postings, "block", F.xxhash64("v"), blocks, "query_block", query_blocks)
     asked = _in_blocks(asked, "query_block", F.xxhash64("q"), query_blocks, "block", blocks)
     found = asked.groupBy(*group).cogroup(postings.groupBy(*group)).applyInPandas(scan, PAIRS)
     best = settle(_top(found, k + 1), "found")
-    # Lists read so far say what a list must be able to hold to be read, too.
-    # Without k + 1 rows so far every list may be of use.
+    # A query whose lists hold fewer rows than it wants reads all rows.
     total = stored.agg(F.sum(F.size("ids"))).first()[0]
-    last = best.groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
-    enough = F.col("n") >= min(k + 1, total)
-    least = F.when(enough, F.col("least")).otherwise(F.lit(float("-inf"))).alias("least")
-    waiting = queries.join(last, "q", "left").select("q", "v", least)
-    homes = settle(stored.mapInPandas(reach, "list int, radius double").groupBy("list").agg(F.max("radius").alias("radius")), "reach")
-    radius = np.full(len(centroids.points), -1.0)
-    for row in homes.collect():
-        radius[row["list"]] = row["radius"]
-    radii = spark.sparkContext.broadcast(radius)
-
-    def ask_further(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if len(frame):
-                for row, where in _further(spread.value, radii.value, _matrix(frame["v"]), frame["least"].to_numpy()):
-                    yield frame.iloc[row].assign(list=where)[["list", "q", "v"]]
-
-    further = settle(waiting.mapInPandas(ask_further, "list int, q long, v array<double>"), "further")
-    more = _in_blocks(further.filter("list >= 0"), "query_block", F.xxhash64("q"), query_blocks, "block", blocks)
-    again = more.groupBy(*group).cogroup(postings.groupBy(*group)).applyInPandas(scan, PAIRS)
-    best = settle(_top(best.select("q", "vec_id", "score").unionByName(again), k + 1), "read")
-    broad = settle(further.filter("list < 0").select("q", "v"), "broad")
+    last = best.groupBy("q").agg(F.count(F.lit(1)).alias("n"))
+    few = F.coalesce("n", F.lit(0)) < min(k + 1, total)
+    broad = settle(queries.join(last, "q", "left").filter(few).select("q", "v"), "broad")
     if not broad.isEmpty():
         best = best.join(broad.select("q"), "q", "left_anti").unionByName(_exhaustive(broad, stored, k + 1))
     named = queries.select("key", "v", "q").join(best.select("q", "vec_id", "score"), "q")

@@ -202,6 +202,54 @@ WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0
   AND region IN ({_ALLOWED}) AND settlement IN ('JAH', 'EI')
 """
 
+_ORDER_TEXTS = """texts AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS key,
+    CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE CAST(CAST(o_totalprice AS DECIMAL(15, 2)) AS VARCHAR) END AS price,
+    lpad(CAST(o_orderkey % 1000 AS VARCHAR), 4, '0') AS code,
+    CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'False' END AS flag,
+    strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS day,
+    strftime(CAST(o_orderdate AS DATE), '%d.%m.%Y') || ' ' || lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || ':30' AS moment,
+    lpad(CAST(o_orderkey % 12 + 1 AS VARCHAR), 2, '0') || '/' || lpad(CAST(o_orderkey % 11 + 1 AS VARCHAR), 2, '0') || '/1997' AS either,
+    CASE WHEN o_orderkey % 1000 = 1 THEN strftime(CAST(o_orderdate AS DATE), '%d/%m/%Y')
+      ELSE strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') END AS mixed,
+    CASE WHEN o_orderkey < 0 THEN 'x' END AS nothing
+  FROM orders)"""
+_TEXT_COLUMNS = ("key", "price", "code", "flag", "day", "moment", "either", "mixed", "nothing")
+_LAYOUT_COUNTS = " UNION ALL ".join(
+    f"SELECT name, '{day + time}' AS layout, count(*) AS fitting FROM each_value WHERE shape = '{day_shape + time_shape}' "
+    f"AND try_strptime(v, '{day_format + time_format}') IS NOT NULL GROUP BY name"
+    for day, day_format, day_shape in (
+        ("yyyy-MM-dd", "%Y-%m-%d", "9999-99-99"),
+        ("yyyy/MM/dd", "%Y/%m/%d", "9999/99/99"),
+        ("dd.MM.yyyy", "%d.%m.%Y", "99.99.9999"),
+        ("dd/MM/yyyy", "%d/%m/%Y", "99/99/9999"),
+        ("MM/dd/yyyy", "%m/%d/%Y", "99/99/9999"),
+        ("dd-MM-yyyy", "%d-%m-%Y", "99-99-9999"),
+        ("MM-dd-yyyy", "%m-%d-%Y", "99-99-9999"),
+    )
+    for time, time_format, time_shape in (("", "", ""), (" HH:mm", " %H:%M", " 99:99"), (" HH:mm:ss", " %H:%M:%S", " 99:99:99"))
+)
+_FOUND_TYPES = f"""
+    WITH {_ORDER_TEXTS},
+    every AS ({" UNION ALL ".join(f"SELECT '{c}' AS name, nullif({c}, '') AS v FROM texts" for c in _TEXT_COLUMNS)}),
+    each_value AS (SELECT *, regexp_replace(v, '[0-9]', '9', 'g') AS shape FROM every),
+    counted AS (
+      SELECT name, count(*) AS n_rows, count(v) AS n_values,
+        count(*) FILTER (regexp_full_match(v, '[+-]?(0|[1-9][0-9]{{0,17}})')) AS whole,
+        count(*) FILTER (regexp_full_match(v, '[+-]?(0|[1-9][0-9]*)([.][0-9]*)?')) AS number,
+        count(*) FILTER (lower(v) IN ('true', 'false')) AS truth
+      FROM each_value GROUP BY name),
+    fits AS ({_LAYOUT_COUNTS}),
+    taken AS (
+      SELECT c.name, count(*) AS n, string_agg(layout, ',' ORDER BY layout) AS candidates
+      FROM counted c JOIN fits f ON c.name = f.name AND c.n_values = f.fitting GROUP BY c.name)
+    SELECT name AS "column", n_rows, n_values,
+      CASE WHEN n_values = 0 THEN 'string' WHEN whole = n_values THEN 'bigint' WHEN number = n_values THEN 'double'
+        WHEN truth = n_values THEN 'boolean' WHEN n IS NULL OR n > 1 THEN 'string'
+        WHEN contains(candidates, 'H') THEN 'timestamp' ELSE 'date' END AS type,
+      CASE WHEN n = 1 THEN candidates END AS time_format, coalesce(candidates, '') AS candidates
+    FROM counted LEFT JOIN taken USING (name)
+"""
 CONTENT = {
     WHOLE: "{c}",
     REAL: "floor({c} * CAST(100 AS DOUBLE))",
@@ -291,6 +339,15 @@ EXPECTED_SQL: dict[str, str] = {
           FROM judged)
         SELECT rule, count(*) AS events FROM named GROUP BY rule
     """,
+    "found_types": _FOUND_TYPES,
+    "typed_by_finding": f"""
+        WITH {_ORDER_TEXTS}
+        SELECT CAST(key AS BIGINT) AS key, CAST(round(CAST(nullif(price, '') AS DOUBLE) * 100) AS BIGINT) AS cents, code,
+          lower(flag) = 'true' AS flag, CAST(day AS DATE) AS day,
+          strftime(strptime(moment, '%d.%m.%Y %H:%M'), '%Y-%m-%d %H:%M:%S') AS moment,
+          CAST(strptime(either, '%m/%d/%Y') AS DATE) AS either, mixed
+        FROM texts
+    """,
     "csv_round_trip": CLEANED,
     "integrate_daily": f"""
         WITH {INTEGRATED}

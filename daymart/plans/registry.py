@@ -40,6 +40,7 @@ from daymart.schemas import (
     SERIES_PAYLOAD,
     STAGED_EVENT_COLUMNS,
 )
+from daymart.sources.infer import find_types, typed
 from daymart.sources.readers import TEMPORARY, list_tables, read_clean_events, read_raw_events, read_series, read_table
 from daymart.sources.snapshots import snapshot_versions
 from daymart.sources.writers import export_name, export_parquet, publish_model, save_series, save_table, write_csv
@@ -166,6 +167,44 @@ def rejected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.unionByName(kept).groupBy("rule").agg(F.count(F.lit(1)).alias("events"))
 
 
+def _order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text whose types and layouts nobody states."""
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    # The day of the month is never above 12, so day and month could be swapped.
+    either = F.concat_ws("/", F.lpad((key % 12 + 1).cast("string"), 2, "0"), F.lpad((key % 11 + 1).cast("string"), 2, "0"), F.lit("1997"))
+    clock = F.concat(F.date_format(day, "dd.MM.yyyy"), F.lit(" "), F.lpad((key % 24).cast("string"), 2, "0"), F.lit(":30"))
+    texts = {
+        "key": key.cast("string"),
+        "price": F.when(key % 7 == 0, "").otherwise(F.col("o_totalprice").cast("decimal(15,2)").cast("string")),
+        "code": F.lpad((key % 1000).cast("string"), 4, "0"),
+        "flag": F.when(key % 2 == 0, "true").otherwise("False"),
+        "day": F.date_format(day, "yyyy-MM-dd"),
+        "moment": clock,
+        "either": either,
+        "mixed": F.when(key % 1000 == 1, F.date_format(day, "dd/MM/yyyy")).otherwise(F.date_format(day, "yyyy-MM-dd")),
+        "nothing": F.when(key < 0, "x"),
+    }
+    return table(spark, sf_dir, "orders").select(*(text.alias(name) for name, text in texts.items()))
+
+
+@query
+def found_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type and layout of each column, and what an ambiguous one may be."""
+    found = find_types(_order_texts(spark, sf_dir))
+    return found.withColumn("candidates", F.array_join(F.array_sort("candidates"), ","))
+
+
+@query
+def typed_by_finding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders read with the types found; the layout of the ambiguous column is stated."""
+    path = scratch_path(spark, "untyped-csv")
+    write_csv(_order_texts(spark, sf_dir), path)
+    texts = read_raw_events(spark, path)
+    rows = typed(texts, find_types(texts), {"either": "MM/dd/yyyy"})
+    shown = rows.withColumn("moment", timestamp_text(F.col("moment")))
+    return shown.select("key", F.round(F.col("price") * 100).cast("bigint").alias("cents"), "code", "flag", "day", "moment", "either", "mixed")
+
+
 @query
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text to CSV and back, cleaned, to CSV and back with types."""

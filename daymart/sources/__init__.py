@@ -1,6 +1,7 @@
 """Readers and writers."""
 
 from daymart.sources.digests import table_digest
+from daymart.sources.infer import find_types, time_formats, typed
 from daymart.sources.readers import (
     TEMPORARY,
     list_tables,
@@ -36,6 +37,7 @@ __all__ = [
     "export_name",
     "export_parquet",
     "export_relational",
+    "find_types",
     "list_tables",
     "publish_model",
     "read_clean_events",
@@ -49,5 +51,7 @@ __all__ = [
     "save_table",
     "snapshot_versions",
     "table_digest",
+    "time_formats",
+    "typed",
     "write_csv",
 ]

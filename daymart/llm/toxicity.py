@@ -58,6 +58,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def lowered(text: str | None) -> str:
+    """The text in lower case, each character in its place.
+
+    One letter alone lowers to two characters; it is taken as a plain i.
+    """
+    return (text or "").replace("\u0130", "i").lower()
+
+
 def features_of(word: str) -> list[str]:
     return [word, *(f"{word[:n]}-" for n in BEGINNINGS if len(word) > n)]
 
@@ -151,7 +159,7 @@ class Tagger:
 
     def tag(self, text: str | None) -> tuple[int, list[int], list[tuple[int, ...]], list[float]]:
         """Words, and places, features and marginals of those with features."""
-        words = _WORD.findall((text or "").lower())
+        words = _WORD.findall(lowered(text))
         found = list(map(self.known.__getitem__, words))
         if not any(found):
             return len(words), [], [], []
@@ -162,13 +170,12 @@ class Tagger:
     def spans(self, text: str, places: list[int], marginals: list[float]) -> list[tuple[int, int, float]]:
         """(start, end, marginal) in characters of stretches tagged T.
 
-        Offsets are those of the lower-cased text, which has the length of the
-        text but for a few letters that lower to two.
+        Offsets are those of the text itself.
         """
         hot = {p: m for p, m in zip(places, marginals) if m >= SPAN_MARGINAL}
         out: list[tuple[int, int, float]] = []
         last = None
-        for k, match in enumerate(_WORD.finditer(text.lower())) if hot else ():
+        for k, match in enumerate(_WORD.finditer(lowered(text))) if hot else ():
             if k in hot:
                 if last == k - 1:
                     start, _, best = out.pop()
@@ -284,7 +291,7 @@ def _feature_counts(rows: DataFrame) -> DataFrame:
 
         for frame in frames:
             for text, label in zip(frame["text"], frame["is_toxic"]):
-                own = {f for w in set(_WORD.findall((text or "").lower())) for f in features_of(w)}
+                own = {f for w in set(_WORD.findall(lowered(text))) for f in features_of(w)}
                 every.update(own)
                 if label:
                     toxic.update(own)
@@ -317,7 +324,7 @@ def _compact(rows: DataFrame, numbers: dict[str, int]) -> list:
         for frame in frames:
             out = []
             for text, label in zip(frame["text"], frame["is_toxic"]):
-                words = _WORD.findall((text or "").lower())
+                words = _WORD.findall(lowered(text))
                 found = list(map(known.__getitem__, words))
                 places = [i for i, f in enumerate(found) if f]
                 out.append((len(words), places, [list(found[i]) for i in places], int(label)))

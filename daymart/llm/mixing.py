@@ -12,12 +12,16 @@ source with a third of all rows is many small windows, never one.
 
 Defined results: a null text has size 0; the null source is a source, last in
 order; null and repeated doc_ids are documents like any other (ties in the
-hash order go by doc_id, then size, then text); an empty table gives no rows;
+hash order go by doc_id, then size, then text; only rows that agree in all of
+them share a bucket for sure); a very long text is one document; an empty table
+gives no rows;
 sources of size 0 have target 0.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,7 +34,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MAX_EPOCHS = 2
 SEED = 17
-_BUCKET_DIGITS = 3
+#: Least hexadecimal digits of a bucket, and the rows that it is meant for.
+_BUCKET_DIGITS, _BUCKET_ROWS = 3, 20_000
 
 
 def word_count(text: Column) -> Column:
@@ -85,7 +90,10 @@ def mix(
     Returns doc_id, size, source_size, target and taken (words, repeats
     counted), and the columns named in ``keep``.
     """
-    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    # Rows of one id are told apart by their texts, so an id that many rows
+    # share is spread as well.
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), name, F.coalesce(F.md5("text"), F.lit("null"))))
     kept = [f"`{c}`" for c in keep]
     sized = settle(
         docs.select(
@@ -95,9 +103,12 @@ def mix(
             order.alias("_order"),
             F.xxhash64("text").alias("_tie"),
             *kept,
-        ).withColumn("_bucket", F.substring("_order", 1, _BUCKET_DIGITS)),
+        ),
         "sizes",
     )
+    # A sixteenth for each digit: windows keep their size when the table grows.
+    digits = max(_BUCKET_DIGITS, math.ceil(math.log(sized.count() / _BUCKET_ROWS + 1, 16)))
+    sized = sized.withColumn("_bucket", F.substring("_order", 1, digits))
     fill = settle(targets(sized, weights, share, max_epochs), "targets")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     quota = F.floor("target") - F.col("whole") * F.col("source_size")

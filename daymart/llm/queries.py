@@ -113,7 +113,7 @@ MIX_SQL = r"""
 WITH docs AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS k,
     CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-    md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS ord
+    md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(md5(text), 'null')) AS ord
   FROM documents),
 sources AS (SELECT k, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY k),
 weighted AS (

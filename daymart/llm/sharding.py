@@ -14,8 +14,8 @@ than outweigh one.
 
 Defined results: a null text has size 8 (its fixed part) and the checksum of
 no bytes, and is a group of its own; null doc_ids are kept; rows with one
-doc_id and text are rows of their own, in one cell; an empty table gives no
-rows. The law is ``bytes``.
+doc_id and text are rows of their own; a very long text is one row, and its
+shard is above the bound by no more than it; an empty table gives no rows. The law is ``bytes``.
 """
 
 from __future__ import annotations
@@ -79,9 +79,11 @@ def assign_shards(
     """Add ``shard`` and ``slot`` to rows with doc_id, size, text_crc32 and group.
 
     ``group`` is a 64-bit hash of the text, ``size`` the row's bytes.
-    ``rows`` must be stored; it is read three times.
+    ``rows`` must be a stored table; it is read three times, and places in its
+    files are the same each time.
     """
     spark = rows.sparkSession
+    rows = rows.select("*", F.xxhash64("doc_id", "_metadata.row_index").alias("_spread"))
     cell = F.pmod(F.col("group"), F.lit(1 << _CELL_BITS))
     rows = rows.withColumn("_cell", cell)
     by_cell = rows.groupBy("_cell").agg(F.sum("size").alias("bytes"))
@@ -98,7 +100,7 @@ def assign_shards(
         firsts.append((group, first, pieces))
         first += pieces
     table = spark.createDataFrame(firsts, "group long, first long, pieces long")
-    piece = F.col("first") + F.pmod(F.xxhash64("doc_id"), F.col("pieces"))
+    piece = F.col("first") + F.pmod(F.col("_spread"), F.col("pieces"))
     rows = rows.join(F.broadcast(table), "group", "left").withColumn("_cell", F.coalesce(piece, "_cell"))
 
     # At most 2 ** _CELL_BITS cells and _PIECES / _HOT_PART * shards pieces.
@@ -116,7 +118,7 @@ def assign_shards(
     turn = F.row_number().over(W.partitionBy("_cell").orderBy("doc_id", "text_crc32", "size"))
     numbered = rows.withColumn("_turn", turn).join(F.broadcast(where), "_cell")
     slot = (F.col("_start") + F.col("_turn") - 1).alias("slot")
-    return numbered.drop("first", "pieces").select("*", slot).drop("_cell", "_turn", "_start")
+    return numbered.drop("first", "pieces", "_spread").select("*", slot).drop("_cell", "_turn", "_start")
 
 
 def shard_documents(docs: DataFrame, *, shards: int = SHARDS) -> DataFrame:

@@ -60,8 +60,10 @@ def check_mix(table):
 def test_sources_come_to_their_targets(documents):
     got = check_mix(documents)
     order = defaultdict(list)
+    texts = {i: hashlib.md5(t.encode()).hexdigest() for i, t in rows_of(documents, "doc_id", "text")}
     for r in got:
-        order[r["source"]].append((hashlib.md5(f"{SEED}:{r['doc_id']}".encode()).hexdigest(), r["size"], r["taken"], r["target"], r["source_size"]))
+        name = f"{SEED}:{r['doc_id']}:{texts[r['doc_id']]}"
+        order[r["source"]].append((hashlib.md5(name.encode()).hexdigest(), r["size"], r["taken"], r["target"], r["source_size"]))
     for rows in order.values():
         whole = int(rows[0][3] // rows[0][4])
         extra = [t - whole * s for _, s, t, _, _ in sorted(rows)]
@@ -70,6 +72,15 @@ def test_sources_come_to_their_targets(documents):
         assert full == sorted(full, reverse=True) and sum(0 < e < s for e, s in zip(extra, sizes)) <= 1
 
 
+def test_one_id_of_many_rows_is_spread_over_buckets(spark):
+    rows = [(7, f"text {k} " * (1 + k % 5), "hot") for k in range(6000)] + [(None, f"more {k}", "hot") for k in range(3000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    check_mix(table)
+    order = F.md5(F.concat_ws(":", F.lit(str(SEED)), F.lit("7"), F.md5("text")))
+    crowded = table.filter("doc_id = 7").groupBy(F.substring(order, 1, 3)).count().agg(F.max("count")).first()[0]
+    assert crowded < 20
+
+
 def test_odd_rows_are_mixed(odd_documents, no_documents):
     check_mix(odd_documents)
     assert mix(no_documents).collect() == []
@@ -112,6 +123,17 @@ def test_shards_are_near_equal(spark, documents, odd_documents, no_documents):
     assert max(loads.values()) < 1.02 * mean and min(loads.values()) > 0.95 * mean
 
 
+@pytest.mark.parametrize("name", [None, 5])
+def test_copies_without_ids_of_their_own_are_spread(spark, name):
+    rows = [(name if k % 3 == 0 else k, "hot text " * 20 if k % 3 == 0 else f"text {k} " * (k % 50)) for k in range(30_000)]
+    got = check_shards(spark.createDataFrame(rows, "doc_id long, text string"))
+    loads = Counter()
+    for r in got:
+        loads[r["shard"]] += r["size"]
+    mean = sum(loads.values()) / 24
+    assert max(loads.values()) < 1.02 * mean and min(loads.values()) > 0.95 * mean
+
+
 def test_equal_texts_stay_together_unless_hot(spark):
     rows = [(k, f"copied text {k % 2000}") for k in range(8000)]
     got = check_shards(spark.createDataFrame(rows, "doc_id long, text string"), shards=4)

@@ -8,7 +8,8 @@ to be batched by length.
 
 Defined results: a null text is the empty document, which is its end token
 alone; a null doc_id is kept; rows of one id, and equal rows, are documents of
-their own; an empty table gives no pieces. Other columns are not read.
+their own; a very long text is encoded whole by one task and cut like any
+other; an empty table gives no pieces. Other columns are not read.
 """
 
 from __future__ import annotations

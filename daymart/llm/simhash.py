@@ -23,7 +23,8 @@ pair meets by itself, so no task takes a group that grows with the table.
 Defined results: texts without words have fingerprint zero and are linked like
 any other; null texts are empty; a null doc_id is kept, and never the smallest
 id of a component unless all its ids are null; repeated rows are in one
-component; an empty table gives no rows.
+component; very long texts are fingerprinted whole, by the task that holds
+them; an empty table gives no rows.
 """
 
 from __future__ import annotations

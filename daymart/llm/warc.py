@@ -12,7 +12,8 @@ Defined results: a null html is an empty payload; page_ids that are null are
 written without an id and come back null, and are only referred to by nobody;
 rows with one page_id and payload are a response each when theirs is the
 smallest; urls may be null or hold any characters (they are percent-encoded);
-an empty table gives no file and no rows. Other columns are not read.
+very long html is one record, held whole by the task that owns it; an empty
+table gives no file and no rows. Other columns are not read.
 """
 
 from __future__ import annotations

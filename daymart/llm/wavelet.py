@@ -13,7 +13,8 @@ Rank counts are rebuilt from the planes when a shard is opened.
 
 Defined results: a null text is an empty document; a null document id sorts
 first and is read back as null; rows of one id are ordered by their text;
-equal rows are kept, each as a document; an empty table gives no file and no
+equal rows are kept, each as a document, and share a shard, as its range cannot
+be cut; a very long text is one document, held whole by its task; an empty table gives no file and no
 rows. Other columns of the table are not read.
 """
 

@@ -145,6 +145,7 @@ def count_by_region_type(integrated: DataFrame, region: str = REGION, kind: str
 def map_points(integrated: DataFrame, easting: str = EASTING, northing: str = NORTHING) -> DataFrame:
     """One map point per event: position, precipitation, injuries and day."""
     longitude, latitude = to_wgs84(F.col(easting), F.col(northing))
+    # The names that readers of the layer expect.
     return integrated.select(
         latitude.alias("Latitude"),
         longitude.alias("Longitude"),

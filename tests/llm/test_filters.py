@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import itertools
+import random
 import re
 from collections import Counter
 
@@ -11,7 +12,7 @@ from odd_rows import ODD_TEXTS
 from pyspark.sql import functions as F
 
 from daymart.llm import simhash, warc
-from daymart.llm.licenses import PHRASES, scan_documents
+from daymart.llm.licenses import MIN_COVERAGE, NOTICES, PHRASES, SHIFT, WHOLE_LICENCES, LicenseIndex, scan_documents
 from daymart.llm.quality_rules import Condition, Rule, fit_rules, judge, kept_documents, learn_rules, measure, verdict
 from daymart.llm.toxicity import Field, Tagger, _WORD, features_of, fit, flag_documents, keep_clean, score_documents
 
@@ -179,6 +180,68 @@ def test_notices_need_their_key_phrase(spark):
     assert found[3]["labels"] == "bsd" and 0.75 <= found[3]["score"] <= 1
 
 
+def brute_notices(texts):
+    """Labels and score of each text: every notice laid on every place."""
+    words = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    seen = Counter(w for own in words for w in set(own))
+    idf = lambda w: np.log((len(texts) + 1) / (seen[w] + 1)) + 0.01
+    out = []
+    for own, text in zip(words, texts):
+        labels = set(filter(None, brute_base(text)[4].split(",")))
+        score = 1.0 if labels else 0.0
+        for label, key, notice in NOTICES + WHOLE_LICENCES:
+            notice, key = notice.split(), key.split()
+            for start in range(-len(notice), len(own)):
+                near = own[max(0, start - SHIFT) : max(0, start + len(notice) + SHIFT)]
+                if not any(near[i : i + len(key)] == key for i in range(len(near))):
+                    continue
+                covered = sum(idf(w) for q, w in enumerate(notice) if w in own[max(0, start + q - SHIFT) : max(0, start + q + SHIFT + 1)])
+                share = covered / sum(map(idf, notice))
+                if share >= MIN_COVERAGE:
+                    labels.add(label)
+                    score = max(score, min(1.0, share))
+        out.append((",".join(sorted(labels)), score))
+    return out
+
+
+def changed_notices(n):
+    """Licences with words left out, put in and replaced, one after the other."""
+    draw = random.Random(5)
+    bodies = [text.split() for _, _, text in NOTICES + WHOLE_LICENCES]
+    for k in range(n):
+        words = []
+        for body in draw.sample(bodies, 1 + k % 3):
+            body = list(body)
+            for _ in range(draw.randint(0, 1 + len(body) // 6)):
+                at = draw.randrange(len(body))
+                body[at : at + 1] = draw.choice([[], [body[at], "the"], [body[at], "license"], ["other"]]) or []
+                body = body or ["none"]
+            words += body + draw.choices(["some", "software", "the", "copy"], k=draw.randint(0, 9))
+        yield " ".join(words)
+
+
+def test_labels_and_scores_are_those_of_every_place(spark, odd_documents):
+    odd = [r["text"] for r in odd_documents.select("text").collect()]
+    texts = [*changed_notices(60), *(t for t in odd if len(t or "") < 5_000), *["plain words of some text"] * 40]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in scan_documents(table).collect()}
+    for k, (labels, score) in enumerate(brute_notices(texts)):
+        assert got[k] == (labels, pytest.approx(score, abs=1e-9))
+    assert len({labels for labels, _ in got.values()}) > 20
+
+
+def test_only_beginnings_where_enough_weight_meets_are_verified():
+    index = LicenseIndex({b"software": 900, b"the": 990, b"license": 500}, 1_000)
+    text = " ".join(["software the license permission granted charge"] * 50 + ["released under the mit license"])
+    checked = []
+    index._coverage = lambda words, t, start: checked.append((t, start)) or 0.0
+    index.scan(text)
+    assert {index.templates[t].label for t, _ in checked} <= {"mit-notice"}
+    assert len(checked) <= 2 * SHIFT + 1
+    # A text without a notice's words looks nothing up.
+    assert index._lookups(index.vocabulary.intersection([b"software", b"the"])) == ({}, {})
+
+
 # SimHash
 
 

@@ -14,7 +14,9 @@ offending spans, their sum and maximum the document's score, put on the scale
 of probabilities by a small logistic fit on the training documents.
 
 The model is fitted on at most ``MAX_LABELLED`` labelled documents, the first
-by a hash of their id; its features are at most ``MAX_FEATURES``.
+by a hash of their id, and on all features that these tie to toxicity. Tasks cut
+the stretches and sum equal ones, so the driver trains on distinct stretches
+with their counts, however long the documents are.
 
 Defined results: null and empty texts get the score of a text without any
 featured word; texts of any length are scored whole; repeated rows are scored
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -40,14 +43,14 @@ from daymart.llm.tokens import small_batches
 from daymart.operators.scratch import settle
 
 MAX_LABELLED = 24_000
-MAX_FEATURES = 4_000
 MIN_TOXIC_DOCS = 4
 BEGINNINGS = (4, 5, 6)
 THRESHOLD = 0.3
 SPAN_MARGINAL = 0.5
 #: A feature is kept, and its words are T, from these shares of toxic documents.
 KEPT_SHARE, STRONG_SHARE = 0.35, 0.6
-_CONTEXT = 4
+#: Words beside a stretch, and words that a stretch's featured ones may span.
+_CONTEXT, _SPAN = 4, 16
 _STEPS, _RATE, _L2 = 120, 0.15, 1e-3
 _KNOWN_WORDS = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -70,11 +73,11 @@ def features_of(word: str) -> list[str]:
     return [word, *(f"{word[:n]}-" for n in BEGINNINGS if len(word) > n)]
 
 
-def _wilson(hits: int, n: int) -> float:
+def _wilson(hits: Column, n: Column) -> Column:
     """Lower end of the 95 % interval of a share."""
     z2 = 1.96**2
     p = hits / n
-    return (p + z2 / (2 * n) - 1.96 * math.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+    return (p + z2 / (2 * n) - 1.96 * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
 
 
 class _Known(dict):
@@ -198,8 +201,8 @@ def _summary(marginals: list[float]) -> np.ndarray:
     return np.array([1.0, most, math.log1p(sum(marginals)), 1.0 if most >= 0.5 else 0.0])
 
 
-def _forward_backward(scores: np.ndarray, mask: np.ndarray, moves: np.ndarray):
-    """Log likelihood parts, marginals and pair sums of stretches (B, L)."""
+def _forward_backward(scores: np.ndarray, mask: np.ndarray, moves: np.ndarray, counts: np.ndarray):
+    """Log likelihood parts, marginals and pair sums of stretches (B, L) that occur ``counts`` times."""
     b, n = scores.shape
     emit = np.stack([np.zeros_like(scores), scores], axis=2)
     alpha = np.zeros((n, b, 2))
@@ -218,20 +221,21 @@ def _forward_backward(scores: np.ndarray, mask: np.ndarray, moves: np.ndarray):
     for t in range(1, n):
         live = mask[:, t]
         at = alpha[t - 1][:, :, None] + moves + (emit[:, t] + beta[t])[:, None, :] - log_z[:, None, None]
-        pairs += np.exp(at[live]).sum(axis=0)
+        pairs += (np.exp(at[live]) * counts[live, None, None]).sum(axis=0)
     # A stretch begins after an O.
-    first = np.exp(alpha[0] + beta[0] - log_z[:, None]).sum(axis=0)
+    first = (np.exp(alpha[0] + beta[0] - log_z[:, None]) * counts[:, None]).sum(axis=0)
     pairs[0] += first
     return log_z, marginal, pairs
 
 
-def train(stretches: list[tuple[list[tuple[int, ...]], list[int]]], numbers: dict[str, int]) -> Field:
-    """Fit the field to (features, tags) of stretches by gradient steps."""
-    longest = max(len(t) for _, t in stretches)
+def train(stretches: list[tuple[list[tuple[int, ...]], list[int], int]], numbers: dict[str, int]) -> Field:
+    """Fit the field to (features, tags, count) of distinct stretches by gradient steps."""
+    longest = max(len(t) for _, t, _ in stretches)
     b = len(stretches)
+    counts = np.array([n for _, _, n in stretches], dtype=float)
     tags, mask = np.zeros((b, longest), dtype=int), np.zeros((b, longest), dtype=bool)
     row, col = [], []
-    for k, (found, own) in enumerate(stretches):
+    for k, (found, own, _) in enumerate(stretches):
         tags[k, : len(own)], mask[k, : len(own)] = own, True
         for t, fs in enumerate(found):
             row += [k * longest + t] * len(fs)
@@ -239,7 +243,8 @@ def train(stretches: list[tuple[list[tuple[int, ...]], list[int]]], numbers: dic
     row, col = np.array(row, dtype=int), np.array(col, dtype=int)
     before = np.concatenate([np.zeros((b, 1), dtype=int), tags[:, :-1]], axis=1)
     seen = np.zeros((2, 2))
-    np.add.at(seen, (before[mask], tags[mask]), 1)
+    each = np.broadcast_to(counts[:, None], mask.shape)
+    np.add.at(seen, (before[mask], tags[mask]), each[mask])
     size = len(numbers)
     theta = np.zeros(size + 5)
     theta[size] = -3.0
@@ -247,10 +252,10 @@ def train(stretches: list[tuple[list[tuple[int, ...]], list[int]]], numbers: dic
     for step in range(1, _STEPS + 1):
         moves = theta[size + 1 :].reshape(2, 2)
         scores = (np.bincount(row, theta[col], minlength=b * longest)).reshape(b, longest) + theta[size]
-        _, marginal, pairs = _forward_backward(scores, mask, moves)
-        off = (marginal - tags * mask).ravel()
+        _, marginal, pairs = _forward_backward(scores, mask, moves, counts)
+        off = ((marginal - tags * mask) * counts[:, None]).ravel()
         slope = np.concatenate([np.bincount(col, off[row], minlength=size), [off.sum()], (pairs - seen).ravel()])
-        slope = slope / b + _L2 * theta
+        slope = slope / counts.sum() + _L2 * theta
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         theta = theta - _RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
@@ -307,16 +312,16 @@ def _feature_counts(rows: DataFrame) -> DataFrame:
 
 def _choose(rows: DataFrame) -> tuple[dict[str, int], set[int]]:
     """Numbers of the features kept, and those that make a word T."""
-    likely = F.col("toxic") >= F.greatest(F.lit(MIN_TOXIC_DOCS), F.col("n") * KEPT_SHARE)
-    best = _feature_counts(rows).filter(likely).orderBy(F.desc("toxic"), "n", "f").limit(4 * MAX_FEATURES)
-    tied = [(_wilson(r["toxic"], r["n"]), r["f"]) for r in best.collect()]
-    tied = sorted(((s, f) for s, f in tied if s >= KEPT_SHARE), key=lambda x: (-x[0], x[1]))[:MAX_FEATURES]
+    enough = F.col("toxic") >= F.greatest(F.lit(MIN_TOXIC_DOCS), F.col("n") * KEPT_SHARE)
+    share = _wilson(F.col("toxic"), F.col("n"))
+    kept = _feature_counts(rows).filter(enough).withColumn("share", share).filter(F.col("share") >= KEPT_SHARE)
+    tied = sorted(((r["share"], r["f"]) for r in kept.collect()), key=lambda x: (-x[0], x[1]))
     numbers = {f: k for k, (_, f) in enumerate(tied)}
     return numbers, {k for k, (s, _) in enumerate(tied) if s >= STRONG_SHARE}
 
 
-def _compact(rows: DataFrame, numbers: dict[str, int]) -> list:
-    """The sampled documents as their featured words: at most ``MAX_LABELLED`` rows."""
+def _compact(rows: DataFrame, numbers: dict[str, int]) -> DataFrame:
+    """The sampled documents as their featured words; stored."""
     spread = rows.sparkSession.sparkContext.broadcast(numbers)
 
     def reduce_(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -331,50 +336,97 @@ def _compact(rows: DataFrame, numbers: dict[str, int]) -> list:
             yield pd.DataFrame(out, columns=["n", "places", "found", "toxic"])
 
     schema = "n long, places array<int>, found array<array<int>>, toxic int"
-    compact = rows.select("text", "is_toxic").mapInPandas(reduce_, schema)
-    counted = compact.filter(F.size("places") == 0).groupBy("toxic").count().collect()
-    return compact.filter(F.size("places") > 0).collect(), {r["toxic"]: r["count"] for r in counted}
+    return settle(rows.select("text", "is_toxic").mapInPandas(reduce_, schema), "featured")
 
 
 def _stretches(places: list[int], found: list, n: int, tags: list[int]) -> Iterator[tuple[list, list[int]]]:
-    """Stretches of a text around its featured words, with some words beside them."""
+    """Stretches of a text around its featured words, with some words beside them.
+
+    A word beside a stretch that is featured itself keeps its features and tag.
+    """
     k = 0
     while k < len(places):
         last = k
-        while last + 1 < len(places) and places[last + 1] - places[last] <= 2 * _CONTEXT and places[last + 1] - places[k] < 16:
+        while (
+            last + 1 < len(places)
+            and places[last + 1] - places[last] <= 2 * _CONTEXT
+            and places[last + 1] - places[k] < _SPAN
+        ):
             last += 1
         start, stop = max(0, places[k] - _CONTEXT), min(n, places[last] + _CONTEXT + 1)
         own: list = [()] * (stop - start)
         own_tags = [0] * (stop - start)
-        for j in range(k, last + 1):
-            if places[j] - start < len(own):
-                own[places[j] - start], own_tags[places[j] - start] = tuple(found[j]), tags[j]
+        for j in range(bisect_left(places, start), bisect_left(places, stop)):
+            own[places[j] - start], own_tags[places[j] - start] = tuple(found[j]), tags[j]
         yield own, own_tags
         k = last + 1
 
 
+def _distinct_stretches(compact: DataFrame, strong: set[int]) -> list[tuple[list[tuple[int, ...]], list[int], int]]:
+    """(features, tags, count) of the stretches; tasks sum their own first."""
+    spread = compact.sparkSession.sparkContext.broadcast(frozenset(strong))
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
+
+        def summed() -> pd.DataFrame:
+            rows = [([list(f) for f in own], list(tags), n) for (own, tags), n in seen.items()]
+            return pd.DataFrame(rows, columns=["own", "tags", "n"])
+
+        for frame in frames:
+            for n, places, found, toxic in zip(frame["n"], frame["places"], frame["found"], frame["toxic"]):
+                tags = [int(bool(toxic) and not spread.value.isdisjoint(f)) for f in found]
+                for own, own_tags in _stretches(list(places), [tuple(map(int, f)) for f in found], n, tags):
+                    seen[tuple(own), tuple(own_tags)] += 1
+                if len(seen) > 100_000:
+                    yield summed()
+                    seen = Counter()
+        if seen:
+            yield summed()
+
+    schema = "own array<array<int>>, tags array<int>, n long"
+    summed = compact.filter(F.size("places") > 0).mapInPandas(cut, schema).groupBy("own", "tags").agg(F.sum("n").alias("n"))
+    rows = [([tuple(f) for f in r["own"]], list(r["tags"]), r["n"]) for r in summed.collect()]
+    # One order of the sums, whatever order the tasks end in.
+    return sorted(rows, key=lambda r: (r[0], r[1]))
+
+
+def _summaries(compact: DataFrame, model: Field) -> list:
+    """What the sampled documents' scores are made of, equal ones counted."""
+    spread = compact.sparkSession.sparkContext.broadcast(model)
+
+    def summarise(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tagger = Tagger(spread.value)
+        for frame in frames:
+            parts = [
+                _summary(tagger.marginals(n, list(places), [tuple(f) for f in found]) if len(places) else [])
+                for n, places, found in zip(frame["n"], frame["places"], frame["found"])
+            ]
+            yield pd.DataFrame({"parts": [list(map(float, p)) for p in parts], "toxic": frame["toxic"]})
+
+    rows = compact.mapInPandas(summarise, "parts array<double>, toxic int").groupBy("parts", "toxic").count()
+    return sorted(((r["parts"], r["toxic"], r["count"]) for r in rows.collect()), key=lambda r: (r[0], r[1]))
+
+
 def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Field:
     """The field for a table and its labels."""
     sample = settle(labelled_sample(labels, most), "labels")
     joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "is_toxic")
     rows = settle(joined, "sample")
-    numbers, strong = _choose(rows)
-    compact, without = _compact(rows, numbers)
-    toxic = sum(r["toxic"] for r in compact) + without.get(1, 0)
-    total = len(compact) + sum(without.values())
+    classes = {r["is_toxic"]: r["count"] for r in rows.groupBy("is_toxic").count().collect()}
+    toxic, total = classes.get(1, 0), sum(classes.values())
     if not toxic or toxic == total:
         share = toxic / total if total else 0.0
         return Field(scale=(math.log(share / (1 - share)) if 0 < share < 1 else 40.0 if share else -40.0, 0.0, 0.0, 0.0))
-    stretches = []
-    for r in compact:
-        tags = [int(bool(r["toxic"]) and not strong.isdisjoint(f)) for f in r["found"]]
-        stretches += _stretches(r["places"], r["found"], r["n"], tags)
+    numbers, strong = _choose(rows)
+    compact = _compact(rows, numbers)
+    stretches = _distinct_stretches(compact, strong)
     model = train(stretches, numbers) if stretches else Field()
-    tagger = Tagger(model)
-    found = [_summary(tagger.marginals(r["n"], r["places"], [tuple(f) for f in r["found"]])) for r in compact]
-    parts = np.array([*found, _summary([]), _summary([])])
-    labels_of = np.array([*(r["toxic"] for r in compact), 1, 0], dtype=float)
-    weight = np.array([*([1.0] * len(compact)), without.get(1, 0) + 0.1, without.get(0, 0) + 0.9])
+    summaries = _summaries(compact, model)
+    # A little of either class without any featured word, so that neither is unheard of.
+    parts = np.array([*(p for p, _, _ in summaries), _summary([]), _summary([])])
+    labels_of = np.array([*(t for _, t, _ in summaries), 1, 0], dtype=float)
+    weight = np.array([*(float(n) for _, _, n in summaries), 0.1, 0.9])
     model.scale = _fit_scale(parts, labels_of, weight)
     return model
 

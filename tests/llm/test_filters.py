@@ -14,7 +14,18 @@ from pyspark.sql import functions as F
 from daymart.llm import simhash, warc
 from daymart.llm.licenses import MIN_COVERAGE, NOTICES, PHRASES, SHIFT, WHOLE_LICENCES, LicenseIndex, scan_documents
 from daymart.llm.quality_rules import Condition, Rule, fit_rules, judge, kept_documents, learn_rules, measure, verdict
-from daymart.llm.toxicity import Field, Tagger, _WORD, features_of, fit, flag_documents, keep_clean, score_documents
+from daymart.llm.toxicity import (
+    Field,
+    Tagger,
+    _WORD,
+    _forward_backward,
+    _stretches,
+    features_of,
+    fit,
+    flag_documents,
+    keep_clean,
+    score_documents,
+)
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -102,6 +113,25 @@ def test_marginals_are_those_of_all_tag_sequences():
     assert tagger.marginals(11, places, found) == pytest.approx(brute_marginals(tagger, 11, places, found), abs=1e-12)
 
 
+def test_words_beside_a_stretch_keep_their_features_and_tags():
+    places = list(range(3, 43))
+    found, tags = [(p,) for p in places], [p % 2 for p in places]
+    cut = list(_stretches(places, found, 50, tags))
+    assert len(cut) == 3
+    for own, own_tags in cut:
+        assert [t for f, t in zip(own, own_tags) if f] == [f[0] % 2 for f in own if f]
+    # Twenty words: sixteen of the stretch and four on either side, featured as they are.
+    assert [f[0] for f in cut[1][0]] == list(range(15, 39))
+
+
+def test_counted_stretches_weigh_as_often_as_they_occur():
+    scores, mask = np.array([[0.3, -1.0, 0.7], [1.1, 0.2, 0.0]]), np.array([[True] * 3, [True, True, False]])
+    moves = np.array([[0.1, -0.4], [0.3, 0.2]])
+    counted = _forward_backward(scores, mask, moves, np.array([3.0, 1.0]))[2]
+    rows = [0, 0, 0, 1]
+    assert counted == pytest.approx(_forward_backward(scores[rows], mask[rows], moves, np.ones(4))[2])
+
+
 def test_held_out_toxic_documents_are_found(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

@@ -11,6 +11,7 @@ from daymart.plans.reports import (
     monthly_trend_joined,
     severity_by_temperature,
 )
+from daymart.plans.colocated import locate_events, located_fact, locations_of
 from daymart.plans.star import (
     Star,
     build_star,
@@ -40,6 +41,9 @@ __all__ = [
     "first_rows",
     "involved_by_precipitation",
     "latest_rows",
+    "locate_events",
+    "located_fact",
+    "locations_of",
     "map_points",
     "monthly_trend",
     "monthly_trend_joined",

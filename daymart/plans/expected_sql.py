@@ -419,6 +419,7 @@ EXPECTED_SQL: dict[str, str] = {
     """,
     "fact": f"WITH {FACT} SELECT * FROM facts",
     "fact_split_hot_keys": f"WITH {FACT} SELECT * FROM facts",
+    "fact_located": f"WITH {FACT} SELECT * FROM facts",
     "fact_wide": f"""
         WITH {FACT},
         highs AS (SELECT weather_date, max(max_temperature) AS max_temperature FROM sw GROUP BY weather_date)

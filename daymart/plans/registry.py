@@ -18,6 +18,7 @@ from daymart.operators.series import integrate, keyed_replace, unzip_daily, with
 from daymart.operators.keys import COUNT, dense_keys, rank_tuples
 from daymart.operators.scratch import scratch_path
 from daymart.plans import reports, star
+from daymart.plans.colocated import locate_events, located_fact, locations_of
 from daymart.plans.given_tables import MOMENT, REAL, TABLES, TEXT, VECTOR
 from daymart.plans.order_events import (
     daily_series,
@@ -394,6 +395,14 @@ def fact_split_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.fact(events, series, max_bytes=0, hot_keys=1_000)
 
 
+@query
+def fact_located(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact over events in buckets of their location, which move once."""
+    integrated = stored_integrated(spark, sf_dir)
+    events = locate_events(star.stage_events(integrated), "located_events")
+    return located_fact(events, star.stage_series(integrated), locations_of("located_events", events))
+
+
 @query
 def fact_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     integrated = stored_integrated(spark, sf_dir)

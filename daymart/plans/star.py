@@ -118,7 +118,7 @@ def _conformed(mode: str) -> bool:
     return mode == "conformed"
 
 
-def _day_keys(events: DataFrame, series: DataFrame) -> DataFrame:
+def day_keys(events: DataFrame, series: DataFrame) -> DataFrame:
     """Date key and series key of each day, the latter null on days without a series row.
 
     One window, bounded by the calendar, gives the numbers ``row_number``
@@ -133,7 +133,7 @@ def _day_keys(events: DataFrame, series: DataFrame) -> DataFrame:
     )
 
 
-def _all_present(columns: list[str]) -> Column:
+def all_present(columns: list[str]) -> Column:
     return reduce(and_, (F.col(c).isNotNull() for c in columns))
 
 
@@ -160,7 +160,7 @@ def fact(
 
     raw_flag = "_raw_flag"
     typed = events.withColumn(raw_flag, F.col(FLAG)).withColumn(FLAG, flag_to_boolean(F.col(FLAG)))
-    days = F.broadcast(_day_keys(events, series))
+    days = F.broadcast(day_keys(events, series))
     rows = typed.join(days, typed["accident_date"] == days["full_date"], "left").drop("full_date")
     rows = lookup_key(rows, types, TYPE_KEYS, ["accident_type_key"], **limits)
     rows = lookup_key(rows, locations, LOCATION_KEYS, ["location_key"], **limits)
@@ -172,8 +172,8 @@ def fact(
         F.col("location_key").alias("_location"),
         F.col("accident_type_key").alias("_type"),
         raw_flag,
-        _all_present(LOCATION_KEYS).alias("_located"),
-        _all_present(TYPE_KEYS).alias("_typed"),
+        all_present(LOCATION_KEYS).alias("_located"),
+        all_present(TYPE_KEYS).alias("_typed"),
         *MEASURES,
     ).distinct()
     return distinct.select(

@@ -15,8 +15,10 @@ from urllib.parse import urlsplit
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
-#: Says that a ``file:`` folder is a mount that all machines share.
+#: Says that a ``file:`` folder is a mount that all machines share, so it is not tried.
 SHARED_MOUNT_SETTING = "spark.daymart.sharedMount"
+#: (application, folder) of the folders that its executors were seen to share.
+_SEEN_SHARED: set[tuple[str, str]] = set()
 
 
 def _scratch_root(spark: SparkSession) -> str:
@@ -28,9 +30,13 @@ def _scratch_root(spark: SparkSession) -> str:
         # One process, one machine: a temporary folder is the shared folder.
         context.setCheckpointDir(tempfile.mkdtemp(prefix="daymart-"))
         shared = context.getCheckpointDir()
+    root = f"{shared.rstrip('/')}/daymart-{context.applicationId}"
     if not context.master.startswith("local") and _is_machine_local(spark, shared):
-        raise RuntimeError(f"{CHECKPOINT_SETTING} is {shared}, which other machines of a cluster may not see")
-    return f"{shared.rstrip('/')}/daymart-{context.applicationId}"
+        # A path of one machine by its name may be a mount that all of them share.
+        if (context.applicationId, shared) not in _SEEN_SHARED:
+            _try_folder(spark, shared, root)
+            _SEEN_SHARED.add((context.applicationId, shared))
+    return root
 
 
 def _is_machine_local(spark: SparkSession, path: str) -> bool:
@@ -40,6 +46,23 @@ def _is_machine_local(spark: SparkSession, path: str) -> bool:
     return scheme in ("", "file") and not allowed
 
 
+def _try_folder(spark: SparkSession, shared: str, root: str) -> None:
+    """Fail unless tasks find in ``root`` what other tasks wrote there, and the driver lists all of it.
+
+    Tells of the executors that run a task of it, so there are several tasks for each core.
+    """
+    path = f"{root}/trial-{uuid.uuid4().hex}"
+    problem, found = None, 0
+    try:
+        tasks = 4 * spark.sparkContext.defaultParallelism
+        spark.range(0, tasks, 1, tasks).write.parquet(path)
+        found = spark.read.schema("id long").parquet(path).distinct().count()
+    except Exception as failed:  # whatever a task meets that does not see the folder
+        problem, tasks = failed, -1
+    if found != tasks:
+        raise RuntimeError(f"{CHECKPOINT_SETTING} is {shared}, which the driver and the executors do not share") from problem
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder; never one handed out before."""
     return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"

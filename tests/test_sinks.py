@@ -1,12 +1,14 @@
 """Sinks, table listing and names."""
 
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from daymart.operators import clear_scratch, settle
 from daymart.operators.scratch import scratch_path
+from daymart.plans.registry import QUERIES
 from daymart.sources import (
     TEMPORARY,
     check_export_names,
@@ -145,6 +147,31 @@ def test_scratch_on_a_cluster_must_be_shared(spark, monkeypatch):
     assert scratch_path(session("file:/mnt/x", **{"spark.daymart.sharedMount": "true"}), "y").startswith("file:/mnt/x/")
 
 
+def test_scratch_on_a_cluster_tries_a_folder_without_a_store(spark, numbers, monkeypatch):
+    """A path of one machine by its name is taken when all tasks see the files of the others."""
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(folder)
+    assert settle(numbers, "x").count() == numbers.count()
+    assert len(list(Path(folder).glob(f"daymart-{spark.sparkContext.applicationId}/trial-*"))) == 1  # tried once
+    assert QUERIES["first_rows"](spark, "/root/testdata/sf0.001").count() == 5
+
+
+def test_scratch_on_a_cluster_refuses_a_folder_that_lacks_files(spark, tmp_path):
+    from types import SimpleNamespace
+
+    def session(seen):
+        context = SimpleNamespace(master="spark://host:7077", applicationId=f"app-{seen}", defaultParallelism=2, getCheckpointDir=lambda: None)
+        reader = SimpleNamespace(schema=lambda _: SimpleNamespace(parquet=lambda _: spark.range(seen)))
+        settings = {"spark.checkpoint.dir": str(tmp_path)}
+        conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
+        return SimpleNamespace(sparkContext=context, conf=conf, range=spark.range, read=reader)
+
+    with pytest.raises(RuntimeError, match="do not share"):
+        scratch_path(session(7), "x")  # one of eight tasks wrote elsewhere
+    assert scratch_path(session(8), "x").startswith(str(tmp_path))
+
+
 def test_relational_options(numbers):
     assert relational_options("jdbc:x", "main_fact", 4, 500) == {
         "url": "jdbc:x",

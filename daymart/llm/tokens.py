@@ -127,7 +127,9 @@ class Encoder:
                 pieces[piece] = b"" if ids is None else ids
             parts.append((line, piece, tail))
         new = [p for p, ids in pieces.items() if not ids]
-        written = [p if p.isascii() else self._in_letters(p, space) for p in new]
+        # Letters of ASCII stand for themselves.
+        skip = len(space)
+        written = [p if p[skip if p[0] == space else 0 :].isascii() else self._in_letters(p, space) for p in new]
         pieces.update(zip(new, self._encode_pieces(written)))
         tails = self.tails
         for tail in {p[2] for p in parts if p is not None} - tails.keys():
@@ -148,13 +150,14 @@ class Encoder:
         return piece[: len(piece) - len(body)] + body.encode().decode("latin-1").translate(self.letters)
 
     def _learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > KEPT_WORDS:
+        fresh = words.difference(self.known)
+        if len(self.known) + len(fresh) > KEPT_WORDS:
             # Words that came back are worth keeping; most never do.
             kept = self.met_again if len(self.met_again) < KEPT_WORDS // 2 else set()
             self.known = {w: self.known[w] for w in kept | words if w in self.known}
             self.met_again = set()
-        self.met_again |= words.difference(new)
+        self.met_again |= words - fresh
+        new = list(fresh)
         self.known.update(zip(new, self._new_words(new, " " if self.spaced else "")))
 
     def _words(self, text: str) -> list[str]:

@@ -116,3 +116,14 @@ def test_pieces_are_binary_places(documents, odd_documents, no_documents):
         rows = pack(table, tokenizer=BYTE, spaced=True, end_id=1).collect()
         check_pieces(rows, [(r["doc_id"], r["text"]) for r in table.select("doc_id", "text").collect()])
     assert pack(no_documents, tokenizer=BYTE, spaced=True, end_id=1).collect() == []
+
+
+def test_ascii_letters_are_not_rewritten_after_a_space(monkeypatch):
+    """Their byte letters are themselves; only other letters are written anew."""
+    rewritten = []
+    plain = Encoder._in_letters
+    monkeypatch.setattr(Encoder, "_in_letters", lambda self, piece, space: rewritten.append(piece) or plain(self, piece, space))
+    encoder = Encoder("byte_bpe_50k.json", True)
+    text = "one zebra, naïve\nline ünder Cases"
+    assert encoder.encode([text]) == [encoder._alone(text)]
+    assert sorted(p.lstrip("Ġ") for p in rewritten) == ["naïve", "ünder"]

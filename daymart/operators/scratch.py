@@ -8,6 +8,7 @@ still prunes columns.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from urllib.parse import urlsplit
@@ -15,6 +16,8 @@ from urllib.parse import urlsplit
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+#: Where tables of the catalog are kept; taken when no checkpoint folder is set.
+WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 #: Says that a ``file:`` folder is a mount that all machines share, so it is not tried.
 SHARED_MOUNT_SETTING = "spark.daymart.sharedMount"
 #: (application, folder) of the folders that its executors were seen to share.
@@ -23,15 +26,19 @@ _SEEN_SHARED: set[tuple[str, str]] = set()
 
 def _scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
+    # Executors of local-cluster are processes of their own, as those of any cluster.
+    one_process = re.fullmatch(r"local(\[.*\])?", context.master)
     shared = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
-    if not shared:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
+    if not shared and one_process:
         # One process, one machine: a temporary folder is the shared folder.
         context.setCheckpointDir(tempfile.mkdtemp(prefix="daymart-"))
         shared = context.getCheckpointDir()
+    # Executors write tables of the catalog, so they reach the folder of these.
+    shared = shared or spark.conf.get(WAREHOUSE_SETTING, None)
+    if not shared:
+        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
     root = f"{shared.rstrip('/')}/daymart-{context.applicationId}"
-    if not context.master.startswith("local") and _is_machine_local(spark, shared):
+    if not one_process and _is_machine_local(spark, shared):
         # A path of one machine by its name may be a mount that all of them share.
         if (context.applicationId, shared) not in _SEEN_SHARED:
             _try_folder(spark, shared, root)
@@ -60,7 +67,9 @@ def _try_folder(spark: SparkSession, shared: str, root: str) -> None:
     except Exception as failed:  # whatever a task meets that does not see the folder
         problem, tasks = failed, -1
     if found != tasks:
-        raise RuntimeError(f"{CHECKPOINT_SETTING} is {shared}, which the driver and the executors do not share") from problem
+        raise RuntimeError(
+            f"{shared} is a folder that the driver and the executors do not share; set {CHECKPOINT_SETTING} to one"
+        ) from problem
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

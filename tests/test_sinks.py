@@ -157,6 +157,24 @@ def test_scratch_on_a_cluster_tries_a_folder_without_a_store(spark, numbers, mon
     assert QUERIES["first_rows"](spark, "/root/testdata/sf0.001").count() == 5
 
 
+def test_scratch_on_a_cluster_without_a_folder_is_in_the_warehouse(spark, tmp_path):
+    """Neither refused nor put in a temporary folder of the driver, which executors do not have."""
+    from types import SimpleNamespace
+
+    def session(master, warehouse):
+        settings = {"spark.sql.warehouse.dir": warehouse}
+        context = SimpleNamespace(master=master, applicationId=f"app-{master[:6]}", defaultParallelism=2, getCheckpointDir=lambda: None)
+        conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
+        return SimpleNamespace(sparkContext=context, conf=conf, range=spark.range, read=spark.read)
+
+    for master in ("spark://host:7077", "local-cluster[3,2,3000]"):
+        assert scratch_path(session(master, f"file:{tmp_path}"), "x").startswith(f"file:{tmp_path}/daymart-app-")
+        assert scratch_path(session(master, "hdfs://store/x"), "x").startswith("hdfs://store/x/daymart-app-")
+    assert len(list(tmp_path.glob("*/trial-*"))) == 2
+    with pytest.raises(RuntimeError):
+        scratch_path(session("spark://host:7077", None), "x")
+
+
 def test_scratch_on_a_cluster_refuses_a_folder_that_lacks_files(spark, tmp_path):
     from types import SimpleNamespace
 

@@ -16,10 +16,11 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -27,7 +28,11 @@ from daymart.llm.tokens import ID_TYPE, encode_texts, encoder
 from daymart.operators.scratch import settle
 
 MAX_TOKENS = 2048
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+#: Texts that Spark hands to a worker at once, and bytes of ids that it hands back.
+_TEXTS_AT_ONCE = 2000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_IDS_AT_ONCE = 4 << 20
 
 
 def binary_lengths(n: int, longest: int = MAX_TOKENS) -> list[int]:
@@ -37,8 +42,16 @@ def binary_lengths(n: int, longest: int = MAX_TOKENS) -> list[int]:
     return lengths + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def pieces(docs: DataFrame, *, tokenizer: str, spaced: bool, end_id: int, longest: int = MAX_TOKENS) -> DataFrame:
-    """One row for each piece, with its ids; a map over the documents."""
+def pieces(
+    docs: DataFrame,
+    *,
+    tokenizer: str,
+    spaced: bool,
+    end_id: int,
+    longest: int = MAX_TOKENS,
+    with_ids: bool = True,
+) -> DataFrame:
+    """One row for each piece, with its ids or without; a map over the documents."""
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest piece must be a power of two")
 
@@ -54,20 +67,21 @@ def pieces(docs: DataFrame, *, tokenizer: str, spaced: bool, end_id: int, longes
                 n, start = len(ids) // 4, 0
                 for length in binary_lengths(n, longest):
                     part = ids[4 * start : 4 * (start + length)]
-                    rows.append((doc_id, start, length, zlib.crc32(part), n, part))
+                    row = (doc_id, start, length, zlib.crc32(part), n)
+                    rows.append((*row, part) if with_ids else row)
                     start += length
                 held += len(ids)
-                if held > 8 << 20:
-                    yield _frame(rows)
+                if held > _IDS_AT_ONCE:
+                    yield _frame(rows, with_ids)
                     rows, held = [], 0
-            yield _frame(rows)
+            yield _frame(rows, with_ids)
 
-    return docs.select("doc_id", "text").mapInPandas(cut, PIECES)
+    return docs.select("doc_id", "text").mapInPandas(cut, f"{PIECES}, ids binary" if with_ids else PIECES)
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
-    frame = pd.DataFrame(rows, columns=names)
+def _frame(rows: list[tuple], with_ids: bool) -> pd.DataFrame:
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    frame = pd.DataFrame(rows, columns=[*names, "ids"] if with_ids else names)
     frame["doc_id"] = frame["doc_id"].astype("Int64")
     return frame
 
@@ -114,7 +128,18 @@ def pack(
 ) -> DataFrame:
     """Packed sequences; ``with_ids`` adds their tokens as little-endian uint32."""
     others = ["ids"] if with_ids else []
-    cut = pieces(docs, tokenizer=tokenizer, spaced=spaced, end_id=end_id, longest=longest)
-    if not with_ids:
-        cut = cut.drop("ids")
-    return number_sequences(settle(cut, "pieces"), *others)
+    cut = pieces(docs, tokenizer=tokenizer, spaced=spaced, end_id=end_id, longest=longest, with_ids=with_ids)
+    with _small_batches(docs.sparkSession):
+        stored = settle(cut, "pieces")
+    return number_sequences(stored, *others)
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """While a frame is written: texts go to workers in batches that take little memory on either side."""
+    before = spark.conf.get(_BATCH_SETTING)
+    spark.conf.set(_BATCH_SETTING, min(_TEXTS_AT_ONCE, int(before)) if int(before) > 0 else _TEXTS_AT_ONCE)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_SETTING, before)

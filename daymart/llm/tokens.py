@@ -18,15 +18,20 @@ import pandas as pd
 import public_tokenizers
 from tokenizers import Tokenizer
 
-KEPT_WORDS = 800_000
+KEPT_WORDS = 600_000
 ID_TYPE = "<u4"
 #: Characters of text handled at once, so long texts do not meet in one list.
 _BLOCK_CHARS = 1_000_000
 _WORDS_AT_ONCE = 1000
+_PIECES_AT_ONCE = 200
 _LONG_WORD = 200
 #: A word of letters of Latin-1, after a line break or not, and closing marks.
 #: Letters that libraries may case in different ways are left out.
-_LETTERS = re.compile(r"(\n?)([A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00e0-\u00f6\u00f8-\u00fe]{1,200})([.,;:!?]*)")
+#: Marks that no vocabulary joins to letters; an apostrophe may begin a piece such as 's.
+_LETTERS = re.compile(
+    r"(\n?)([A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00e0-\u00f6\u00f8-\u00fe]{1,200})([-.,;:!?#*$%&|<>()\[\]{}/+=_@~^\"]{0,8})"
+)
+_KEPT_TAILS = 10_000
 _BEYOND_LATIN = re.compile("[^\x00-\u024f]")
 _TWO_SPACES = re.compile(r"\s\s")
 
@@ -55,7 +60,6 @@ class Encoder:
         self.spaced = spaced
         self.known: dict[str, bytes] = {}
         self.met_again: set[str] = set()
-        self.first: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
         # A special token of the vocabulary is cut out before anything else
         # happens to a text, so it can stand between words in one call.
@@ -64,7 +68,7 @@ class Encoder:
         # The same model for words that are known to be one piece each.
         with open(path, encoding="utf-8") as file:
             lean = json.load(file)
-        split = {"type": "Split", "pattern": {"String": "\n"}, "behavior": "Removed", "invert": False}
+        split = {"type": "CharDelimiterSplit", "delimiter": "\n"}
         lean |= {"normalizer": None, "pre_tokenizer": split, "added_tokens": []}
         self.lean = Tokenizer.from_str(json.dumps(lean))
         self.letters = _byte_letters()
@@ -97,8 +101,8 @@ class Encoder:
         """
         stop, stop_id = self.stop
         out: list[bytes] = []
-        for a in range(0, len(pieces), _WORDS_AT_ONCE):
-            joined = f"\n{stop}\n".join(pieces[a : a + _WORDS_AT_ONCE]) + f"\n{stop}"
+        for a in range(0, len(pieces), _PIECES_AT_ONCE):
+            joined = f"\n{stop}\n".join(pieces[a : a + _PIECES_AT_ONCE]) + f"\n{stop}"
             ids = np.array(self.lean.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=ID_TYPE)
             out += _between(ids, stop_id)
         return out
@@ -106,44 +110,43 @@ class Encoder:
     def _new_words(self, words: list[str], prefix: str) -> list[bytes]:
         """Ids of words as they stand in a text, after ``prefix``.
 
-        A word is often letters and closing marks: these are pieces of their own.
+        A word is often letters, alone or with closing marks: these are pieces of their own.
         """
-        pieces: dict[str, bytes] = {}
-        parts: list[tuple[str, str, str] | None] = []
-        known, letters, spaced = self.known, self.letters, self.spaced
-        space = letters[32] if prefix else ""
-        match = _LETTERS.fullmatch
+        known, spaced, tails = self.known, self.spaced, self.tails
+        space = self.letters[32] if prefix else ""
+        # Most are letters of ASCII alone, which stand for themselves.
+        plain = [w for w in words if w.isascii() and w.isalpha() and len(w) <= _LONG_WORD]
+        done = dict(zip(plain, self._encode_pieces([space + w if spaced else w.lower() for w in plain])))
+        pieces: dict[str, bytes | None] = {}
+        parts: list[tuple[str, str, str, str]] = []
+        others: list[str] = []
         for word in words:
-            found = match(word)
+            if word in done:
+                continue
+            found = _LETTERS.fullmatch(word)
             if found is None:
-                parts.append(None)
+                others.append(word)
                 continue
             line, body, tail = found.groups()
             if not spaced:
                 body = body.lower()
             piece = body if line else space + body
             if piece not in pieces:
-                ids = known.get(body) if not line else None
-                pieces[piece] = b"" if ids is None else ids
-            parts.append((line, piece, tail))
-        new = [p for p, ids in pieces.items() if not ids]
-        # Letters of ASCII stand for themselves.
+                pieces[piece] = None if line else known.get(body) or done.get(body)
+            parts.append((word, line, piece, tail))
+        new = [p for p, ids in pieces.items() if ids is None]
         skip = len(space)
         written = [p if p[skip if p[0] == space else 0 :].isascii() else self._in_letters(p, space) for p in new]
         pieces.update(zip(new, self._encode_pieces(written)))
-        tails = self.tails
-        for tail in {p[2] for p in parts if p is not None} - tails.keys():
+        if len(tails) > _KEPT_TAILS:
+            tails.clear()
+        for tail in {p[3] for p in parts} - tails.keys():
             tails[tail] = self._alone(tail)
         line_ids = self._alone("\n") if spaced else b""
-        others = iter(self._encode([prefix + w if w[:1] != "\n" else w for w, p in zip(words, parts) if p is None]))
-        out = []
-        for part in parts:
-            if part is None:
-                out.append(next(others))
-            else:
-                line, piece, tail = part
-                out.append(line_ids + pieces[piece] + tails[tail] if line else pieces[piece] + tails[tail])
-        return out
+        done.update(zip(others, self._encode([prefix + w if w[:1] != "\n" else w for w in others])))
+        for word, line, piece, tail in parts:
+            done[word] = line_ids + pieces[piece] + tails[tail] if line else pieces[piece] + tails[tail]
+        return [done[w] for w in words]
 
     def _in_letters(self, piece: str, space: str) -> str:
         body = piece[1:] if space and piece[0] == space else piece
@@ -156,7 +159,8 @@ class Encoder:
             kept = self.met_again if len(self.met_again) < KEPT_WORDS // 2 else set()
             self.known = {w: self.known[w] for w in kept | words if w in self.known}
             self.met_again = set()
-        self.met_again |= words - fresh
+        words -= fresh
+        self.met_again |= words
         new = list(fresh)
         self.known.update(zip(new, self._new_words(new, " " if self.spaced else "")))
 

@@ -6,10 +6,11 @@ import pytest
 from odd_rows import ODD_TEXTS
 from tokenizers import Tokenizer
 
-from daymart.llm import tokens
-from daymart.llm.packing import binary_lengths, pack
+from daymart.llm import packing, tokens
+from daymart.llm.packing import binary_lengths, pack, pieces
 from daymart.llm.tokens import Encoder
 from daymart.llm.wavelet import Shard, WaveletMatrix, BitPlane, shard_bytes, token_documents
+from daymart.operators.scratch import settle
 
 WORD, BYTE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -127,3 +128,30 @@ def test_ascii_letters_are_not_rewritten_after_a_space(monkeypatch):
     text = "one zebra, naïve\nline ünder Cases"
     assert encoder.encode([text]) == [encoder._alone(text)]
     assert sorted(p.lstrip("Ġ") for p in rewritten) == ["naïve", "ünder"]
+
+
+def test_letters_with_any_marks_are_told_by_their_pieces(monkeypatch):
+    """The tokenizer itself is not asked for words whose letters and marks are pieces of their own."""
+    asked = []
+    plain = Encoder._encode
+    monkeypatch.setattr(Encoder, "_encode", lambda self, words: asked.extend(words) or plain(self, words))
+    texts = ["It was naïve&&& or (not) bar$$$ bar.%%% <|x Zoë*** a-b end###\nnew|| *** x.", "one bar$$$ bar's"]
+    for name, spaced in ((WORD, False), (BYTE, True)):
+        asked.clear()
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in tokens.encode_texts(Encoder(name, spaced), texts)]
+        assert got == plain_ids(name, texts)
+        assert not [w for w in asked if w.strip() in ("naïve&&&", "bar$$$", "bar.%%%", "end###", "\nnew||", "zoë***", "Zoë***")]
+
+
+def test_pieces_carry_ids_only_where_asked(spark, documents, monkeypatch):
+    few = documents.limit(7).select("doc_id", "text")
+    bare = pieces(few, tokenizer=BYTE, spaced=True, end_id=1, with_ids=False)
+    whole = pieces(few, tokenizer=BYTE, spaced=True, end_id=1)
+    assert "ids" not in bare.columns and "ids" in whole.columns
+    assert sorted(as_rows(bare)) == sorted(as_rows(whole.drop("ids")))
+    # Batches for workers are small only while the pieces are stored.
+    seen = []
+    monkeypatch.setattr(packing, "settle", lambda df, label: seen.append(spark.conf.get(packing._BATCH_SETTING)) or settle(df, label))
+    before = spark.conf.get(packing._BATCH_SETTING)
+    assert pack(few, tokenizer=BYTE, spaced=True, end_id=1, with_ids=True).count() == bare.count()
+    assert seen == ["2000"] and spark.conf.get(packing._BATCH_SETTING) == before

@@ -1,9 +1,12 @@
-"""Token ids of whole texts, with the words of a batch encoded once each.
+"""Token ids of whole texts, with the pieces of a block encoded once each.
 
-Public vocabularies split a text at white space before they merge anything, so
-a text's ids are its words' ids one after the other. A worker keeps the ids of
-words it has met; the tokenizer itself sees each distinct word once. The store
-is only a saving: it is emptied when it grows past ``KEPT_WORDS``.
+Public vocabularies split a text into pieces before they merge anything, so a
+text's ids are its pieces' ids one after the other. Texts are cut where every
+such vocabulary cuts: at spaces and line breaks, and between letters, marks and
+digits. Characters of which that is not sure are not cut off from what stands
+beside them. A worker keeps the ids of pieces it has met; the tokenizer itself
+sees each distinct piece of a block once. The store is only a saving: it is
+emptied when it grows past ``KEPT_WORDS``.
 """
 
 from __future__ import annotations
@@ -12,28 +15,35 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 KEPT_WORDS = 600_000
 ID_TYPE = "<u4"
 #: Characters of text handled at once, so long texts do not meet in one list.
 _BLOCK_CHARS = 1_000_000
+#: The same for texts that are encoded: the more at once, the fewer pieces are looked up.
+_ENCODED_CHARS = 2_000_000
 _WORDS_AT_ONCE = 1000
-_PIECES_AT_ONCE = 200
+#: Pieces of one call's text; longer texts are merged more slowly.
+_PIECES_AT_ONCE = 100
 _LONG_WORD = 200
-#: A word of letters of Latin-1, after a line break or not, and closing marks.
-#: Letters that libraries may case in different ways are left out.
-#: Marks that no vocabulary joins to letters; an apostrophe may begin a piece such as 's.
-_LETTERS = re.compile(
-    r"(\n?)([A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00e0-\u00f6\u00f8-\u00fe]{1,200})([-.,;:!?#*$%&|<>()\[\]{}/+=_@~^\"]{0,8})"
-)
-_KEPT_TAILS = 10_000
-_BEYOND_LATIN = re.compile("[^\x00-\u024f]")
 _TWO_SPACES = re.compile(r"\s\s")
+#: Bytes of white space other than spaces and line breaks, or the first of several such bytes.
+_OTHER_SPACES = b"\t\v\f\r\x1c\x1d\x1e\x1f\xc2\xe1\xe2\xe3"
+_LINES_AS_SPACES = bytes.maketrans(b"\n", b" ")
+#: First bytes of the letters from U+0240 on.
+_BEYOND_LATIN = bytes(range(0xC9, 256))
+_ODD, _LETTER, _MARK, _DIGIT, _LINE, _SPACE = range(6)
+#: Marks that no vocabulary joins to letters; an apostrophe may begin a piece such as 's.
+_MARKS = b'-.,;:!?#*$%&|<>()[]{}/+=_@~^"'
+#: The first of the two bytes of a letter of Latin-1.
+_LATIN = 0xC3
 
 
 def _byte_letters() -> dict[int, str]:
@@ -46,33 +56,80 @@ def _byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in plain}, **{b: chr(256 + k) for k, b in enumerate(others)}}
 
 
+def _byte_classes(capitals: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of bytes, and of the second bytes of Latin-1's letters."""
+    classes, latin = np.zeros(256, dtype=np.uint8), np.zeros(256, dtype=np.uint8)
+    for kind, members in ((_MARK, _MARKS), (_DIGIT, b"0123456789"), (_LINE, b"\n"), (_SPACE, b" ")):
+        classes[list(members)] = kind
+    classes[ord("a") : ord("z") + 1] = _LETTER
+    latin[0x9F:0xC0] = _LETTER
+    if capitals:
+        classes[ord("A") : ord("Z") + 1] = _LETTER
+        latin[0x80:0x9F] = _LETTER
+    # The signs of multiplication and division lie among the letters.
+    latin[[0x97, 0xB7]] = _ODD
+    return classes, latin
+
+
+def _cut_between(single_digits: bool) -> np.ndarray:
+    """Whether a piece begins between two classes; indexed by 6 times the first, plus the second."""
+    cut = np.zeros((6, 6), dtype=bool)
+    runs = [_LETTER, _MARK, _DIGIT]
+    cut[np.ix_(runs, runs)] = ~np.eye(3, dtype=bool)
+    cut[_DIGIT, _DIGIT] = single_digits
+    cut[_LINE, :] = cut[:, _LINE] = cut[:, _SPACE] = True
+    return cut.ravel()
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers.
 
-    ``spaced`` says that a word's ids depend on the space before it (byte-level
-    vocabularies); otherwise white space is dropped by the vocabulary and
-    letters are lower-cased.
+    ``spaced`` says that a piece's ids depend on the space before it (byte-level
+    vocabularies); otherwise white space is dropped by the vocabulary, letters
+    are lower-cased and digits stand alone.
     """
 
     def __init__(self, name: str, spaced: bool):
         path = public_tokenizers.path(name)
         self.tokenizer = Tokenizer.from_file(path)
         self.spaced = spaced
-        self.known: dict[str, bytes] = {}
-        self.met_again: set[str] = set()
-        self.tails: dict[str, bytes] = {"": b""}
         # A special token of the vocabulary is cut out before anything else
         # happens to a text, so it can stand between words in one call.
         mark = "<|endoftext|>"
         self.mark = mark, self.tokenizer.token_to_id(mark)
-        # The same model for words that are known to be one piece each.
-        with open(path, encoding="utf-8") as file:
-            lean = json.load(file)
-        split = {"type": "CharDelimiterSplit", "delimiter": "\n"}
-        lean |= {"normalizer": None, "pre_tokenizer": split, "added_tokens": []}
-        self.lean = Tokenizer.from_str(json.dumps(lean))
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
-        self.stop = ",", self.lean.encode(",", add_special_tokens=False).ids[0]
+        self.classes, self.latin = _byte_classes(capitals=spaced)
+        self.cut_between = _cut_between(single_digits=not spaced)
+        with open(path, encoding="utf-8") as file:
+            self._make_lean(json.load(file))
+        self._forget(np.zeros(0, dtype=np.int64))
+
+    def _make_lean(self, full: dict) -> None:
+        """The same model for texts of many pieces, each of which shows where it ends.
+
+        Either the vocabulary marks a piece's last letter, which is written as
+        a letter of its own here, or a letter that is never merged stands behind each piece.
+        """
+        model = full["model"]
+        suffix = model["end_of_word_suffix"] or ""
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        self.last = {x: chr(0xE000 + b) for b, x in self.letters.items()} if suffix else {}
+
+        def rewritten(token: str) -> str:
+            body = token.removesuffix(suffix) if suffix else token
+            return body if body == token or not body else body[:-1] + self.last[body[-1]]
+
+        vocabulary = {rewritten(t): i for t, i in model["vocab"].items()}
+        lean = {**model, "vocab": vocabulary, "merges": [(rewritten(a), rewritten(b)) for a, b in merges]}
+        lean["end_of_word_suffix"] = None
+        parts = {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "decoder": None, "added_tokens": []}
+        self.lean = Tokenizer.from_str(json.dumps(full | parts | {"model": lean}))
+        merged = {b[0] for _, b in merges} | {a[-1] for a, _ in merges}
+        self.stop = "" if suffix else next(x for b, x in self.letters.items() if b < 9 and x not in merged)
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        ends = [i for t, i in model["vocab"].items() if t.endswith(suffix)] if suffix else vocabulary[self.stop]
+        self.is_end[ends] = True
 
     def _encode(self, words: list[str]) -> list[bytes]:
         """Ids of each word. Many go in one call, with a special token between them."""
@@ -94,107 +151,161 @@ class Encoder:
         encoded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(encoded.ids, dtype=ID_TYPE).tobytes()
 
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of words that are one piece each, written in byte letters.
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that the vocabulary does not split, one after the other, and how many each has."""
+        space, line = self.letters[32], self.letters[10]
+        if not self.spaced:
+            pieces = [p[1:] if p[0] == " " else p for p in pieces]
+        # Bytes of ASCII other than white space stand for themselves.
+        written = [p if p.isascii() else self._in_letters(p.replace(" ", space), space) for p in pieces]
+        if self.last:
+            written = [p[:-1] + self.last[p[-1]] for p in written]
+        found = [np.zeros(0, dtype=ID_TYPE)]
+        for a in range(0, len(written), _PIECES_AT_ONCE):
+            joined = self.stop.join(written[a : a + _PIECES_AT_ONCE]) + self.stop
+            joined = joined.replace(" ", space).replace("\n", line)
+            found.append(np.array(self.lean.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=ID_TYPE))
+        ids = np.concatenate(found)
+        ends = self.is_end[ids]
+        counts = np.diff(np.flatnonzero(ends), prepend=-1)
+        return (ids[~ends], counts - 1) if self.stop else (ids, counts)
 
-        A piece that no word of letters holds stands behind each of them.
-        """
-        stop, stop_id = self.stop
-        out: list[bytes] = []
-        for a in range(0, len(pieces), _PIECES_AT_ONCE):
-            joined = f"\n{stop}\n".join(pieces[a : a + _PIECES_AT_ONCE]) + f"\n{stop}"
-            ids = np.array(self.lean.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=ID_TYPE)
-            out += _between(ids, stop_id)
-        return out
+    def _in_letters(self, piece: str, space: str) -> str:
+        body = piece[1:] if space and piece[0] == space else piece
+        return piece[: len(piece) - len(body)] + body.encode().decode("latin-1").translate(self.letters)
 
-    def _new_words(self, words: list[str], prefix: str) -> list[bytes]:
-        """Ids of words as they stand in a text, after ``prefix``.
+    def _ids_of(self, pieces: list[bytes], odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces, those that the vocabulary may split last; how many each has; and their order."""
+        odd = odd | (np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) > _LONG_WORD)
+        order = np.argsort(odd, kind="stable")
+        texts = [pieces[i].decode() for i in order.tolist()]
+        whole = len(texts) - int(odd.sum())
+        ids, counts = self._encode_pieces(texts[:whole])
+        others = self._encode(texts[whole:])
+        ids = np.concatenate([ids, np.frombuffer(b"".join(others), dtype=ID_TYPE)])
+        sizes = np.fromiter(map(len, others), dtype=np.int64, count=len(others)) // ids.itemsize
+        return ids, np.concatenate([counts, sizes]), order
 
-        A word is often letters, alone or with closing marks: these are pieces of their own.
+    def _pieces(self, data: bytes, texts: np.ndarray) -> tuple[np.ndarray, pa.DictionaryArray, np.ndarray]:
+        """Where the pieces of ``data`` begin, which they are, and which distinct ones are not one piece for sure.
+
+        ``texts`` are the places where texts begin.
         """
-        known, spaced, tails = self.known, self.spaced, self.tails
-        space = self.letters[32] if prefix else ""
-        # Most are letters of ASCII alone, which stand for themselves.
-        plain = [w for w in words if w.isascii() and w.isalpha() and len(w) <= _LONG_WORD]
-        done = dict(zip(plain, self._encode_pieces([space + w if spaced else w.lower() for w in plain])))
-        pieces: dict[str, bytes | None] = {}
-        parts: list[tuple[str, str, str, str]] = []
-        others: list[str] = []
-        for word in words:
-            if word in done:
-                continue
-            found = _LETTERS.fullmatch(word)
-            if found is None:
-                others.append(word)
-                continue
-            line, body, tail = found.groups()
-            if not spaced:
-                body = body.lower()
-            piece = body if line else space + body
-            if piece not in pieces:
-                pieces[piece] = None if line else known.get(body) or done.get(body)
-            parts.append((word, line, piece, tail))
-        new = [p for p, ids in pieces.items() if ids is None]
-        skip = len(space)
-        written = [p if p[skip if p[0] == space else 0 :].isascii() else self._in_letters(p, space) for p in new]
-        pieces.update(zip(new, self._encode_pieces(written)))
-        if len(tails) > _KEPT_TAILS:
-            tails.clear()
-        for tail in {p[3] for p in parts} - tails.keys():
-            tails[tail] = self._alone(tail)
-        line_ids = self._alone("\n") if spaced else b""
-        done.update(zip(others, self._encode([prefix + w if w[:1] != "\n" else w for w in others])))
-        for word, line, piece, tail in parts:
-            done[word] = line_ids + pieces[piece] + tails[tail] if line else pieces[piece] + tails[tail]
-        return [done[w] for w in words]
+        codes = np.frombuffer(data, dtype=np.uint8)
+        classes = self.classes[codes]
+        lead = np.flatnonzero(codes == _LATIN)
+        classes[lead] = classes[lead + 1] = self.latin[codes[lead + 1]]
+        cut = np.ones(len(codes), dtype=bool)
+        cut[1:] = self.cut_between[6 * classes[:-1] + classes[1:]]
+        cut[texts[texts < len(codes)]] = True
+        starts = np.flatnonzero(cut)
+        offsets = np.append(starts, len(codes)).astype(np.int32)
+        found = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        found = found.dictionary_encode()
+        which = np.asarray(found.indices)
+        odd = np.zeros(len(found.dictionary), dtype=bool)
+        unsure = np.flatnonzero(classes == _ODD)
+        odd[which[np.searchsorted(starts, unsure, side="right") - 1]] = True
+        # A space is a piece only where white space or the text's end follows.
+        alone = np.flatnonzero((classes[starts] == _SPACE) & (np.diff(offsets) == 1))
+        odd[which[alone]] = True
+        if not self.spaced:
+            odd[which[classes[starts] == _LINE]] = True
+        return starts, found, odd
 
-    def _in_letters(self, piece: str, space: str) -> str:
-        body = piece[1:] if space and piece[0] == space else piece
-        return piece[: len(piece) - len(body)] + body.encode().decode("latin-1").translate(self.letters)
+    def _forget(self, kept: np.ndarray) -> None:
+        """Keep only the pieces at these places of the store."""
+        if not len(kept):
+            self.known: dict[bytes, int] = {}
+            self.ids = np.zeros(0, dtype=ID_TYPE)
+            self.begins = self.counts = np.zeros(0, dtype=np.int64)
+            self.met_again = np.zeros(0, dtype=bool)
+            return
+        names = list(self.known)
+        self.known = {names[k]: i for i, k in enumerate(kept.tolist())}
+        self.ids = self.ids[_spread(self.begins[kept], self.counts[kept])]
+        self.counts = self.counts[kept]
+        self.begins = np.cumsum(self.counts) - self.counts
+        self.met_again = np.zeros(len(kept), dtype=bool)
+
+    def _places(self, pieces: list[bytes], odd: np.ndarray) -> np.ndarray:
+        """Where the store holds these distinct pieces; new ones are encoded."""
+        places = self._known_places(pieces)
+        met = places[places >= 0]
+        fresh = len(pieces) - len(met)
+        if len(self.known) + fresh > KEPT_WORDS:
+            # Pieces that came back are worth keeping; most never do.
+            keep = self.met_again.copy() if self.met_again.sum() < KEPT_WORDS // 2 else np.zeros(len(self.known), dtype=bool)
+            keep[met] = True
+            self._forget(np.flatnonzero(keep))
+            places = self._known_places(pieces)
+        else:
+            self.met_again[met] = True
+        if fresh:
+            at = np.flatnonzero(places < 0)
+            ids, counts, order = self._ids_of([pieces[i] for i in at.tolist()], odd[at])
+            at = at[order]
+            places[at] = np.arange(len(self.known), len(self.known) + fresh)
+            self.known.update(zip([pieces[i] for i in at.tolist()], places[at].tolist()))
+            self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(counts) - counts])
+            self.counts = np.concatenate([self.counts, counts])
+            self.ids = np.concatenate([self.ids, ids])
+            self.met_again = np.concatenate([self.met_again, np.zeros(fresh, dtype=bool)])
+        return places
+
+    def _known_places(self, pieces: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.known.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
 
-    def _learn(self, words: set[str]) -> None:
-        fresh = words.difference(self.known)
-        if len(self.known) + len(fresh) > KEPT_WORDS:
-            # Words that came back are worth keeping; most never do.
-            kept = self.met_again if len(self.met_again) < KEPT_WORDS // 2 else set()
-            self.known = {w: self.known[w] for w in kept | words if w in self.known}
-            self.met_again = set()
-        words -= fresh
-        self.met_again |= words
-        new = list(fresh)
-        self.known.update(zip(new, self._new_words(new, " " if self.spaced else "")))
-
-    def _words(self, text: str) -> list[str]:
+    def _encode_cut(self, texts: list[bytes], keep: bool = True) -> list[bytes]:
+        """Ids of texts that may be cut into pieces; ``keep`` puts these into the store."""
+        until = np.cumsum([0, *map(len, texts)])
+        starts, found, odd = self._pieces(b"".join(texts), until[:-1])
+        pieces, which = found.dictionary.to_numpy(zero_copy_only=False).tolist(), np.asarray(found.indices)
+        if keep:
+            places = self._places(pieces, odd)
+            all_ids, begins, counts = self.ids, self.begins[places], self.counts[places]
+        else:
+            all_ids, sizes, order = self._ids_of(pieces, odd)
+            begins, counts = np.empty_like(sizes), np.empty_like(sizes)
+            begins[order], counts[order] = np.cumsum(sizes) - sizes, sizes
+        counts = counts[which]
+        ids = all_ids[_spread(begins[which], counts)].tobytes()
+        ends = np.append(0, np.cumsum(counts))[np.searchsorted(starts, until)] * all_ids.itemsize
+        return [ids[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
+
+    def _new_words(self, words: list[str], prefix: str) -> list[bytes]:
+        """Ids of words as they stand in a text, after ``prefix``; nothing is kept."""
+        return self._encode_cut([(prefix + w if w[:1] != "\n" else w).encode() for w in words], keep=False)
+
+    def _cuttable(self, text: str) -> bytes | None:
+        """A text's bytes to be cut into pieces; none if it is encoded whole.
+
+        Special tokens lie across pieces, and a spaced vocabulary splits runs
+        of white space by their length.
+        """
+        if "<|" in text and any(token in text for token in self.special):
+            return None
+        data = text.encode()
         if self.spaced:
-            return text.replace("\n", " \n").split(" ")
-        # Letters are lower-cased by the vocabulary; done first, words are fewer.
-        # A special token is told by its case, and some letters by their place.
-        if "<|" not in text and not _BEYOND_LATIN.search(text):
-            text = text.lower()
-        return text.replace("\n", " ").split(" ")
+            spaces = data.translate(_LINES_AS_SPACES, _OTHER_SPACES)
+            if b"  " in spaces or len(spaces) < len(data) and _TWO_SPACES.search(text):
+                return None
+        elif len(data.translate(None, _BEYOND_LATIN)) == len(data):
+            # Letters are lower-cased by the vocabulary; done first, pieces are fewer.
+            # Letters of other scripts may be lower-cased by their place.
+            return text.lower().encode()
+        return data
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        # Runs of white space are split by their length, so such texts of a
-        # spaced vocabulary are encoded whole.
-        out: dict[int, bytes] = {}
-        split: dict[int, list[str]] = {}
-        for i, text in enumerate(texts):
-            if self.spaced and _TWO_SPACES.search(text):
-                out[i] = self._alone(text)
-            else:
-                split[i] = self._words(text)
-        firsts: dict[int, bytes] = {}
-        if self.spaced:
-            # A text's first word has no space before it.
-            words = list({words[0] for words in split.values()})
-            first = dict(zip(words, self._encode(words)))
-            firsts = {i: first[words[0]] for i, words in split.items()}
-            split = {i: words[1:] for i, words in split.items()}
-        self._learn(set().union(*split.values()))
-        get = self.known.__getitem__
-        for i, words in split.items():
-            out[i] = firsts.get(i, b"") + b"".join(map(get, words))
-        return [out[i] for i in range(len(texts))]
+        cut = [*map(self._cuttable, texts)]
+        ids = iter(self._encode_cut([data for data in cut if data is not None]))
+        return [self._alone(text) if data is None else next(ids) for text, data in zip(texts, cut)]
+
+
+def _spread(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places of stretches, one stretch after the other."""
+    ends = np.cumsum(counts)
+    return np.repeat(begins - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
 def _between(ids: np.ndarray, stop_id: int) -> list[bytes]:
@@ -217,7 +328,7 @@ def encode_texts(encoder: Encoder, texts: list[str | None]) -> Iterator[bytes]:
     for text in texts:
         block.append(text or "")
         chars += len(block[-1])
-        if chars >= _BLOCK_CHARS:
+        if chars >= _ENCODED_CHARS:
             yield from encoder.encode(block)
             block, chars = [], 0
     yield from encoder.encode(block)

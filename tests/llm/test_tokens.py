@@ -155,3 +155,48 @@ def test_pieces_carry_ids_only_where_asked(spark, documents, monkeypatch):
     before = spark.conf.get(packing._BATCH_SETTING)
     assert pack(few, tokenizer=BYTE, spaced=True, end_id=1, with_ids=True).count() == bare.count()
     assert seen == ["2000"] and spark.conf.get(packing._BATCH_SETTING) == before
+
+
+@pytest.mark.parametrize("name, spaced", [(WORD, False), (BYTE, True)])
+def test_a_piece_is_encoded_once_whatever_stands_beside_it(name, spaced, monkeypatch):
+    """Marks and digits are pieces of their own, so the letters before and after them are met again."""
+    asked = []
+    plain = Encoder._encode_pieces
+    monkeypatch.setattr(Encoder, "_encode_pieces", lambda self, pieces: asked.extend(pieces) or plain(self, pieces))
+    encoder = Encoder(name, spaced)
+    texts = ["it was unheard, naïve7 and", "so unheard. (naïve) naïve- unheard12 (naïve", "an unheard/naïve unheard*** naïve***"]
+    for text in texts:
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode([text])] == plain_ids(name, [text])
+    # With and without the space before them.
+    assert len([p for p in asked if "unheard" in p]) == 1
+    assert len([p for p in asked if "na" in p]) == 2
+
+
+#: What pieces are cut at, what they may not be cut at, and special tokens.
+BESIDE = [*"abTS019.,;-!#'*<|>\t\r\x00\x1c`", " ", "\n", " the", "é", "É", "ß", "×", "÷", "ª", "º", "²", " ", "\u0085", "İ"]
+BESIDE += ["Σ", "中", "́", "̸", "　", "ɏ", "ɐ", "'s", "'LL", "Ā", "</w>", "", "<|endoftext|>", "<|ENDOFTEXT|>"]
+
+
+@pytest.mark.parametrize("name, spaced", [(WORD, False), (BYTE, True)])
+@pytest.mark.parametrize("kept", [tokens.KEPT_WORDS, 300])
+def test_cut_texts_have_the_ids_of_whole_ones(name, spaced, kept, monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_WORDS", kept)
+    draw = np.random.default_rng(5)
+    texts = ["".join(draw.choice(BESIDE, draw.integers(0, 9))) for _ in range(8000)]
+    texts += [a + b + c for a in ("x", " ", "7") for b in BESIDE for c in BESIDE]
+    texts += ["a" * 201 + "." * 300 + "é" * 150 + "7" * 250, "\n", " ", ""]
+    encoder = Encoder(name, spaced)
+    got = [ids for a in range(0, len(texts), 1000) for ids in encoder.encode(texts[a : a + 1000])]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == plain_ids(name, texts)
+    assert encoder.encode([]) == []
+
+
+@pytest.mark.parametrize("name, spaced", [(WORD, False), (BYTE, True)])
+def test_the_store_of_pieces_stays_bounded(name, spaced, monkeypatch):
+    """Pieces that came back stay when the store is emptied."""
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 40)
+    encoder = Encoder(name, spaced)
+    for k in range(30):
+        texts = [f"the same and x{'abcdefghij'[k % 10]}{'klm'[k // 10]}{'nopqr'[j]} again" for j in range(5)]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)] == plain_ids(name, texts)
+        assert len(encoder.known) <= 40 and {b" same", b" and", b" again"} <= encoder.known.keys()

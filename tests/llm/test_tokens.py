@@ -200,3 +200,19 @@ def test_the_store_of_pieces_stays_bounded(name, spaced, monkeypatch):
         texts = [f"the same and x{'abcdefghij'[k % 10]}{'klm'[k // 10]}{'nopqr'[j]} again" for j in range(5)]
         assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)] == plain_ids(name, texts)
         assert len(encoder.known) <= 40 and {b" same", b" and", b" again"} <= encoder.known.keys()
+
+
+def test_a_pieces_last_letter_or_a_letter_behind_it_tells_its_end():
+    """Many pieces go to the model as one stretch; nothing is merged across their ends."""
+    pieces = ["unheard", " unheard", "of", " naïve", "é", "***", "7", " 7", "x" * 150, "the"]
+    for name, spaced in ((WORD, False), (BYTE, True)):
+        ids, counts = Encoder(name, spaced)._encode_pieces(pieces)
+        got = [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])]
+        assert got == plain_ids(name, pieces)
+
+
+def test_shards_of_pieces_cut_at_marks_and_digits(spark):
+    rows = [(1, "ab,ab.7 12é"), (2, ",ab ab\n\nab  7é"), (3, "<|ENDOFTEXT|> <|endoftext|>ab"), (4, "\n"), (5, "don't'S ÀB×c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = as_rows(token_documents(docs, tokenizer=WORD, spaced=False, end_id=2))
+    assert by_start(got) == expected_index(rows)

@@ -53,11 +53,14 @@ def _items_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with the names of their nation and region."""
+    """Customers with the names of their nation and region.
+
+    Nations are broadcast, as stored customers may look the smaller of the two.
+    """
     nation = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    customer = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    customer = table(spark, sf_dir, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
     return customer.select(
         "c_custkey",
         F.col("r_name").alias(REGION),
@@ -74,7 +77,8 @@ def order_events(spark: SparkSession, sf_dir: str, located: bool = True) -> Data
     Orders meet their items first and take the wide place columns last, so
     only numbers shuffle. One side of either join has one row per key: a
     customer with very many orders makes a long run of the other side only,
-    which adaptive execution splits.
+    which adaptive execution splits. Orders are merged with their items: by the
+    size of their file they may look small enough to be gathered by the driver.
     """
     status = F.col("o_orderstatus")
     orders = table(spark, sf_dir, "orders").select(
@@ -86,7 +90,7 @@ def order_events(spark: SparkSession, sf_dir: str, located: bool = True) -> Data
         "o_custkey",
     )
     items = _items_per_order(spark, sf_dir)
-    events = orders.join(items, F.col(CASE_NUMBER) == F.col("l_orderkey")).drop("l_orderkey")
+    events = orders.join(items.hint("merge"), F.col(CASE_NUMBER) == F.col("l_orderkey")).drop("l_orderkey")
     if located:
         events = events.join(_places(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
     return events.drop("o_custkey")

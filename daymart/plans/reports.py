@@ -189,6 +189,9 @@ def weight_around(
     is one row. Cells are half a radius wide: all of a cell's places that lies
     wholly within the radius counts by the cell's sum, its own cell always; only
     places of cells on the rim are compared, by their exact distance.
+
+    Each place is repeated for tens of cells, of which the planner's size, that
+    of the stored places, knows nothing: both sides are merged, none is broadcast.
     """
     size = radius / 2
     places = integrated.filter(F.col(easting).isNotNull() & F.col(northing).isNotNull())
@@ -211,10 +214,10 @@ def weight_around(
     # Where rounding could decide, places are compared.
     around = around.select("x", "y", "nx", "ny", (far <= radius * radius * (1 - 1e-9)).alias("within"), near.alias("near"))
     around = around.filter(F.col("near") <= radius * radius * (1 + 1e-9)).drop("near")
-    whole = around.filter("within").join(cells, ["nx", "ny"]).select("x", "y", "weight", "events")
+    whole = around.filter("within").join(cells.hint("merge"), ["nx", "ny"]).select("x", "y", "weight", "events")
     others = places.select(F.col("cx").alias("nx"), F.col("cy").alias("ny"), F.col("x").alias("px"), F.col("y").alias("py"), "weight", "events")
     apart = F.pow(F.col("px") - F.col("x"), 2) + F.pow(F.col("py") - F.col("y"), 2)
-    rim = around.filter("not within").join(others, ["nx", "ny"]).filter(apart <= radius * radius)
+    rim = around.filter("not within").join(others.hint("merge"), ["nx", "ny"]).filter(apart <= radius * radius)
     found = whole.unionByName(rim.select("x", "y", "weight", "events"))
     return found.groupBy("x", "y").agg(_sum("weight").alias("weight"), F.sum("events").alias("events"))
 

@@ -9,7 +9,8 @@ import __spark_entry__ as driver
 from daymart.operators import dense_keys, integrate, lookup_key, rank_tuples, settle
 from daymart.operators.keys import COUNT
 from daymart.plans import latest_rows, monthly_trend, severity_by_temperature
-from daymart.plans.order_events import integrated_orders, stored_integrated, table
+from daymart.plans.order_events import integrated_orders, order_events, stored_integrated, table
+from daymart.plans.reports import weight_around
 from daymart.plans.star import fact, location_mapping, stage_events, stage_series
 from daymart.schemas import CASE_NUMBER, EVENT_TIME
 
@@ -144,3 +145,32 @@ def test_location_mapping_is_over_stored_tuples(spark):
     # Only the offsets of the parts are worked out; the tuples stay where they are.
     assert re.search(r"FileScan parquet", text)
     assert all(by.startswith("_part#") for by in re.findall(r"Exchange hashpartitioning\(([^)]*)", text))
+
+
+def test_places_repeated_for_their_cells_are_not_broadcast(spark):
+    """Stored places are small, their copies for tens of cells are not: the driver must not gather them."""
+    points = settle(spark.range(400).selectExpr("double(id % 20) AS e", "double(id DIV 20) AS n", "id AS w"), "points")
+    around = weight_around(points, 2.0, "w", "e", "n")
+    assert "Broadcast" not in plan(around)
+    found = {(r["x"], r["y"]): (r["weight"], r["events"]) for r in around.collect()}
+    assert "Broadcast" not in plan(around)
+    steps = [(a, b) for a in range(-2, 3) for b in range(-2, 3) if a * a + b * b <= 4]
+    for x in range(20):
+        for y in range(20):
+            near = [20 * (y + b) + x + a for a, b in steps if 0 <= x + a < 20 and 0 <= y + b < 20]
+            assert found.pop((x, y)) == (sum(near), len(near))
+    assert not found
+
+
+def test_nations_are_broadcast_and_neither_customers_nor_orders(spark, tmp_path):
+    """Tables whose files are small beside their rows, as those of repeated values are."""
+    for name in ("nation", "region", "orders", "lineitem"):
+        table(spark, SF_DIR, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    customer = table(spark, SF_DIR, "customer").withColumn("c_acctbal", F.lit(0.0))
+    customer.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    events = order_events(spark, str(tmp_path))
+    assert re.search(r"SortMergeJoin \[Juhtumi nr#\d+L\], \[l_orderkey#\d+L\], Inner", plan(events))
+    text = final_plan(events)
+    assert re.search(r"SortMergeJoin \[Juhtumi nr#\d+L\], \[l_orderkey#\d+L\], Inner", text)
+    assert re.search(r"BroadcastHashJoin \[c_nationkey#\d+\], \[n_nationkey#\d+\], Inner, BuildRight", text)
+    assert events.count() == order_events(spark, SF_DIR).count()
